@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm import audio, language_id, secrets
+from tickspark.llm import audio, bpe_codec, language_id, packing, secrets, token_counts
+
+
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer file lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +26,26 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = _documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json")
+    coded = bpe_codec.encode_documents(docs, path, bpe_codec.lexicon_of(docs, path))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = _documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json")
+    counts = token_counts.count_tokens(docs, path, token_counts.count_transducer(docs, path))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(_documents(spark, sf_dir))
     n = lambda kind: secrets.count_of(F.col("base"), kind).alias(f"n_{kind}")
@@ -40,6 +67,9 @@ def op8_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
+        "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_bpe_round_trip": op3_bpe_round_trip,
+        "op7_token_counts": op7_token_counts,
         "op6_secret_scan": op6_secret_scan,
         "op8_audio_features": op8_audio_features,
     }
