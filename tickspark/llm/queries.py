@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm import audio, bpe_codec, language_id, packing, secrets, token_counts
+from tickspark.llm import audio, bpe_codec, language_id, minhash, packing, secrets, token_counts
 
 
 def tokenizer_path(name: str) -> str:
@@ -46,6 +46,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf_dir), words_each=2, percent=80)
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(_documents(spark, sf_dir))
     n = lambda kind: secrets.count_of(F.col("base"), kind).alias(f"n_{kind}")
@@ -70,6 +74,7 @@ def queries() -> dict:
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_bpe_round_trip": op3_bpe_round_trip,
         "op7_token_counts": op7_token_counts,
+        "op4_minhash_dedup": op4_minhash_dedup,
         "op6_secret_scan": op6_secret_scan,
         "op8_audio_features": op8_audio_features,
     }
