@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +40,20 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         before = now
     member = pair.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return member.union(pair.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def spanning(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what the symmetric matrix connects: stars around the first of each class."""
+    left, out = np.ones(len(linked), bool), []
+    for i in range(len(linked)):
+        if not left[i]:
+            continue
+        seen = np.zeros(len(linked), bool)
+        seen[i] = True
+        new = seen
+        while new.any():
+            new = linked[new].any(0) & ~seen
+            seen |= new
+        left &= ~seen
+        out += [(i, j) for j in np.flatnonzero(seen).tolist() if j != i]
+    return out

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.graph import checkpointed, connected_components
+from tickspark.llm.graph import checkpointed, connected_components, spanning
 
 BANDS, ROWS = 32, 5
 UNIVERSE = 1 << 20
@@ -152,23 +152,6 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def spanning(linked: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what the symmetric matrix connects: stars around the first of each class."""
-    left, out = np.ones(len(linked), bool), []
-    for i in range(len(linked)):
-        if not left[i]:
-            continue
-        seen = np.zeros(len(linked), bool)
-        seen[i] = True
-        new = seen
-        while new.any():
-            new = linked[new].any(0) & ~seen
-            seen |= new
-        left &= ~seen
-        out += [(i, j) for j in np.flatnonzero(seen).tolist() if j != i]
-    return out
-
-
 def _links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Confirmed links of one group: whole candidate classes, or two blocks of a large one."""
     a, b = [], []

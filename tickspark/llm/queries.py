@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm import audio, bpe_codec, language_id, minhash, packing, secrets, token_counts
+from tickspark.llm import audio, bpe_codec, embedding_join, language_id, minhash, packing, secrets, token_counts
 
 
 def tokenizer_path(name: str) -> str:
@@ -50,6 +50,10 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir), words_each=2, percent=80)
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 0.9)
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(_documents(spark, sf_dir))
     n = lambda kind: secrets.count_of(F.col("base"), kind).alias(f"n_{kind}")
@@ -75,6 +79,7 @@ def queries() -> dict:
         "op3_bpe_round_trip": op3_bpe_round_trip,
         "op7_token_counts": op7_token_counts,
         "op4_minhash_dedup": op4_minhash_dedup,
+        "op5_embedding_dedup": op5_embedding_dedup,
         "op6_secret_scan": op6_secret_scan,
         "op8_audio_features": op8_audio_features,
     }
