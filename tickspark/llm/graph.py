@@ -5,16 +5,21 @@ from __future__ import annotations
 import tempfile
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows of df in the session's shared checkpoint folder; lost executors lose none of them."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; one of its own only where that is unset."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows of df in the session's shared checkpoint folder; lost executors lose none of them."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

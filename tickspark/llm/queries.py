@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm import audio, bpe_codec, embedding_join, language_id, minhash, packing, secrets, token_counts
+from tickspark.llm import audio, bpe_codec, embedding_join, language_id, minhash, packing, secrets, substring_dedup, suffix_dedup, token_counts
 
 
 def tokenizer_path(name: str) -> str:
@@ -72,6 +72,20 @@ def op8_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _total(spans: str):
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeated_bytes(_documents(spark, sf_dir), 100)
+    return left.select("doc_id", "n_bytes", _total("removed").alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.remove_repeated_passages(_documents(spark, sf_dir), 35)
+    return left.select("doc_id", "n_words", _total("removed").alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
@@ -80,6 +94,8 @@ def queries() -> dict:
         "op7_token_counts": op7_token_counts,
         "op4_minhash_dedup": op4_minhash_dedup,
         "op5_embedding_dedup": op5_embedding_dedup,
+        "op9_suffix_dedup": op9_suffix_dedup,
+        "op10_substring_dedup": op10_substring_dedup,
         "op6_secret_scan": op6_secret_scan,
         "op8_audio_features": op8_audio_features,
     }
