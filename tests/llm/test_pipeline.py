@@ -1,0 +1,66 @@
+import corpus_pipeline as P
+from pyspark.sql import functions as F
+
+from tests.llm.test_minhash import brute
+from tests.llm.test_repeats import brute_words
+from tests.llm.test_tokens import check_packing
+from tickspark.llm import language_id as L
+
+
+def test_stages_against_brute_force(spark, tmp_path):
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    assert [n for n, _ in P.STAGES] == ["language_id", "minhash_dedup", "substring_dedup", "secret_scan", "best_fit_packing"]
+
+    def stage(i, df):
+        P.STAGES[i][1](spark, df, d).write.parquet(str(tmp_path / str(i)))
+        return spark.read.parquet(str(tmp_path / str(i)))
+
+    rows = lambda df: {r.doc_id: r.text for r in df.collect()}
+    before, out = rows(docs), stage(0, docs)
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = L.fit_language_model(docs, ~held)
+    assert out.columns == docs.columns
+    assert rows(out) == {i: t for i, t in before.items() if not L.classify(model, t)[3]}
+    assert len(rows(out)) > 0.97 * len(before)
+
+    before, out = rows(out), stage(1, out)
+    ids = sorted(before)
+    _, comp = brute([before[i] for i in ids], 5)
+    assert out.columns == docs.columns
+    assert rows(out) == {i: before[i] for k, i in enumerate(ids) if comp[k] == k}
+
+    before, out = rows(out), stage(2, out)
+    ids = sorted(before)
+    want = brute_words([before[i] for i in ids], 35)
+    assert out.columns == docs.columns
+    got = rows(out)
+    for k, i in enumerate(ids):
+        assert len((got[i] or "").encode().split()) == want[k][0] - want[k][1]
+        if not want[k][1]:
+            assert got[i] == before[i]
+
+    before, out = rows(out), stage(3, out)
+    assert out.columns == docs.columns and rows(out).keys() == before.keys()
+    assert all(r.n_chars == len(r.text) for r in out.collect() if r.text is not None)
+
+    before = rows(out)
+    ids = sorted(before)
+    pieces = P.STAGES[4][1](spark, out.withColumn("doc_id", F.element_at(F.create_map(*[F.lit(x) for k, i in enumerate(ids) for x in (i, k)]), F.col("doc_id")).cast("long")), d)
+    check_packing(pieces.withColumn("ids_crc32", F.crc32("ids")).collect(), [before[i] for i in ids])
+
+
+def test_run_is_its_stages(spark):
+    out = P.run(spark, "/root/testdata/sf0.001")
+    assert out.filter("ids is null").count() == 0 and out.select("doc_id").distinct().count() > 100
+
+
+def test_stages_on_odd_rows(spark, make_docs):
+    docs = make_docs([None, "", "x", "the and of with " * 20, "the and of with " * 20]).withColumn("extra", F.lit(1))
+    docs = docs.union(docs.select(*[F.lit(None).cast(t).alias(n) for n, t in docs.dtypes]))
+    for _, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        out.collect()
+        assert stage(spark, docs.limit(0), "").count() == 0
+    assert P.STAGES[-1][1](spark, docs, "").count() > 5

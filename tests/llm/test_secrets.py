@@ -54,8 +54,10 @@ def test_linking(spark, make_docs):
     assert got == {0: [], 1: ["weak_id", "weak_secret"], 2: [], 3: [], 4: ["endpoint", "weak_id"], 5: []}
 
 
-def test_mask(spark, make_docs):
-    docs = make_docs(["a password=hunter22 b", None, "token=abc"])
-    got = {r.doc_id: r.text for r in S.mask_secrets(docs).collect()}
-    assert got == {0: "a [SECRET] b", 1: None, 2: "token=abc"}
-    assert S.mask_secrets(docs.limit(0)).count() == 0
+def test_redact(spark, make_docs):
+    weak = "aB3" + "xY7zQ9" * 6
+    docs = make_docs(["a password=hunter22 b", None, "token=abc", f"é AKIA{'A' * 16} x {weak}.", "token=" + "0123456789abcdef" * 2, f"just {weak}"])
+    out = S.redact_secrets(docs)
+    assert out.columns == docs.columns
+    assert {r.doc_id: r.text for r in out.collect()} == {0: "a [SECRET] b", 1: None, 2: "token=abc", 3: "é [SECRET] x [SECRET].", 4: "[SECRET]", 5: f"just {weak}"}
+    assert S.redact_secrets(docs.limit(0)).count() == 0

@@ -73,28 +73,56 @@ def _apart(x: Column, parts: Column) -> Column:
     return ~F.exists(parts, lambda p: (p["start"] < x["end"]) & (p["end"] > x["start"]))
 
 
-def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", scope_chars: int = SCOPE_CHARS) -> DataFrame:
-    """(id, base, added): arrays of struct(kind, start, end), each by start, then kind as listed."""
-    rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    rows = _barrier(rows, [id_col, "_text"], **{f"_{k}": F.regexp_extract_all("_text", F.lit(p), F.lit(0)) for k, p in PATTERNS.items()})
-    rows = _barrier(rows, [id_col], **{k: _spans(F.col(f"_{k}"), F.col("_text"), k) for k in PATTERNS})
+def _scan(rows: DataFrame, scope_chars: int) -> DataFrame:
+    """Adds base and added to rows with a column _text; spans still as struct(start, rank, end)."""
+    keep = rows.columns
+    rows = _barrier(rows, keep, **{f"_{k}": F.regexp_extract_all("_text", F.lit(p), F.lit(0)) for k, p in PATTERNS.items()})
+    rows = _barrier(rows, keep, **{k: _spans(F.col(f"_{k}"), F.col("_text"), k) for k in PATTERNS})
     base = F.concat(*BASE)
     # A weak part that a base span covers is that base span, nothing new.
-    rows = _barrier(rows, [id_col], base=F.array_sort(base), assign=F.col("assign"), access=F.col("access"), **{k: F.when(F.size(k) > 0, F.filter(k, lambda x: _apart(x, base))).otherwise(F.col(k)) for k in PATTERNS if k not in BASE})
+    rows = _barrier(rows, keep, base=F.array_sort(base), assign=F.col("assign"), access=F.col("access"), **{k: F.when(F.size(k) > 0, F.filter(k, lambda x: _apart(x, base))).otherwise(F.col(k)) for k in PATTERNS if k not in BASE})
     ids, strong = F.concat("access", "weak_id"), F.col("assign")
     weak = F.filter("weak_secret", lambda x: _near(x, ids, scope_chars))
-    rows = _barrier(rows, [id_col, "base", "weak_id", "endpoint", "access"], ids=ids, weak=weak, secrets=F.concat(strong, weak))
+    rows = _barrier(rows, [*keep, "base", "weak_id", "endpoint"], ids=ids, weak=weak, secrets=F.concat(strong, weak))
     added = F.concat(
         F.filter("weak_id", lambda x: _near(x, F.col("secrets"), scope_chars)),
         F.col("weak"),
         F.filter("endpoint", lambda x: _near(x, F.col("secrets"), scope_chars) & _near(x, F.col("ids"), scope_chars)),
     )
+    return _barrier(rows, [*keep, "base"], added=F.array_sort(added))
+
+
+def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", scope_chars: int = SCOPE_CHARS) -> DataFrame:
+    """(id, base, added): arrays of struct(kind, start, end), each by start, then kind as listed."""
+    found = _scan(docs.select(F.col(id_col).alias("_0"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")), scope_chars)
     names = F.array(*[F.lit(k) for k in PATTERNS])
 
     def named(spans: Column) -> Column:
         return F.transform(spans, lambda s: F.struct(F.element_at(names, s["rank"] + 1).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
-    return _barrier(rows, [id_col, "base"], added=F.array_sort(added)).select(id_col, named(F.col("base")).alias("base"), named(F.col("added")).alias("added"))
+    return found.select(F.col("_0").alias(id_col), named(F.col("base")).alias("base"), named(F.col("added")).alias("added"))
+
+
+def redact_secrets(docs: DataFrame, *, text_col: str = "text", mask: str = "[SECRET]", scope_chars: int = SCOPE_CHARS) -> DataFrame:
+    """The rows with base spans and linked weak secrets masked in their text, all columns kept.
+
+    Spans that overlap share one mask; a null text stays null."""
+    names = docs.columns
+    held = [f"_{i}" for i in range(len(names))]  # under names of their own, whatever theirs are
+    rows = docs.select(*[F.col(f"`{n}`").alias(h) for n, h in zip(names, held, strict=True)], F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
+    weak = list(PATTERNS).index("weak_secret")
+    found = _scan(rows, scope_chars).withColumn("spans", F.array_sort(F.concat("base", F.filter("added", lambda s: s["rank"] == weak))))
+    found = _barrier(found, [*held, "_text"], spans=F.col("spans"))
+
+    def step(acc: Column, s: Column) -> Column:
+        before = F.substring(F.col("_text"), acc["at"] + 1, s["start"] - acc["at"])
+        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], before, F.lit(mask))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    rest = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("_text"), acc["at"] + 1, F.length("_text"))))
+    text = F.when(F.size("spans") > 0, rest).otherwise(F.col(held[names.index(text_col)]))
+    return found.select(*[text.alias(n) if n == text_col else F.col(h).alias(n) for n, h in zip(names, held, strict=True)])
 
 
 def joined(spans: Column) -> Column:
@@ -111,12 +139,3 @@ def merged(base: Column, added: Column) -> Column:
     order = F.map_from_arrays(F.array(*[F.lit(k) for k in PATTERNS]), F.array(*[F.lit(i) for i in range(len(PATTERNS))]))
     keyed = F.transform(F.concat(base, added), lambda s: F.struct(s["start"].alias("start"), F.element_at(order, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
     return F.array_sort(keyed)
-
-
-def mask_secrets(docs: DataFrame, *, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
-    """The rows with every base span of their text replaced by a mask, all columns kept, the row order untouched."""
-    assigned = ASSIGN.replace("([A-Za-z0-9+/_.=-]+)", "([A-Za-z0-9+/_.=-]{%d,})" % MIN_ASSIGNED)
-    names = docs.columns
-    text = F.col(f"`{text_col}`")
-    out = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, assigned, mask.replace("$", r"\$")), ACCESS, mask), HEX, mask)
-    return docs.select(*[out.alias(n) if n == text_col else F.col(f"`{n}`") for n in names])
