@@ -21,10 +21,10 @@ class NoData(ValueError):
     """No source had a usable row."""
 
 
-def merged_day(spark: SparkSession, sources: list[str], day: date, data_type: str = MARK_PRICE, clip: bool = True) -> DataFrame:
+def merged_day(spark: SparkSession, sources: list[str], day: date, data_type: str = MARK_PRICE, clip: bool = True, pattern: str = "*.jsonl*") -> DataFrame:
     """One row for each second of the day: of each symbol for mark prices, of the feed for other types."""
     configure(spark)
-    parsed = feeds.parse_lines(feeds.scan_sources(spark, sources, day))
+    parsed = feeds.parse_lines(feeds.scan_sources(spark, sources, day, pattern))
     if data_type == MARK_PRICE:
         ticks, _ = feeds.parse_mark_price(parsed)
         first = merge.dedup_first(ticks, ["symbol", "sec"], feeds.ORDER).drop(*feeds.ORDER)
@@ -37,9 +37,9 @@ def merged_day(spark: SparkSession, sources: list[str], day: date, data_type: st
     return fill.rewrite_filled_generic(fill.fill_day(first, day, [], clip))
 
 
-def run_daily(spark: SparkSession, sources: list[str], day: date, data_type: str, out: str) -> DataFrame:
+def run_daily(spark: SparkSession, sources: list[str], day: date, data_type: str, out: str, pattern: str = "*.jsonl*") -> DataFrame:
     """Writes the merged day and returns what was written; no rows at all is an error."""
-    rows = merged_day(spark, sources, day, data_type)
+    rows = merged_day(spark, sources, day, data_type, pattern=pattern)
     if data_type == MARK_PRICE:
         sinks.write_per_symbol(rows.withColumn("date", F.lit(day)), out)
     else:
@@ -50,12 +50,12 @@ def run_daily(spark: SparkSession, sources: list[str], day: date, data_type: str
     return written
 
 
-def run_logged(spark: SparkSession, sources: list[str], data_type: str, out: str, log: str, day: date | None = None) -> str:
+def run_logged(spark: SparkSession, sources: list[str], data_type: str, out: str, log: str, day: date | None = None, pattern: str = "*.jsonl*") -> str:
     """``run_daily``, by default for yesterday, with a row appended to the run log whatever happens."""
     day = day or datetime.now(UTC).date() - timedelta(days=1)
     began, status, error = time.time(), "success", None
     try:
-        run_daily(spark, sources, day, data_type, out)
+        run_daily(spark, sources, day, data_type, out, pattern)
     except Exception as e:  # noqa: BLE001  the log is to have every outcome
         status, error = "failed", str(e)[:500]
     row = [(day, data_type, status, float(time.time() - began), error)]

@@ -42,9 +42,9 @@ def scan_jsonl_day(spark: SparkSession, base: str, day: date, priority: int = 0,
     return scan_lines(spark, day_path(base, day), pattern, priority)
 
 
-def scan_sources(spark: SparkSession, bases: list[str], day: date) -> DataFrame:
+def scan_sources(spark: SparkSession, bases: list[str], day: date, pattern: str = "*.jsonl*") -> DataFrame:
     """Feeds of all bases; an earlier one has priority."""
-    return reduce(DataFrame.unionByName, [scan_jsonl_day(spark, b, day, i) for i, b in enumerate(bases)])
+    return reduce(DataFrame.unionByName, [scan_jsonl_day(spark, b, day, i, pattern) for i, b in enumerate(bases)])
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
