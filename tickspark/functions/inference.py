@@ -22,8 +22,8 @@ def _integer_text(text: Column, signed: bool) -> Column:
 
 
 def _integer(v: Column) -> Column:
-    """An integer JSON number as a wide decimal."""
-    return F.when(V.schema_of(v).rlike(r"^(BIGINT|DECIMAL\([0-9]+,0\))"), V.get(v, "$", _WIDE))
+    """An integer JSON number as a wide decimal. Integers beyond a long are decimals of 19 digits and more; shorter ones came with a point."""
+    return F.when(V.schema_of(v).rlike(r"^(BIGINT|DECIMAL\((19|[23][0-9]),0\))"), V.get(v, "$", _WIDE))
 
 
 def infer_type(v: Column) -> Column:

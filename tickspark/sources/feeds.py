@@ -67,7 +67,8 @@ def parse_mark_price(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def explode_messages(messages: DataFrame, column: str = "value") -> DataFrame:
     """(row, keys of messages, position): one row for each JSON object that a message carries."""
     others = [c for c in messages.columns if c != column]
-    values = messages.select(*others, F.posexplode(M.unwrap_envelope(V.parse(F.col(column)))).alias("position", "row"))
+    parsed = messages.select(*others, V.parse(F.col(column)).alias("_message"))  # once a message
+    values = parsed.select(*others, F.posexplode(M.unwrap_envelope(F.col("_message"))).alias("position", "row"))
     return values.filter(V.is_object(F.col("row")))
 
 
