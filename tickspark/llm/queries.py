@@ -101,5 +101,53 @@ def queries() -> dict:
     }
 
 
+#: Words and windows as the contracts define them.
+_WORDS = r"[^\x20\x09-\x0D]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _classes(ids: str, links: str) -> str:
+    """Smallest reachable id by links (a < b), as a recursive table."""
+    return f"""pairs AS MATERIALIZED (SELECT a, b FROM {links} UNION SELECT b, a FROM {links}),
+  reach(id, other) AS (SELECT id, id FROM {ids} WHERE id IN (SELECT a FROM pairs) UNION SELECT reach.id, pairs.b FROM reach JOIN pairs ON pairs.a = reach.other),
+  comp AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)"""
+
+
+OP4_SQL = f"""WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORDS}') AS ws FROM documents),
+  s AS MATERIALIZED (SELECT DISTINCT doc_id, CASE WHEN len(ws) = 1 THEN ws[1] ELSE ws[i] || ' ' || ws[i + 1] END AS g FROM w, unnest(range(1, greatest(len(ws), 2))) AS t(i) WHERE len(ws) > 0),
+  n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+  c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+  link AS MATERIALIZED (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+  ids AS (SELECT doc_id AS id FROM documents), {_classes("ids", "link")}
+  SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id, coalesce(component_id, d.doc_id) = d.doc_id AS kept
+  FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN comp ON comp.id = d.doc_id"""
+
+OP5_SQL = f"""WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x <> 0)) > 0),
+  link AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id < b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+  ids AS (SELECT vec_id AS id FROM embeddings), {_classes("ids", "link")},
+  k AS (SELECT a, count(*) AS n FROM pairs GROUP BY 1)
+  SELECT d.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(component_id, d.vec_id) AS component_id, coalesce(component_id, d.vec_id) = d.vec_id AS kept
+  FROM embeddings d LEFT JOIN k ON k.a = d.vec_id LEFT JOIN comp ON comp.id = d.vec_id"""
+
+OP9_SQL = """WITH b AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+  w AS MATERIALIZED (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS k FROM b, unnest(range(0, len(h) // 2 - 99)) AS t(i)),
+  later AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM w) WHERE n > 1),
+  gap AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS step FROM later),
+  run AS (SELECT doc_id, i, sum(CASE WHEN step <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM gap),
+  span AS MATERIALIZED (SELECT doc_id, r, min(i) AS a, max(i) + 100 AS z FROM run GROUP BY 1, 2),
+  cut AS (SELECT doc_id, r, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS p FROM span),
+  kept AS (SELECT b.doc_id, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) || substr(any_value(h), 2 * max(z) + 1) AS h, CAST(sum(z - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM cut JOIN b ON b.doc_id = cut.doc_id GROUP BY 1)
+  SELECT b.doc_id, len(b.h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, b.h))) AS kept_sha256 FROM b LEFT JOIN kept ON kept.doc_id = b.doc_id"""
+
+OP10_SQL = f"""WITH w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS ws FROM documents),
+  k AS MATERIALIZED (SELECT doc_id, i, md5(array_to_string(list_slice(ws, i, i + 34), ' ')) AS k FROM w, unnest(range(1, len(ws) - 33)) AS t(i)),
+  twice AS (SELECT doc_id, i FROM k WHERE k IN (SELECT k FROM k GROUP BY 1 HAVING count(*) > 1)),
+  gone AS (SELECT DISTINCT doc_id, i + j AS i FROM twice, unnest(range(0, 35)) AS t(j)),
+  word AS (SELECT doc_id, i, ws[i] AS word FROM w, unnest(range(1, len(ws) + 1)) AS t(i)),
+  kept AS (SELECT word.doc_id, count(gone.i) AS n_removed, string_agg(word, ' ' ORDER BY word.i) FILTER (gone.i IS NULL) AS kept FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.i = word.i GROUP BY 1)
+  SELECT w.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries that SQL expresses on whole tables; tests hold the others against brute force."""
+    return {"op4_minhash_dedup": OP4_SQL, "op5_embedding_dedup": OP5_SQL, "op9_suffix_dedup": OP9_SQL, "op10_substring_dedup": OP10_SQL}
