@@ -97,30 +97,31 @@ def solo(task, texts):
 
     half = [list(range(0, len(texts), 2)), list(range(1, len(texts), 2))]
     batch = lambda ids: pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([texts[i] for i in ids], pa.string())], ["doc", "text"])
+    order = [(c, "ascending") for c in R.ORDER]
     found = pa.Table.from_batches([b for ids in half for b in R._find(iter([batch(ids)]), task)], schema=R._FOUND)
-    order = [("kind", "ascending"), ("h", "ascending"), ("f", "ascending"), ("doc", "ascending"), ("x", "ascending")]
     met = pa.Table.from_batches(list(R._meet(iter(found.sort_by(order).to_batches(max_chunksize=7)), task)), schema=R._FOUND).to_pandas()
-    asked = met[met.kind == R.ASKED]
-    lists = asked.groupby("doc").apply(lambda g: g[["h", "x", "begin", "end"]].to_dict("records"), include_groups=False)
-    kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("h", "x", "begin", "end")]))
-    ask = pa.RecordBatch.from_arrays([pa.array(lists.index.tolist(), pa.int64()), pa.array([texts[i] for i in lists.index], pa.string()), pa.array(list(lists), kind)], ["doc", "text", "asked"])
-    regions = pa.Table.from_batches(list(R._gather(iter([ask]), task))) if len(lists) else None
+    asked = met[met.kind >= R.ASKED]
+    fields = ["kind", "h", "x", "begin", "end"]
+    lists = asked.groupby("doc").apply(lambda g: g[fields].to_dict("records"), include_groups=False)
+    kind = pa.list_(pa.struct([(n, pa.int64()) for n in fields]))
     out = met[met.kind == R.REMOVED][["doc", "begin", "end"]].values.tolist()
-    if regions is not None:
-        regions = regions.sort_by([(n, "ascending") for n in ("h", "doc", "x", "begin")])
-        for b in R._solve(iter(regions.to_batches(max_chunksize=5)), task):
+    if len(lists):
+        ask = pa.RecordBatch.from_arrays([pa.array(lists.index.tolist(), pa.int64()), pa.array([texts[i] for i in lists.index], pa.string()), pa.array(list(lists), kind)], ["doc", "text", "asked"])
+        regions = pa.Table.from_batches(list(R._gather(iter([ask.slice(0, 9), ask.slice(9)]), task)), schema=R._TEXT).sort_by(order)
+        for b in R._finish(iter(regions.to_batches(max_chunksize=5)), task):
+            assert set(b.column(0).to_pylist()) <= {R.REMOVED}
             out += b.to_pandas()[["doc", "begin", "end"]].values.tolist()
     covered = [set() for _ in texts]
     for d, a, b in out:
         covered[d].update(range(a, b))
-    return covered
+    return covered, set(asked.kind)
 
 
 @pytest.mark.parametrize("seed", range(4))
 def test_engine_bytes(small_parts, seed):
     texts = mosaic(60, "ab" if seed % 2 else "abcdefgh", seed) + EDGES
     want = brute_bytes(texts, 100)
-    got = solo(S.byte_task(), texts)
+    got, _ = solo(S.byte_task(), texts)
     assert [len(c) for c in got] == [w[1] for w in want]
 
 
@@ -128,10 +129,24 @@ def test_engine_bytes(small_parts, seed):
 def test_engine_words(small_parts, seed):
     texts = word_mosaic(50, seed) + EDGES
     want = brute_words(texts, 35)
-    got = solo(W.word_task(), texts)
+    got, _ = solo(W.word_task(), texts)
     assert [len(c) for c in got] == [w[1] for w in want]
 
 
+@pytest.mark.parametrize("limit", [0, 1, 3])
+def test_hot_anchors_are_taken_apart(small_parts, monkeypatch, limit):
+    """With few regions allowed around an anchor, most are compared as single windows."""
+    monkeypatch.setattr(R, "HOT_REGIONS", limit)
+    pick = random.Random(8)
+    common = "".join(pick.choice("abcdef") for _ in range(180))
+    texts = mosaic(40, "abcdefgh", 6) + [f"{i} x{i} {common}{i * 7} y{i}" for i in range(40)] + EDGES
+    got, kinds = solo(S.byte_task(), texts)
+    assert R.HOT in kinds and [len(c) for c in got] == [w[1] for w in brute_bytes(texts, 100)]
+    texts = word_mosaic(40, 5) + [" ".join(f"{i} {common[:60]} {i}") for i in range(40)] + EDGES
+    got, kinds = solo(W.word_task(), texts)
+    assert R.HOT in kinds and [len(c) for c in got] == [w[1] for w in brute_words(texts, 35)]
+
+
 def test_collisions_are_found(monkeypatch):
     """With a hash that always collides the bytes decide."""
     monkeypatch.setattr(R, "span_hashes", lambda prefix, start, length: np.zeros(len(start), np.uint64))

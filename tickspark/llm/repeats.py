@@ -12,9 +12,13 @@ a run; a run covers a region of the text.
 3. The regions' symbols, gathered from the documents, meet by anchor again, and a solver finds the
    windows that they share.
 
-Memory in a task is bounded by a segment of text, a buffer of runs and a shard of regions; only runs
-of different regions around one anchor stay together. Long documents are handled in overlapping
-segments. Rows without an id take no part.
+An anchor with more than HOT_REGIONS different regions (the edge of a passage that very many
+documents hold) is hot: its regions are not compared in one task but taken apart into single
+windows, which go through steps 1 and 2 by themselves. Equal ones are settled in the map task first,
+so that a window travels once a task, and different ones part ways by their hash.
+
+Memory in a task is bounded by a segment of text, a buffer of runs and a shard of regions, however
+large a group is. Long documents are handled in overlapping segments. Rows without an id take no part.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ from tickspark.llm.graph import shared_folder
 SEGMENT = 1 << 20
 RUNS_AT_ONCE = 1 << 19
 SHARD = 1 << 18  # symbols
+HOT_REGIONS = 1024
 _POSITION = 22
 _U = np.uint64
 
@@ -133,8 +138,11 @@ def _segments(texts: list[np.ndarray], window: int) -> Iterator[tuple[np.ndarray
 
 
 _FOUND = pa.schema([("kind", pa.int32()), ("h", pa.int64()), ("f", pa.int64()), ("doc", pa.int64()), ("x", pa.int64()), ("begin", pa.int64()), ("end", pa.int64()), ("many", pa.bool_())])
+_TEXT = _FOUND.append(pa.field("region", pa.binary()))
 FOUND = "kind int, h long, f long, doc long, x long, begin long, end long, many boolean"
-RUN, REMOVED, ASKED = 0, 1, 2
+#: Of a row: a run still to be compared, a range to remove, a region whose text is asked for, one of a hot anchor.
+RUN, REMOVED, ASKED, HOT = range(4)
+ORDER = ["kind", "h", "f", "doc", "x", "begin"]
 
 
 def _rows(kind: int, h, f, doc, x, begin, end, many) -> pa.RecordBatch:
@@ -180,114 +188,162 @@ def _settle(cols: list[np.ndarray], keep_first: bool) -> tuple[np.ndarray, np.nd
     return ~again, first, ~again & (weight[group] > 1)
 
 
-def _find(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
-    import xxhash
+class _Runs:
+    """Runs of a task, settled among themselves a buffer at a time."""
+
+    def __init__(self, task: Task):
+        self.task, self.held, self.count = task, [], 0
 
-    held: list[list[np.ndarray]] = []
-    count = 0
+    def add(self, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """(h, f, doc, x, begin, end)."""
+        self.held.append(cols)
+        self.count += len(cols[0])
+        if self.count >= RUNS_AT_ONCE:
+            yield from self.flush()
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        h, f, doc, x, begin, end = (np.concatenate(c) for c in zip(*held, strict=True))
-        order = np.lexsort((x, doc, f, h))
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.count:
+            return
+        h, f, doc, x, begin, end = (np.concatenate(c) for c in zip(*self.held, strict=True))
+        self.held, self.count = [], 0
+        order = np.lexsort((begin, x, doc, f, h))
         cols = [c[order] for c in (h, f, doc, x, begin, end)]
-        _, first, gone = _settle([*cols, np.zeros(len(h), bool)], task.keep_first)
+        _, first, gone = _settle([*cols, np.zeros(len(h), bool)], self.task.keep_first)
         yield _removed(*(cols[k][gone] for k in (2, 4, 5)))
         at = np.flatnonzero(first)
         yield _rows(RUN, *(c[at] for c in cols), gone[at])
 
+
+def _content_hash(symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each region's bytes, of another family than the prefix hashes."""
+    import xxhash
+
+    view, k = memoryview(symbols).cast("B"), symbols.itemsize
+    return np.fromiter((xxhash.xxh3_64_intdigest(view[p:q]) for p, q in zip((begin * k).tolist(), (end * k).tolist(), strict=True)), _U, len(begin))
+
+
+def _find(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
+    found = _Runs(task)
     for whole in batches:
         for start in range(0, whole.num_rows, 512):
             batch = whole.slice(start, 512)
-            ids = batch.column(0)
-            texts = [task.symbols(t.as_py() or "") if i.is_valid else np.empty(0, np.uint8) for i, t in zip(ids, batch.column(1), strict=True)]
-            ids = ids.fill_null(0).to_numpy()
+            ids = batch.column(0).to_numpy()
+            texts = [task.symbols(t.as_py() or "") for t in batch.column(1)]
             for symbols, ends, number, offset in _segments(texts, task.window):
                 h, x, a, b = runs(symbols, ends, task.window, task.anchor)
                 if not len(h):
                     continue
-                view = memoryview(symbols).cast("B")
-                k = symbols.itemsize
                 stop = b + task.window
-                f = np.fromiter((xxhash.xxh3_64_intdigest(view[p:q]) for p, q in zip((a * k).tolist(), (stop * k).tolist(), strict=True)), _U, len(a))
-                f = mix(f + (x - a).astype(_U))
+                f = mix(_content_hash(symbols, a, stop) + (x - a).astype(_U))
                 of = np.searchsorted(ends, a, "right")
                 shift = offset[of] - np.concatenate([[0], ends[:-1]])[of]
-                held.append([h.view(np.int64), f.view(np.int64), ids[number[of]], x + shift, a + shift, stop + shift])
-                count += len(h)
-            if count >= RUNS_AT_ONCE:
-                yield from flush()
-                held, count = [], 0
-    if count:
-        yield from flush()
+                yield from found.add(h.view(np.int64), f.view(np.int64), ids[number[of]], x + shift, a + shift, stop + shift)
+    yield from found.flush()
 
 
-def _meet(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (kind, h, f, doc, x)."""
-    carry: list[np.ndarray] | None = None
+class _Meeting:
+    """Runs in order of (h, f, doc, x). Held are at most the runs of one anchor that is not hot, and of one region."""
 
-    def settle(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, task: Task):
+        self.task, self.carry, self.hot = task, None, None
+
+    def _settled(self, cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         if not len(cols[0]):
             return
         h, f, doc, x, begin, end, _ = cols
-        _, first, gone = _settle(cols, task.keep_first)
+        _, first, gone = _settle(cols, self.task.keep_first)
         if gone.any():
             yield _removed(doc[gone], begin[gone], end[gone])
         at = np.flatnonzero(first)
         group = np.cumsum(np.concatenate([[True], h[at][1:] != h[at][:-1]])) - 1
-        ask = at[np.bincount(group)[group] > 1]
-        if len(ask):
-            yield _rows(ASKED, h[ask], f[ask], doc[ask], x[ask], begin[ask], end[ask], False)
+        regions = np.bincount(group)[group]
+        hot = regions > HOT_REGIONS
+        if self.hot is not None:
+            hot |= h[at] == self.hot
+        for kind, pick in ((HOT, hot), (ASKED, ~hot & (regions > 1))):
+            k = at[pick]
+            if len(k):
+                yield _rows(kind, h[k], f[k], doc[k], x[k], begin[k], end[k], False)
+
+    def feed(self, cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if self.carry is not None:
+            cols = [np.concatenate(c) for c in zip(self.carry, cols, strict=True)]
+        if not len(cols[0]):
+            return
+        h, f = cols[:2]
+        cut = int(np.searchsorted(h, h[-1]))
+        yield from self._settled([c[:cut] for c in cols])
+        if self.hot is not None and h[-1] != self.hot:
+            self.hot = None
+        rest = [c[cut:] for c in cols]
+        if self.hot is not None or np.count_nonzero(rest[1][1:] != rest[1][:-1]) >= HOT_REGIONS:
+            self.hot = h[-1]
+            cut = int(np.searchsorted(rest[1], f[-1]))
+            yield from self._settled([c[:cut] for c in rest])
+            rest = [c[cut:] for c in rest]
+        self.carry = rest
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        if self.carry is not None:
+            yield from self._settled(self.carry)
+
 
+def _meet(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
+    """Rows in ORDER: runs meet, ranges to remove pass."""
+    meeting = _Meeting(task)
     for batch in batches:
-        kind = batch.column(0).to_numpy()
-        n = int(np.searchsorted(kind, REMOVED))
-        if n < len(kind):
+        n = int(np.searchsorted(batch.column(0).to_numpy(), REMOVED))
+        if n < batch.num_rows:
             yield batch.slice(n)
-        cols = [batch.column(k).slice(0, n).to_numpy(zero_copy_only=False) for k in range(1, 8)]
-        if carry is not None:
-            cols = [np.concatenate(c) for c in zip(carry, cols, strict=True)]
-        if len(cols[0]):
-            cut = int(np.searchsorted(cols[0], cols[0][-1]))
-            yield from settle([c[:cut] for c in cols])
-            carry = [c[cut:] for c in cols]
-    if carry is not None:
-        yield from settle(carry)
+        if n:
+            yield from meeting.feed([batch.column(k).slice(0, n).to_numpy(zero_copy_only=False) for k in range(1, 8)])
+    yield from meeting.end()
 
 
 def _gather(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
-    """The symbols of the regions asked for."""
-    names = ["h", "doc", "x", "begin", "region"]
+    """The symbols of regions asked for, and the single windows of hot ones."""
+    found = _Runs(task)
+
+    def bare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in rows:
+            yield pa.RecordBatch.from_arrays([*r.columns, pa.nulls(r.num_rows, pa.binary())], schema=_TEXT)
+
     for whole in batches:
         for start in range(0, whole.num_rows, 64):
             batch = whole.slice(start, 64)
-            h, doc, x, begin, region = [], [], [], [], []
+            cols, region = [], []
             for d, text, asked in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 symbols = task.symbols(text.as_py() or "")
-                rows = asked.values
-                a, b = rows.field("begin").to_numpy(), rows.field("end").to_numpy()
-                h.append(rows.field("h").to_numpy())
-                x.append(rows.field("x").to_numpy())
-                begin.append(a)
-                doc.append(np.full(len(a), d, np.int64))
-                region += [symbols[p:q].tobytes() for p, q in zip(a.tolist(), b.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c) if c else np.empty(0, np.int64)) for c in (h, doc, x, begin)), pa.array(region, pa.binary())], names)
-
-
-def _solve(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (h, doc, x, begin), cut into shards between anchors."""
-    held: list[pa.Table] = []
-    size = 0
-
-    def shard(table: pa.Table) -> Iterator[pa.RecordBatch]:
+                kind, h, x, a, b = (asked.values.field(c).to_numpy() for c in ("kind", "h", "x", "begin", "end"))
+                cold = kind == ASKED
+                cols.append((h[cold], np.full(int(cold.sum()), d), x[cold], a[cold], b[cold]))
+                region += [symbols[p:q].tobytes() for p, q in zip(a[cold].tolist(), b[cold].tolist(), strict=True)]
+                if not cold.all():
+                    a, b = merge_ranges(np.zeros(int((~cold).sum()), np.int64), a[~cold], b[~cold] - task.window + 1)[1:]
+                    at = np.repeat(a - np.cumsum(b - a) + (b - a), b - a) + np.arange(int((b - a).sum()))
+                    key = mix(span_hashes(prefix_hashes(symbols), at, task.window) ^ _U(0x5851F42D4C957F2D))
+                    yield from bare(found.add(key.view(np.int64), _content_hash(symbols, at, at + task.window).view(np.int64), np.full(len(at), d), at, at, at + task.window))
+            h, doc, x, a, b = (np.concatenate(c) for c in zip(*cols, strict=True))
+            r = _rows(ASKED, h, 0, doc, x, a, b, False)
+            yield pa.RecordBatch.from_arrays([*r.columns, pa.array(region, pa.binary())], schema=_TEXT)
+    yield from bare(found.flush())
+
+
+class _Shards:
+    """Regions in order of (h, doc, x, begin), solved in shards cut between anchors."""
+
+    def __init__(self, task: Task):
+        self.task, self.held, self.size = task, [], 0
+
+    def _solved(self, table: pa.Table) -> Iterator[pa.RecordBatch]:
         if not table.num_rows:
             return
-        h, doc, x, begin = (table[c].to_numpy() for c in ("h", "doc", "x", "begin"))
-        region = table["region"].combine_chunks()
-        length = np.diff(np.frombuffer(region.buffers()[1], np.int32)[region.offset : region.offset + len(region) + 1]) // task.bytes_each
-        data = b"".join(region.to_pylist())
+        task = self.task
+        h, doc, x, begin, end = (table[c].to_numpy() for c in ("h", "doc", "x", "begin", "end"))
+        length = end - begin
+        symbols = np.frombuffer(b"".join(table["region"].to_pylist()), np.uint8 if task.bytes_each == 1 else np.uint64)
         keep = np.ones(len(h), bool)  # a repeated row gives its regions again
         keep[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (x[1:] != x[:-1]) | (begin[1:] != begin[:-1])
-        symbols = np.frombuffer(data, np.uint8 if task.bytes_each == 1 else np.uint64)
         start = np.cumsum(length) - length
         _, group = np.unique(h[keep], return_inverse=True)
         repeated = task.solve(symbols, start[keep], length[keep], np.stack([group, (x - begin)[keep]]))
@@ -296,30 +352,57 @@ def _solve(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordB
             at = begin[row] + repeated - start[row]
             yield _removed(doc[row], at, at + task.window)
 
-    for batch in batches:
-        held.append(pa.Table.from_batches([batch]))
-        size += batch.column(4).nbytes // task.bytes_each
-        if size >= SHARD:
-            table = pa.concat_tables(held)
+    def feed(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        self.held.append(pa.Table.from_batches([batch]))
+        self.size += int(np.sum(batch.column("end").to_numpy() - batch.column("begin").to_numpy()))
+        if self.size >= SHARD:
+            table = pa.concat_tables(self.held)
             h = table["h"].to_numpy()
             cut = int(np.searchsorted(h, h[-1]))
-            yield from shard(table.slice(0, cut))
-            held = [table.slice(cut)]
-            size = held[0]["region"].nbytes // task.bytes_each if cut else size // 2
-    if held:
-        yield from shard(pa.concat_tables(held))
+            yield from self._solved(table.slice(0, cut))
+            self.held = [table.slice(cut).combine_chunks()]
+            self.size = int(np.sum(self.held[0]["end"].to_numpy() - self.held[0]["begin"].to_numpy()))
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            yield from self._solved(pa.concat_tables(self.held))
+
+
+def _finish(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
+    """Rows in ORDER: single windows meet, ranges to remove pass, regions are solved."""
+    meeting, shards = _Meeting(task), _Shards(task)
+    plain = lambda b: pa.RecordBatch.from_arrays(b.columns[:8], schema=_FOUND)
+
+    def removed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Windows whose keys agree by chance differ in content, and there is nothing more to ask."""
+        return (r for r in rows if r.num_rows and r.column(0)[0].as_py() == REMOVED)
+
+    for batch in batches:
+        m, n = np.searchsorted(batch.column(0).to_numpy(), [REMOVED, ASKED]).tolist()
+        if m:
+            yield from removed(meeting.feed([batch.column(k).slice(0, m).to_numpy(zero_copy_only=False) for k in range(1, 8)]))
+        if n > m:
+            yield plain(batch.slice(m, n - m))
+        if n < batch.num_rows:
+            yield from shards.feed(batch.slice(n))
+    yield from removed(meeting.end())
+    yield from shards.end()
+
+
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, text) of rows with an id. Joins with it in one query share one shuffle of the texts."""
+    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).filter("doc is not null")
 
 
 def repeated_ranges(docs: DataFrame, task: Task, *, id_col: str, text_col: str) -> DataFrame:
     """(doc, begin, end): ranges of symbols that repeated windows cover; they may overlap."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    texts = texts_of(docs, id_col, text_col)
     found = texts.mapInArrow(lambda b: _find(b, task), FOUND)
-    met = found.repartition(n, "h").sortWithinPartitions("kind", "h", "f", "doc", "x").mapInArrow(lambda b: _meet(b, task), FOUND)
-    met = stored(met)
-    asked = met.filter(F.col("kind") == ASKED).groupBy("doc").agg(F.collect_list(F.struct("h", "x", "begin", "end")).alias("asked"))
-    regions = texts.join(asked, "doc").select("doc", "text", "asked").mapInArrow(lambda b: _gather(b, task), "h long, doc long, x long, begin long, region binary")
-    solved = regions.repartition(n, "h").sortWithinPartitions("h", "doc", "x", "begin").mapInArrow(lambda b: _solve(b, task), FOUND)
+    met = stored(found.repartition(n, "h").sortWithinPartitions(*ORDER).mapInArrow(lambda b: _meet(b, task), FOUND))
+    asked = met.filter(F.col("kind") >= ASKED).groupBy("doc").agg(F.collect_list(F.struct("kind", "h", "x", "begin", "end")).alias("asked"))
+    regions = texts.join(asked, "doc").select("doc", "text", "asked").mapInArrow(lambda b: _gather(b, task), f"{FOUND}, region binary")
+    solved = regions.repartition(n, "h").sortWithinPartitions(*ORDER).mapInArrow(lambda b: _finish(b, task), FOUND)
     ranges = met.filter(F.col("kind") == REMOVED).select("doc", "begin", "end")
     return ranges.union(solved.select("doc", "begin", "end"))
 
@@ -331,10 +414,17 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_ranges(docs: DataFrame, ranges: DataFrame, *, id_col: str, name: str) -> DataFrame:
-    """Documents with their ranges as an array column, null where there are none."""
-    lists = ranges.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias(name)).withColumnRenamed("doc", f"{name}_id")
-    return docs.join(lists, docs[id_col].cast("long") == F.col(f"{name}_id"), "left").drop(f"{name}_id")
+def with_ranges(docs: DataFrame, ranges: DataFrame, key: str, name: str) -> DataFrame:
+    """Documents with their ranges as an array column, null where there are none; key is the name of the long id."""
+    lists = ranges.groupBy(F.col("doc").alias(f"{name}_id")).agg(F.collect_list(F.struct("begin", "end")).alias(name))
+    return docs.join(lists, F.col(key).cast("long") == F.col(f"{name}_id"), "left").drop(f"{name}_id")
+
+
+def each_with_ranges(docs: DataFrame, ranges: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """(doc, text, ranges) of all rows; those without an id have no ranges and are not shuffled."""
+    there = with_ranges(texts_of(docs, id_col, text_col), ranges, "doc", "ranges")
+    none = docs.filter(F.col(id_col).isNull()).select(F.lit(None).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    return there.select("doc", "text", "ranges").unionByName(none, allowMissingColumns=True)
 
 
 def cover(value: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:

@@ -176,17 +176,12 @@ def _apply(batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans), texts], [id_col, "n_words", "removed", "kept"])
 
 
-def _marked(docs: DataFrame, window: int, id_col: str, text_col: str, extra: str | None) -> DataFrame:
-    ranges = R.repeated_ranges(docs, word_task(window), id_col=id_col, text_col=text_col)
-    rows = docs if extra else docs.select(id_col, text_col)
-    return R.with_ranges(rows, ranges, id_col=id_col, name=extra or "_ranges")
-
-
 def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, removed, kept): disjoint removed word ranges, in order, and the other words joined by one space."""
-    rows = _marked(docs, window, id_col, text_col, None).select(id_col, text_col, "_ranges")
-    kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(lambda b: _apply(b, id_col), f"`{id_col}` {kind}, n_words long, removed array<struct<begin:long,end:long>>, kept string")
+    ranges = R.repeated_ranges(docs, word_task(window), id_col=id_col, text_col=text_col)
+    rows = R.each_with_ranges(docs, ranges, id_col=id_col, text_col=text_col)
+    out = rows.mapInArrow(lambda b: _apply(b, id_col), f"`{id_col}` long, n_words long, removed array<struct<begin:long,end:long>>, kept string")
+    return out.withColumn(id_col, F.col(id_col).cast(docs.schema[id_col].dataType))
 
 
 def without_repeated_passages(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -195,7 +190,8 @@ def without_repeated_passages(docs: DataFrame, window: int = WINDOW, *, id_col:
     mark = "_ranges"
     while mark in names or f"{mark}_id" in names:
         mark += "_"
-    rows = _marked(docs, window, id_col, text_col, mark)
+    ranges = R.repeated_ranges(docs, word_task(window), id_col=id_col, text_col=text_col)
+    rows = R.with_ranges(docs, ranges, id_col, mark)
 
     @F.pandas_udf("string")
     def cut(texts, ranges):

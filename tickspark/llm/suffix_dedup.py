@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tickspark.llm import repeats as R
 
@@ -150,6 +151,6 @@ def _apply(batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.Record
 def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, removed, kept): disjoint removed byte ranges, in order, and the bytes that stay."""
     ranges = R.repeated_ranges(docs, byte_task(window), id_col=id_col, text_col=text_col)
-    rows = R.with_ranges(docs.select(id_col, text_col), ranges, id_col=id_col, name="_ranges").select(id_col, text_col, "_ranges")
-    kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(lambda b: _apply(b, id_col), f"`{id_col}` {kind}, n_bytes long, removed array<struct<begin:long,end:long>>, kept binary")
+    rows = R.each_with_ranges(docs, ranges, id_col=id_col, text_col=text_col)
+    out = rows.mapInArrow(lambda b: _apply(b, id_col), f"`{id_col}` long, n_bytes long, removed array<struct<begin:long,end:long>>, kept binary")
+    return out.withColumn(id_col, F.col(id_col).cast(docs.schema[id_col].dataType))
