@@ -19,10 +19,10 @@ def request_totals(log: DataFrame) -> DataFrame:
 
 
 def _distribution(log: DataFrame, key: Column, name: str, failures_only: bool) -> DataFrame:
-    """Count of each key and its share of all requests. Log and total are one pass: keys of successes are null."""
-    counted = F.when(~F.col("success"), key) if failures_only else key
-    groups = log.select(counted.alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy(F.lit(0)))  # over the groups, not the log
+    """Count of each key and its share of all requests; the total is a scalar subquery, so groups stay where they are."""
+    counted = log.filter(~F.col("success")) if failures_only else log
+    groups = counted.select(key.alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("count"))
+    total = log.agg(F.count(F.lit(1)).alias("n")).scalar()
     return groups.withColumn("percentage", _percent(F.col("count"), total)).filter(F.col(name).isNotNull())
 
 
