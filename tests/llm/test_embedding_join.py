@@ -53,6 +53,8 @@ def test_edges(spark):
     assert [got[i].n_links for i in (6, 7, 8, 11, 12)] == [4] * 5 and {got[i].component_id for i in (6, 7, 8, 11, 12)} == {6}
     assert (got[9].n_links, got[10].component_id, got[13].n_links) == (1, 9, 0)
     assert J.near_duplicate_vectors(df.limit(0)).count() == 0
+    none = J.near_duplicate_vectors(df.withColumn("vec_id", F.lit(None).cast("long"))).collect()
+    assert [(r.n_links, r.component_id, r.kept) for r in none] == [(0, None, True)] * len(vectors)
 
 
 def test_distant_blocks_are_skipped(spark):

@@ -86,6 +86,9 @@ def test_edges(spark, make_docs):
     _, comp = brute(texts, 2)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(comp))
     assert M.near_duplicates(docs.limit(0)).count() == 0
+    none = docs.limit(3).withColumn("doc_id", F.lit(None).cast("long"))
+    assert M.drop_near_duplicates(docs.union(none).union(none), 2).filter("doc_id is null").count() == 6
+    assert all(r.kept for r in M.near_duplicates(docs.union(none), 2).filter("doc_id is null").collect())
 
 
 def test_one_permutation_shifted():

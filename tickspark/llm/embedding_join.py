@@ -9,8 +9,8 @@ double precision. A block pair returns link counts and a spanning set of its lin
 
 Equal vectors are compared once and counted with their number. Defined results: vectors that are
 null, empty, zero or hold a null or non-finite component link with nothing; vectors of different
-lengths never link; a repeated row (same id and vector) counts as one vector and gives a row each;
-no rows give no rows; other columns are ignored.
+lengths never link; a repeated row (same id and vector) counts as one vector and gives a row each; a row
+without an id links with nothing and is kept; no rows give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -192,7 +192,7 @@ def _links(vectors: DataFrame, dim: int, threshold: float, axes: int, block: int
 
 def near_duplicate_vectors(table: DataFrame, threshold: float = 0.9, *, id_col: str = "vec_id", vector_col: str = "embedding", axes: int = AXES, block: int = BLOCK) -> DataFrame:
     """(id, n_links, component_id, kept) of every row; ids are long."""
-    rows = table.select(F.col(id_col), F.when(is_valid(F.col(vector_col)), F.col(vector_col).cast("array<double>")).alias("vector"))
+    rows = table.select(F.col(id_col), F.when(is_valid(F.col(vector_col)) & F.col(id_col).isNotNull(), F.col(vector_col).cast("array<double>")).alias("vector"))
     distinct = rows.filter("vector is not null").groupBy("vector").agg(F.min(id_col).alias("rep"), F.count_distinct(id_col).alias("copies"))
     distinct = checkpointed(distinct.withColumn("dim", F.size("vector")))
     lengths = sorted(r.dim for r in distinct.select("dim").distinct().collect())
@@ -206,4 +206,4 @@ def near_duplicate_vectors(table: DataFrame, threshold: float = 0.9, *, id_col:
     known = known.select("vector", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "rep").alias("class"))
     out = rows.join(known, "vector", "left")
     component = F.coalesce("class", F.col(id_col))
-    return out.select(id_col, F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (component == F.col(id_col)).alias("kept"))
+    return out.select(id_col, F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col(id_col), F.lit(True)).alias("kept"))

@@ -11,7 +11,8 @@ probability 3e-6, and less as it may also meet through others of its class.
 
 Defined results: a document without words has no shingles, is linked with nothing and is kept; one
 with fewer words than a shingle has its whole word sequence as its only shingle; repeated rows (same
-id, same text) get equal rows; other columns are ignored.
+id, same text) get equal rows; a row without an id is compared with nothing and kept; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -175,7 +176,7 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, *,
     component_id is the smallest id reachable by links and the row of that id is kept. Ids are long.
     """
     sketches = checkpointed(sketch(docs, words_each, id_col=id_col, text_col=text_col))
-    whole = sketches.filter("n_shingles > 0").groupBy("set_key").agg(F.min(id_col).alias("rep"), F.any_value("bands").alias("bands"), F.any_value("n_shingles").alias("n"))
+    whole = sketches.filter((F.col("n_shingles") > 0) & F.col(id_col).isNotNull()).groupBy("set_key").agg(F.min(id_col).alias("rep"), F.any_value("bands").alias("bands"), F.any_value("n_shingles").alias("n"))
     whole = checkpointed(whole)  # one row for each different set
     banded = whole.select("rep", F.explode("bands").alias("key"))
     hubs = banded.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).filter("hub < top").select("key", "hub")
@@ -201,11 +202,12 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, *,
     found = connected_components(links).withColumnsRenamed({"id": "rep"})
     linked = whole.select("set_key", "rep").join(found, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     joined = sketches.select(id_col, "n_shingles", "set_key").join(linked, "set_key", "left")
-    component = F.coalesce("component", F.col(id_col))
-    return joined.select(id_col, "n_shingles", component.alias("component_id"), (component == F.col(id_col)).alias("kept"))
+    component = F.when(F.col(id_col).isNotNull(), F.coalesce("component", F.col(id_col)))
+    return joined.select(id_col, "n_shingles", component.alias("component_id"), F.coalesce(component == F.col(id_col), F.lit(True)).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each class of near-duplicates, with all its columns."""
+    """One row of each class of near-duplicates, with all its columns, and all rows without an id."""
     found = near_duplicates(docs, words_each, percent, id_col=id_col, text_col=text_col).filter("kept").select(id_col).distinct()
-    return docs.join(found, id_col, "left_semi").dropDuplicates([id_col]).select(*[F.col(f"`{n}`") for n in docs.columns])
+    kept = docs.join(found, id_col, "left_semi").dropDuplicates([id_col])
+    return kept.select(*[F.col(f"`{n}`") for n in docs.columns]).union(docs.filter(F.col(id_col).isNull()))
