@@ -17,7 +17,7 @@ def test_held_out_accuracy(spark):
 
 def test_edges(spark, make_docs):
     en, fr = "the and of with this that is are " * 9, "le la les des une est dans pour " * 9
-    docs = make_docs([en, fr, None, "", "123 456!", en * 400, fr, "z"])
+    docs = make_docs([en, fr, None, "", "123 ² ½ 456!", en * 400, fr, "z"])
     docs = docs.withColumn("lang", F.when(F.col("doc_id").isin(1, 6), "fr").when(F.col("doc_id") == 4, None).otherwise("en")).withColumn("score", F.lit("clash"))
     model = L.fit_language_model(docs)
     got = {r.doc_id: r for r in L.identify_languages(docs, model).collect()}

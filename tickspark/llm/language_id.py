@@ -37,8 +37,9 @@ class LanguageModel:
 
 
 def _letters(text: str) -> bytes:
-    """Lower-cased words of letters only: digits, marks and markup say nothing of the language."""
-    return " ".join(_WORD.findall(text.lower())).encode("utf-8", "replace")
+    """Lower-cased words of letters only: digits, marks and markup say nothing of the language. Empty without a letter."""
+    words = " ".join(_WORD.findall(text.lower()))
+    return words.encode("utf-8", "replace") if any(map(str.isalpha, words)) else b""
 
 
 def fit_language_model(
