@@ -67,7 +67,7 @@ def test_first_source_wins(spark):
     assert sorted(map(tuple, both.collect()), key=str) == sorted(map(tuple, got.collect()), key=str)
 
 
-def reference_fill(secs):
+def told_fill(secs):
     """Second by second, as it is told in words."""
     have = sorted(secs)
     out = {s: s for s in have}
@@ -94,11 +94,11 @@ def test_fill(spark, secs):
     secs = {A + s for s in secs}
     df = spark.createDataFrame([("k", s, s) for s in secs], "symbol string, sec long, origin long")
     got = {r.sec: (r.origin, r.is_filled) for r in fill.fill_day(df, DAY, ["symbol"]).collect()}
-    assert got == {t: (o, t != o) for t, o in reference_fill(secs).items()}
+    assert got == {t: (o, t != o) for t, o in told_fill(secs).items()}
     clipped = fill.fill_day(df, DAY, [], clip=True).collect()
     inside = {s for s in secs if A <= s < A + 86_400}
     assert len(clipped) == (86_400 if inside else 0)
-    assert {r.sec: r.origin for r in clipped} == reference_fill(inside)
+    assert {r.sec: r.origin for r in clipped} == told_fill(inside)
 
 
 def test_fill_is_idempotent_and_keyed(spark):
