@@ -27,16 +27,18 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """(id, component): the smallest id reachable from each id that occurs in an edge.
 
     Large-star and small-star in turn until the edges are stars around the smallest ids. Every
-    round is a partial aggregation and a join; hubs are split by Spark's skew join. No edges give
-    no rows, loops and repeated edges do no harm."""
+    round is two partial aggregations and two joins. The minima are written before they are joined,
+    so that both sides of a join come straight from a shuffle and Spark's skew join can split hubs.
+    No edges give no rows, loops and repeated edges do no harm."""
     pair = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     pair = checkpointed(pair)
     before = None
     while True:
         both = pair.select("u", "v").union(pair.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = checkpointed(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = checkpointed(large)
+        least = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         pair = checkpointed(small)
         now = tuple(pair.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
