@@ -27,27 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickspark.llm.graph import checkpointed, connected_components, spanning
+from tickspark.llm.words import keys_of, words_of
 
 BANDS, ROWS = 32, 5
 UNIVERSE = 1 << 20
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 20
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_CACHE_WORDS = 500_000
-
-
-class _Keys(dict):
-    """64-bit keys of words, computed once a process."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > _CACHE_WORDS:
-            self.clear()
-        key = self[word] = xxhash.xxh3_64_intdigest(word)
-        return key
-
-
-_keys = _Keys()
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -58,10 +43,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: str | None, words_each: int) -> np.ndarray:
     """Sorted distinct 64-bit keys of a text's word shingles; A-Z count as a-z, other characters as they are."""
-    words = text.encode("utf-8", "replace").lower().split() if text else []
+    words = words_of(text, lower=True) if text else []
     if not words:
         return np.empty(0, np.uint64)
-    key = np.fromiter(map(_keys.__getitem__, words), np.uint64, len(words))
+    key = keys_of(words)
     width = min(words_each, len(words))
     out = np.zeros(len(words) - width + 1, np.uint64)
     for k in range(width):

@@ -23,31 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickspark.llm import repeats as R
+from tickspark.llm.words import keys_of, words_of
 
 WINDOW, ANCHOR = 35, 12
-_CACHE_WORDS = 500_000
-
-
-class _Keys(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > _CACHE_WORDS:
-            self.clear()
-        key = self[word] = xxhash.xxh3_64_intdigest(word)
-        return key
-
-
-_keys = _Keys()
-
-
-def words_of(text: str) -> list[bytes]:
-    return text.encode("utf-8", "replace").split()
 
 
 def word_keys(text: str) -> np.ndarray:
-    words = words_of(text)
-    return np.fromiter(map(_keys.__getitem__, words), np.uint64, len(words))
+    return keys_of(words_of(text))
 
 
 class WaveletTree:
