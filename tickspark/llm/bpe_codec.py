@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,11 +26,24 @@ _TEXTS_AT_ONCE = 512
 
 
 def frequent_words(docs: DataFrame, limit: int = LEXICON_WORDS, *, text_col: str = "text", lower: bool = False) -> list[str]:
-    """The most frequent runs of letters of all texts: counted everywhere, ``limit`` of them returned."""
+    """The most frequent runs of letters of all texts, at most ``limit``, counted everywhere.
+
+    Words are told apart by count in steps of a sixteenth of a doubling: how many words each step has
+    decides where to cut, so what reaches the driver is bounded by ``limit`` and does not grow with
+    tasks or rows. The step that would go over the limit is left out whole."""
     text = F.lower(text_col) if lower else F.col(text_col)
     words = docs.select(F.explode(F.split(text, r"[^\p{L}]+")).alias("w")).filter((F.col("w") != "") & (F.octet_length("w") <= 64))
-    top = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w").limit(limit)
-    return [r.w for r in top.collect()]
+    counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).select("w", F.floor(F.log2("n") * 16).cast("int").alias("step"))
+    counts = counts.persist(StorageLevel.DISK_ONLY)
+    sizes = {r.step: r.k for r in counts.groupBy("step").agg(F.count(F.lit(1)).alias("k")).collect()}
+    cut, room = None, limit
+    for step in sorted(sizes, reverse=True):
+        if sizes[step] > room:
+            break
+        cut, room = step, room - sizes[step]
+    chosen = [] if cut is None else [r.w for r in counts.filter(F.col("step") >= cut).select("w").collect()]
+    counts.unpersist()
+    return sorted(chosen)
 
 
 def lexicon_of(docs: DataFrame, tokenizer: str, limit: int = LEXICON_WORDS, *, text_col: str = "text") -> Broadcast:
