@@ -2,7 +2,8 @@
 
 Bounded-space online best-fit: at most ``open_bins`` sequences are open at a time. They are keyed by
 their free space in a bitset, so the tightest fit is the lowest set bit at or above the size. When
-a sequence too many would be open, the fullest closes first. Every input partition packs its own
+a sequence too many would be open, the fullest closes first. Pieces arrive in batches of some hundred
+texts, and the large ones of a batch are placed before its small ones. Every input partition packs its own
 documents as they stream by; nothing is shuffled, and memory is bounded by the open bins and one
 batch. At the end of a partition its open sequences stay as they are.
 
@@ -63,6 +64,14 @@ class BestFit:
         return number
 
 
+def place_together(packer: BestFit, sizes: list[int]) -> list[tuple[int, int]]:
+    """Places a batch, its large pieces before its small ones, which then fill what those leave."""
+    out: list[tuple[int, int]] = [(0, 0)] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        out[i] = packer.place(sizes[i])
+    return out
+
+
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n ids: only a long document is cut, its first piece may be shorter."""
     first = (n - 1) % capacity + 1
@@ -79,18 +88,17 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, open_bins
         for at in range(0, whole.num_rows, _TEXTS_AT_ONCE):
             batch = whole.slice(at, _TEXTS_AT_ONCE)
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            row, piece, start, length, sequence, offset, ids = [], [], [], [], [], [], []
+            row, piece, start, length, ids = [], [], [], [], []
             for i, found in enumerate(encoder.encode_each(texts)):
                 raw = np.append(found, end_id).astype("<u4").tobytes()
                 for k, (a, n) in enumerate(cut(len(found) + 1, capacity)):
-                    number, place = packer.place(n)
                     row.append(i)
                     piece.append(k)
                     start.append(a)
                     length.append(n)
-                    sequence.append(number)
-                    offset.append(place)
                     ids.append(raw[4 * a : 4 * (a + n)])
+            places = place_together(packer, length)
+            sequence, offset = [p[0] for p in places], [p[1] for p in places]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int32())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, sequence, offset)), pa.array(ids, pa.binary())],
                 [id_col, "piece", "start", "length", "sequence_id", "offset", "ids"],
