@@ -9,6 +9,7 @@ from tickspark.functions import messages as M
 from tickspark.functions import variants as V
 from tickspark.operators import fill, merge
 from tickspark.plans import daily
+from tickspark.plans import queries as Q
 from tickspark.sources import feeds
 from tickspark.sources.shared import configure, new_folder
 
@@ -109,6 +110,15 @@ def test_fill_is_idempotent_and_keyed(spark):
     assert fill.fill_day(df.limit(0), DAY, ["symbol"]).count() == 0
 
 
+def test_rows_of_every_day_stay(spark, sf):
+    rows = Q.e2_rows(spark, sf).filter(~F.col("sec").between(Q.A, Q.Z))
+    beside = rows.filter(F.col("sec").between(Q.A - 86_400, Q.Z + 86_400)).count()
+    got = Q.QUERIES["f15_keep_out_of_day_all_days"](spark, sf)
+    kept = got.filter(~F.col("sec").between(Q.A, Q.Z))
+    assert kept.count() == rows.count() > beside and kept.filter("is_filled").isEmpty()
+    assert got.count() - rows.count() == 86_400 * rows.select("symbol").distinct().count()
+
+
 def test_rewrites(spark):
     df = spark.createDataFrame([(A + 5, True, 1, 2), (A + 6, True, 1, None), (A + 7, False, 1, 2)], "sec long, is_filled boolean, E long, T long")
     got = [tuple(r)[2:] for r in fill.rewrite_filled_generic(df).orderBy("sec").collect()]

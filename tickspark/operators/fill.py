@@ -1,11 +1,12 @@
 """Filling every second of a UTC day, and order of rows.
 
 Gaps are exploded from the observed rows: each row knows where the next one stands, so only filled
-seconds are generated and a key's window holds its observed rows only."""
+seconds are generated and a key's window holds its observed rows of the day only."""
 
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,25 +33,29 @@ def fill_day(df: DataFrame, day: date, keys: list[str], clip: bool = False, sec:
     With ``clip`` rows outside the day are left out before the fill. One row a key and second."""
     a = day_start(day)
     z = a + DAY - 1
-    if clip:
-        df = df.filter(F.col(sec).between(a, z))
-    every = Window.partitionBy(*(keys or [F.lit(0)]))
-    at, inside, none = F.col(sec), F.col(sec).between(a, z), F.array().cast("array<bigint>")
-    rows = df.withColumns(
-        {
-            "_next": F.lead(sec).over(every.orderBy(sec)),
-            "_first": F.min(at).over(every),
-            "_last": F.max(at).over(every),
-            "_opens": F.min(F.when(inside, at)).over(every),  # first second of the day with a row
-        }
-    )
-    # The earliest row serves what comes before that; a key whose rows all lie before the day is served by its last.
-    server = F.when(F.col("_opens").isNull() & (F.col("_last") < a), F.col("_last")).otherwise(F.col("_first"))
-    until = F.coalesce("_opens", F.lit(z + 1)) - 1
-    head = F.when((at == server) & (until >= a), F.sequence(F.lit(a).cast("long"), until)).otherwise(none)
-    own = F.when(inside, F.sequence(at, F.least(F.coalesce("_next", F.lit(z + 1)), F.lit(z + 1)) - 1)).otherwise(F.array(at))
-    out = rows.withColumn("_sec", F.explode(F.concat(head, own))).withColumn("is_filled", F.col("_sec") != at)
-    return out.withColumn(sec, F.col("_sec")).select(*df.columns, "is_filled")
+    at, inside = F.col(sec).cast("long"), F.coalesce(F.col(sec).between(a, z), F.lit(False))
+    # Rows of the day only, so a key's window holds 86 400 rows at most.
+    every = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(sec)
+    start = F.when(F.lag(sec).over(every).isNull(), F.lit(a).cast("long")).otherwise(at) if clip else at
+    rows = df.filter(inside).withColumns({"_from": start, "_until": F.coalesce(F.lead(sec).over(every), F.lit(z + 1)).cast("long") - 1})
+    own = rows.withColumn("_sec", F.explode(F.sequence("_from", "_until"))).withColumn("is_filled", F.col("_sec") != at)
+    parts = [own]
+    if not clip:
+        row = F.struct(*df.columns)
+        ends = df.groupBy(*keys).agg(
+            F.max(sec).alias("_last"),
+            F.min(F.when(inside, at)).alias("_opens"),  # first second of the day with a row
+            F.min_by(row, sec).alias("_earliest"),
+            F.max_by(row, sec).alias("_latest"),
+        )
+        # The earliest row serves what comes before that; a key whose rows all lie before the day is served by its last.
+        server = F.when(F.col("_opens").isNull() & (F.col("_last") < a), F.col("_latest")).otherwise(F.col("_earliest"))
+        until = F.coalesce("_opens", F.lit(z + 1)).cast("long") - 1
+        head = ends.filter(F.col("_last").isNotNull()).select(server.alias("_row"), until.alias("_until")).filter(F.col("_until") >= a)
+        head = head.select("_row.*", F.explode(F.sequence(F.lit(a).cast("long"), "_until")).alias("_sec"), F.lit(True).alias("is_filled"))
+        parts += [head, df.filter(~inside).select(*df.columns, at.alias("_sec"), F.lit(False).alias("is_filled"))]
+    parts = [p.withColumn(sec, F.col("_sec")).select(*df.columns, "is_filled") for p in parts]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def rewrite_filled_generic(filled: DataFrame) -> DataFrame:

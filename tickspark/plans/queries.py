@@ -549,10 +549,14 @@ def f4(spark, d):
     return filled_day(spark, d).filter("sec > z").select("symbol", "sec", "event_id", "cents")
 
 
+def all_days(spark: SparkSession, d: str) -> DataFrame:
+    """First rows of every day of the table, some with T."""
+    return e2_rows(spark, d).select("symbol", "sec", "event_id", F.col("ms").alias("E"), F.when(F.col("event_id") % 2 == 0, F.col("ms") + 7).alias("T"))
+
+
 def three_days(spark: SparkSession, d: str) -> DataFrame:
-    """First rows of the day and of those beside it, some with T."""
-    rows = e2_rows(spark, d).filter(F.col("sec").between(A - fill.DAY, Z + fill.DAY))
-    return rows.select("symbol", "sec", "event_id", F.col("ms").alias("E"), F.when(F.col("event_id") % 2 == 0, F.col("ms") + 7).alias("T"))
+    """Those of the day and of the days beside it."""
+    return all_days(spark, d).filter(F.col("sec").between(A - fill.DAY, Z + fill.DAY))
 
 
 THREE = f"""{EV}, w AS (SELECT symbol, sec, event_id, ms, CASE WHEN event_id % 2 = 0 THEN ms + 7 END AS T FROM (SELECT * FROM ev {FIRST}) WHERE sec BETWEEN {A - fill.DAY} AND {Z + fill.DAY}),
@@ -562,17 +566,30 @@ THREE = f"""{EV}, w AS (SELECT symbol, sec, event_id, ms, CASE WHEN event_id % 2
     FROM g ASOF LEFT JOIN t ON g.symbol = t.symbol AND g.sec >= t.sec JOIN ends ON ends.symbol = g.symbol
     UNION ALL SELECT symbol, sec, event_id, ms, T, false FROM w WHERE sec NOT BETWEEN {A} AND {Z})"""
 
+WHOLE = THREE.replace(f" WHERE sec BETWEEN {A - fill.DAY} AND {Z + fill.DAY})", ")")  # rows of every day
+
+
+def generic(rows: DataFrame) -> DataFrame:
+    return fill.rewrite_filled_generic(fill.fill_day(rows, DAY, ["symbol"])).select("symbol", "sec", "event_id", "E", "T", "is_filled")
+
+
+def mark_price(rows: DataFrame) -> DataFrame:
+    rows = rows.select("symbol", "sec", F.col("E").alias("event_time"), (F.col("sec") * 1000).alias("timestamp"))
+    return fill.rewrite_filled_mark_price(fill.fill_day(rows, DAY, ["symbol"])).select("symbol", "sec", "event_time", "timestamp")
+
+
+def kept_out_of_day(rows: DataFrame) -> DataFrame:
+    return fill.fill_day(rows, DAY, ["symbol"]).select("symbol", "sec", "event_id", "is_filled")
+
 
 @query("f5_rewrite_filled_generic", f"{THREE} SELECT symbol, sec, event_id, sec * 1000 AS E, CASE WHEN is_filled AND T IS NOT NULL THEN sec * 1000 ELSE T END AS T, is_filled FROM j")
 def f5(spark, d):
-    filled = fill.fill_day(three_days(spark, d), DAY, ["symbol"])
-    return fill.rewrite_filled_generic(filled).select("symbol", "sec", "event_id", "E", "T", "is_filled")
+    return generic(three_days(spark, d))
 
 
 @query("f6_rewrite_filled_mark_price", f"{THREE} SELECT symbol, sec, ms AS event_time, sec * 1000 AS timestamp FROM j")
 def f6(spark, d):
-    rows = three_days(spark, d).select("symbol", "sec", F.col("E").alias("event_time"), (F.col("sec") * 1000).alias("timestamp"))
-    return fill.rewrite_filled_mark_price(fill.fill_day(rows, DAY, ["symbol"])).select("symbol", "sec", "event_time", "timestamp")
+    return mark_price(three_days(spark, d))
 
 
 @query("f7_fill_per_symbol", f"{FILLED} SELECT symbol, sec, event_id, cents, is_filled FROM j")
@@ -582,7 +599,29 @@ def f7(spark, d):
 
 @query("f8_keep_out_of_day", f"{THREE} SELECT symbol, sec, event_id, is_filled FROM j")
 def f8(spark, d):
-    return fill.fill_day(three_days(spark, d), DAY, ["symbol"]).select("symbol", "sec", "event_id", "is_filled")
+    return kept_out_of_day(three_days(spark, d))
+
+
+# f5, f6 and f8 over the whole table: the SQL of those three reads three days
+
+
+def of_whole(name: str) -> str:
+    return SQL[name].replace(THREE, WHOLE)
+
+
+@query("f13_rewrite_filled_generic_all_days", of_whole("f5_rewrite_filled_generic"))
+def f13(spark, d):
+    return generic(all_days(spark, d))
+
+
+@query("f14_rewrite_filled_mark_price_all_days", of_whole("f6_rewrite_filled_mark_price"))
+def f14(spark, d):
+    return mark_price(all_days(spark, d))
+
+
+@query("f15_keep_out_of_day_all_days", of_whole("f8_keep_out_of_day"))
+def f15(spark, d):
+    return kept_out_of_day(all_days(spark, d))
 
 
 @query("f9_sort_by_time", f"{EV} SELECT symbol, sec, event_id FROM ev {FIRST}")
