@@ -91,6 +91,20 @@ def test_edges(spark, make_docs):
     assert all(r.kept for r in M.near_duplicates(docs.union(none), 2).filter("doc_id is null").collect())
 
 
+def test_one_id_with_several_texts(spark, make_docs):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = lambda t: t + " more"
+    # 5: a copy of 3 and a text of its own; 7: two texts of its own, one with a near copy in 8; 9: two near copies of each other.
+    d, e, f = (" ".join(f"{x}{i}" for i in range(40)) for x in "def")
+    given = [(3, a), (5, a), (5, b), (7, c), (7, d), (8, near(d)), (9, e), (9, near(e)), (10, ""), (10, f), (10, f), (11, near(b))]
+    docs = make_docs([t for _, t in given], ids=[i for i, _ in given])
+    rows = M.near_duplicates(docs, 5).collect()
+    assert sorted((r.doc_id, r.component_id) for r in rows) == sorted(zip((i for i, _ in given), (3, 3, 5, 7, 7, 7, 9, 9, 10, 10, 10, 5), strict=True))
+    left = [(r.doc_id, r.text) for r in M.drop_near_duplicates(docs, 5).collect()]
+    assert sorted(x for x in left if x[0] != 9) == sorted([(3, a), (5, b), (7, c), (7, d), (10, ""), (10, f)])
+    assert [x for x in left if x[0] == 9] in ([(9, e)], [(9, near(e))])
+
+
 def test_one_permutation_shifted():
     pick = np.random.default_rng(1)
     a = np.unique(pick.integers(0, 1 << 63, 400, np.uint64))

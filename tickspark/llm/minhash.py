@@ -11,8 +11,9 @@ probability 3e-6, and less as it may also meet through others of its class.
 
 Defined results: a document without words has no shingles, is linked with nothing and is kept; one
 with fewer words than a shingle has its whole word sequence as its only shingle; repeated rows (same
-id, same text) get equal rows; a row without an id is compared with nothing and kept; other columns
-are ignored.
+id, same text) get equal rows; rows of one id with different texts are compared each by its own text,
+and of those in one class one is kept; a row without an id is compared with nothing and kept; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -79,9 +80,14 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch], words_each: int, id_col: str) -> Iterator[pa.RecordBatch]:
+def set_key(keys: np.ndarray) -> bytes | None:
+    """128 bits that stand for a set of shingles; nothing for the empty set."""
     import xxhash
 
+    return xxhash.xxh3_128_digest(keys.tobytes()) if len(keys) else None
+
+
+def _sketch(batches: Iterator[pa.RecordBatch], words_each: int, id_col: str) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, 1024):
             batch = whole.slice(at, 1024)
@@ -89,7 +95,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], words_each: int, id_col: str) ->
             for text in batch.column(1):
                 s = shingles(text.as_py(), words_each)
                 sizes.append(len(s))
-                keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                keys.append(set_key(s))
                 signs.append(signature(s) if len(s) else None)
             bands = band_keys(np.array([s for s in signs if s is not None], np.uint32).reshape(-1, BANDS * ROWS))
             ends = np.cumsum([0] + [0 if s is None else BANDS for s in signs])
@@ -106,14 +112,16 @@ def sketch(docs: DataFrame, words_each: int = 5, *, id_col: str = "doc_id", text
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words_each: int) -> Iterator[pa.RecordBatch]:
-    """(rep, text, class, blocks, size) to (rep, class, blocks, set)."""
+    """(node, text, class, blocks, set_key) to (node, class, blocks, set), of the texts that have this set only."""
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
             sets = [shingles(t.as_py(), words_each) for t in batch.column(1)]
+            own = [set_key(s) == k.as_py() for s, k in zip(sets, batch.column(4), strict=True)]
+            sets, batch = [s for s, o in zip(sets, own, strict=True) if o], batch.filter(pa.array(own, pa.bool_()))
             ends = np.cumsum([0] + [len(s) for s in sets])
             flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["rep", "class", "blocks", "set"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["node", "class", "blocks", "set"])
 
 
 def common(sets: list[np.ndarray]) -> np.ndarray:
@@ -142,15 +150,15 @@ def _links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Confirmed links of one group: whole candidate classes, or two blocks of a large one."""
     a, b = [], []
     for _, part in rows.groupby("class", sort=False):
-        part = part.drop_duplicates("rep").sort_values("rep", kind="stable")
-        reps, sets = part["rep"].to_numpy(), [np.asarray(s, np.int64) for s in part["set"]]
-        if len(reps) < 2:
+        part = part.drop_duplicates("node").sort_values("node", kind="stable")
+        nodes, sets = part["node"].to_numpy(), [np.asarray(s, np.int64) for s in part["set"]]
+        if len(nodes) < 2:
             continue
         size = np.array([len(s) for s in sets], np.float64)
         both = common(sets).astype(np.float64)
         for i, j in spanning(100 * both >= percent * (size[:, None] + size - both)):
-            a.append(reps[i])
-            b.append(reps[j])
+            a.append(nodes[i])
+            b.append(nodes[j])
     return pd.DataFrame({"a": pd.Series(a, dtype="int64"), "b": pd.Series(b, dtype="int64")})
 
 
@@ -160,39 +168,69 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, *,
     Rows are linked where 100 * intersection >= percent * union of their shingle sets;
     component_id is the smallest id reachable by links and the row of that id is kept. Ids are long.
     """
+    found = _found(docs, words_each, percent, id_col, text_col)
+    return found.select(id_col, "n_shingles", "component_id", "kept")
+
+
+def _found(docs: DataFrame, words_each: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, n_shingles, set_key, component_id, kept) of every row."""
     sketches = checkpointed(sketch(docs, words_each, id_col=id_col, text_col=text_col))
     whole = sketches.filter((F.col("n_shingles") > 0) & F.col(id_col).isNotNull()).groupBy("set_key").agg(F.min(id_col).alias("rep"), F.any_value("bands").alias("bands"), F.any_value("n_shingles").alias("n"))
     whole = checkpointed(whole)  # one row for each different set
-    banded = whole.select("rep", F.explode("bands").alias("key"))
-    hubs = banded.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).filter("hub < top").select("key", "hub")
-    stars = banded.join(hubs, "key").filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-    classes = checkpointed(connected_components(stars).withColumnsRenamed({"id": "rep", "component": "class"}))
-
-    size = whole.select("rep", "n").join(classes, "rep").groupBy("class").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
+    # A set goes by its smallest id; where that is the smallest of several sets, sets are numbered instead.
+    numbered = not whole.groupBy("rep").count().filter("count > 1").isEmpty()
+    whole = checkpointed(whole.withColumn("node", F.monotonically_increasing_id())) if numbered else whole.withColumn("node", F.col("rep"))
+    banded = whole.select("node", F.explode("bands").alias("key"))
+    hubs = banded.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").select("key", "hub")
+    stars = banded.join(hubs, "key").filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    classes = checkpointed(connected_components(stars).withColumnsRenamed({"id": "node", "component": "class"}))
+
+    size = whole.select("node", "n").join(classes, "node").groupBy("class").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
     size = size.select("class", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    members = classes.join(size, "class").select("rep", "class", "blocks")
+    members = whole.select("node", "rep", "set_key").join(classes.join(size, "class"), "node").select("rep", "node", "class", "blocks", F.col("set_key").alias("_key"))
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("_text")).join(members, "rep")
-    sets = texts.select("rep", "_text", "class", "blocks").mapInArrow(lambda b: _sets(b, words_each), "rep long, class long, blocks int, set array<long>")
+    sets = texts.select("node", "_text", "class", "blocks", "_key").mapInArrow(lambda b: _sets(b, words_each), "node long, class long, blocks int, set array<long>")
     # A class of one block shares its group with others; of a large one, each two blocks meet in a group.
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     sets = sets.withColumn("own", own).withColumn("other", other)
     together = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
     sets = sets.select(
         F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("class"), F.lit(int(together) * 8))).otherwise(F.col("class")).alias("g"),
         F.when(F.col("blocks") == 1, -1).otherwise(F.least("own", "other")).alias("i"), F.when(F.col("blocks") == 1, -1).otherwise(F.greatest("own", "other")).alias("j"),
-        "rep", "class", "set",
+        "node", "class", "set",
     )
-    links = sets.groupBy("g", "i", "j").applyInPandas(lambda rows: _links(rows[["rep", "class", "set"]], percent), "a long, b long")
-    found = connected_components(links).withColumnsRenamed({"id": "rep"})
-    linked = whole.select("set_key", "rep").join(found, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
-    joined = sketches.select(id_col, "n_shingles", "set_key").join(linked, "set_key", "left")
+    links = sets.groupBy("g", "i", "j").applyInPandas(lambda rows: _links(rows[["node", "class", "set"]], percent), "a long, b long")
+    found = connected_components(links).withColumnsRenamed({"id": "node"})
+    linked = whole.select("set_key", "rep", "node").join(found, "node", "left").select("set_key", "rep", F.coalesce("component", "node").alias("component"), F.lit(True).alias("first"))
+    if numbered:  # the class' smallest id, and which of its sets stands for it
+        least = checkpointed(linked.groupBy("component").agg(F.min(F.struct("rep", "set_key")).alias("least")))
+        linked = linked.join(least, "component").select("set_key", F.col("least.rep").alias("component"), (F.col("least.set_key") == F.col("set_key")).alias("first"))
+    joined = sketches.select(id_col, "n_shingles", "set_key").join(linked.select("set_key", "component", "first"), "set_key", "left")
     component = F.when(F.col(id_col).isNotNull(), F.coalesce("component", F.col(id_col)))
-    return joined.select(id_col, "n_shingles", component.alias("component_id"), F.coalesce(component == F.col(id_col), F.lit(True)).alias("kept"))
+    kept = F.coalesce((component == F.col(id_col)) & F.coalesce("first", F.lit(True)), F.lit(True))
+    return joined.select(id_col, "n_shingles", "set_key", component.alias("component_id"), kept.alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each class of near-duplicates, with all its columns, and all rows without an id."""
-    found = near_duplicates(docs, words_each, percent, id_col=id_col, text_col=text_col).filter("kept").select(id_col).distinct()
-    kept = docs.join(found, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.select(*[F.col(f"`{n}`") for n in docs.columns]).union(docs.filter(F.col(id_col).isNull()))
+    names = [F.col(f"`{n}`") for n in docs.columns]
+    found = _found(docs, words_each, percent, id_col, text_col).filter(F.col(id_col).isNotNull())
+    key = F.coalesce("set_key", F.lit(b""))
+    repeated = (F.min(key) != F.max(key)) | ((F.min(key) == F.lit(b"")) & (F.count(F.lit(1)) > 1))
+    ids = checkpointed(found.groupBy(id_col).agg(F.max("kept").alias("_kept"), repeated.alias("_several")))
+    alone = docs.join(ids.filter("_kept AND NOT _several").select(id_col), id_col, "left_semi").dropDuplicates([id_col])
+    kept = alone.select(*names).union(docs.filter(F.col(id_col).isNull()).select(*names))
+    several = ids.filter("_kept AND _several").select(id_col)
+    if several.isEmpty():
+        return kept
+
+    @F.pandas_udf("binary")
+    def key_of(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: set_key(shingles(t, words_each)) or b"")
+
+    # An id with several sets, or with texts without words: its kept sets, and each text without words.
+    rows = docs.join(several, id_col, "left_semi").withColumn("_key", key_of(F.col(text_col)))
+    sets = found.filter("kept").select(id_col, key.alias("_key")).distinct()
+    rows = rows.join(sets, [id_col, "_key"], "left_semi").withColumn("_blank", F.when(F.col("_key") == F.lit(b""), F.col(text_col)))
+    return kept.union(rows.dropDuplicates([id_col, "_key", "_blank"]).select(*names))
