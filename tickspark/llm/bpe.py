@@ -22,6 +22,7 @@ from tickspark.llm.transducer import ChunkedMachine, Table, Transducer, compile_
 PIECE_CHARS = 1 << 20
 _CACHE_WORDS = 1_000_000
 _LONG = 64  # bytes; longer words are merged one by one
+_EXACT = 7  # bytes; up to here a word's key is the word itself, beyond it a hash whose hits are compared
 _CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 #: Symbols of the pre-tokenizer: end of text, special token, space, other white space, letter, number,
 #: apostrophe, other, and the letters of 's 't 'm 'd, 're, 've, 'll.
@@ -145,7 +146,7 @@ class Encoder:
         self._class(range(0x250))
         for i in range(1 + len(special)):
             self.kinds[_MARK + i] = SPECIAL if i else END
-        self._table = self._store = None
+        self._table = None
         self._base = 0
         self._forget()
 
@@ -235,38 +236,69 @@ class Encoder:
 
     def _forget(self) -> None:
         lexicon = self._lexicon if self._base else None
-        self._off = lexicon.offsets[:-1].astype(np.int64) if lexicon else np.empty(0, np.int64)
-        self._len = np.diff(lexicon.offsets).astype(np.int64) if lexicon else np.empty(0, np.int64)
-        self._ids = lexicon.ids.astype(np.int64) if lexicon else np.empty(0, np.int64)
-        self._known, self._row = np.empty(0, np.uint64), np.empty(0, np.int64)
+        empty = np.empty(0, np.int64)
+        self._off = _Grown(lexicon.offsets[:-1].astype(np.int64) if lexicon else empty)
+        self._len = _Grown(np.diff(lexicon.offsets).astype(np.int64) if lexicon else empty)
+        self._ids = _Grown(lexicon.ids.astype(np.int64) if lexicon else empty)
+        # Bytes of the rows that are not the lexicon's, to compare with.
+        self._bytes, self._begin, self._size = _Grown(np.empty(0, np.uint8)), _Grown(empty), _Grown(empty)
+        self._known, self._row = np.empty(0, np.uint64), empty
 
     def rows(self, w: Words) -> np.ndarray:
         """For each word its row in the lists of id sequences; -1 - id for special tokens."""
         rows = self._table.look_up(w.data, w.start, w.length) if self._table is not None else np.full(len(w.start), -1, np.int64)
         left = np.flatnonzero((rows < 0) & (w.special < 0))
         if len(left):
-            rows[left] = self._unseen(w, left)
+            rows[left] = self._unseen(w.data, w.start[left], w.length[left])
         return np.where(w.special >= 0, -1 - w.special, rows)
 
-    def _unseen(self, w: Words, left: np.ndarray) -> np.ndarray:
-        key = word_keys(w.data, w.start[left], w.length[left])
+    def lengths(self, rows: np.ndarray) -> np.ndarray:
+        """Numbers of ids of rows."""
+        return self._len.all[rows]
+
+    def _append(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """New rows, one for each of the words."""
+        ids, many = self.merge(data, start, length)
+        rows = self._off.n + np.arange(len(start))
+        self._off.add(self._ids.n + np.cumsum(many) - many)
+        self._len.add(many)
+        self._ids.add(ids)
+        self._begin.add(self._bytes.n + np.cumsum(length) - length)
+        self._size.add(length)
+        self._bytes.add(data[_ragged(start, length)])
+        return rows
+
+    def _unseen(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Rows of words outside the lexicon; each distinct word is merged once while it is remembered."""
+        key = word_keys(data, start, length)
         distinct, first, back = np.unique(key, return_index=True, return_inverse=True)
         at = np.minimum(np.searchsorted(self._known, distinct), max(len(self._known) - 1, 0))
         old = self._known[at] == distinct if len(self._known) else np.zeros(len(distinct), bool)
         if not old.all():
-            if len(self._known) > _CACHE_WORDS:
+            if self._off.n - self._base > _CACHE_WORDS:
                 self._forget()
                 old[:] = False
-            new = left[first[~old]]
-            ids, many = self.merge(w.data, w.start[new], w.length[new])
-            rows = len(self._off) + np.arange(len(new))
-            self._off = np.concatenate([self._off, len(self._ids) + np.cumsum(many) - many])
-            self._len = np.concatenate([self._len, many])
-            self._ids = np.concatenate([self._ids, ids])
+            new = first[~old]
+            rows = self._append(data, start[new], length[new])
             into = np.searchsorted(self._known, distinct[~old])
             self._known, self._row = np.insert(self._known, into, distinct[~old]), np.insert(self._row, into, rows)
             at = np.searchsorted(self._known, distinct)
-        return self._row[at][back]
+        row = self._row[at][back]
+        hashed = np.flatnonzero(length > _EXACT)
+        wrong = hashed[~self._same(data, start[hashed], length[hashed], row[hashed] - self._base)]
+        if len(wrong):  # another word has their key: they get rows that no key leads to
+            row[wrong] = self._append(data, start[wrong], length[wrong])
+        return row
+
+    def _same(self, data: np.ndarray, start: np.ndarray, length: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """Which words are, byte for byte, the remembered words of these numbers."""
+        same = self._size.all[number] == length
+        at = np.flatnonzero(same)
+        if len(at):
+            size = length[at]
+            equal = data[_ragged(start[at], size)] == self._bytes.all[_ragged(self._begin.all[number[at]], size)]
+            same[at] = np.logical_and.reduceat(equal, np.cumsum(size) - size)
+        return same
 
     def encode(self, texts: Iterable[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(text number of each id, ids), texts in order, a bounded number of ids at a time."""
@@ -274,12 +306,12 @@ class Encoder:
             rows = self.rows(w)
             word = rows >= 0
             many = np.ones(len(rows), np.int64)
-            many[word] = self._len[rows[word]]
+            many[word] = self._len.all[rows[word]]
             begin = np.cumsum(many) - many
             off = np.zeros(len(rows), np.int64)
-            off[word] = self._off[rows[word]]
+            off[word] = self._off.all[rows[word]]
             index = np.repeat(off - begin, many) + np.arange(int(many.sum()))
-            ids = self._ids[np.minimum(index, len(self._ids) - 1)] if len(self._ids) else np.zeros(len(index), np.int64)
+            ids = self._ids.all[np.minimum(index, self._ids.n - 1)] if self._ids.n else np.zeros(len(index), np.int64)
             ids[begin[~word]] = -1 - rows[~word]
             yield np.repeat(w.text, many), ids
 
@@ -301,27 +333,29 @@ class Encoder:
 
     def merge(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words one after the other, number of ids of each)."""
-        many, parts = np.empty(len(start), np.int64), {}
+        n = len(start)
+        many, begin, parts, total = np.zeros(n, np.int64), np.zeros(n, np.int64), [np.empty(0, np.int64)], 0
         order = np.argsort(length, kind="stable")
+        by_length = length[order]
         at = 0
-        while at < len(order):
-            longest = int(length[order[at]])
+        while at < n:
+            longest = int(by_length[at])
             if longest > _LONG:
-                for i in order[at:].tolist():
-                    ids = self._merge_long(data[start[i] : start[i] + length[i]])
-                    parts[i], many[i] = np.array(ids, np.int64), len(ids)
-                break
-            stop = at
-            upper = max(4, longest + longest // 4)
-            stop = min(int(np.searchsorted(length[order], upper, "right")), at + 32_768)
-            group = order[at:stop]
-            for i, ids in zip(group.tolist(), self._merge_many(data, start[group], length[group]), strict=True):
-                parts[i], many[i] = ids, len(ids)
-            at = stop
-        return np.concatenate([parts[i] for i in range(len(start))]) if len(start) else np.empty(0, np.int64), many
-
-    def _merge_many(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> list[np.ndarray]:
-        """All words of a group in step: every round makes the best merge of each word."""
+                group = order[at : at + 1]
+                ids = np.array(self._merge_long(data[start[group[0]] : start[group[0]] + longest]), np.int64)
+                size = np.array([len(ids)])
+            else:
+                upper = max(4, longest + longest // 4)
+                group = order[at : min(int(np.searchsorted(by_length, upper, "right")), at + 32_768)]
+                ids, size = self._merge_many(data, start[group], length[group])
+            many[group], begin[group] = size, total + np.cumsum(size) - size
+            parts.append(ids)
+            total += len(ids)
+            at += len(group)
+        return np.concatenate(parts)[_ragged(begin, many)], many
+
+    def _merge_many(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for a group in step: every round makes the best merge of each word."""
         n, width, none = len(start), int(length.max()), len(self._rank)
         col = np.arange(width)
         inside = col < length[:, None]
@@ -356,7 +390,7 @@ class Encoder:
                 rank[r, c] = self._ranks(ids[r, c], ids[r, c + 1])
             last = size[live] - 1
             rank[row[last < w], last[last < w]] = none
-        return np.split(out[out >= 0], np.cumsum(size)[:-1])
+        return out[out >= 0], size
 
     def _merge_long(self, word: np.ndarray) -> list[int]:
         """One word with a heap of its pairs."""
@@ -384,7 +418,31 @@ class Encoder:
         return [x for x in ids if x >= 0]
 
 
-@lru_cache(maxsize=1)
+class _Grown:
+    """An array that grows at its end; ``all`` is what it holds."""
+
+    def __init__(self, values: np.ndarray):
+        self._room, self.n = values.copy(), len(values)
+
+    @property
+    def all(self) -> np.ndarray:
+        return self._room[: self.n]
+
+    def add(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self._room):
+            room = np.empty(2 * (self.n + len(values)), self._room.dtype)
+            room[: self.n] = self.all
+            self._room = room
+        self._room[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+
+def _ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of every span, one after the other."""
+    return np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+
+
+@lru_cache(maxsize=4)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     base = 0x9E3779B97F4A7C15
     with np.errstate(over="ignore"):
@@ -396,13 +454,23 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def word_keys(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """64-bit keys of words, from prefix hashes."""
-    up, down, symbols = _powers(1 << max(20, int(len(data)).bit_length()))
-    prefix = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(symbols[data] * up[: len(data)], out=prefix[1:])
-    key = (prefix[start + length] - prefix[start]) * down[start]
-    key ^= key >> np.uint64(31)
-    return key * np.uint64(0xBF58476D1CE4E5B9) + length.astype(np.uint64)
+    """64-bit keys of words. Up to _EXACT bytes the key holds the word and its length, so that it is the
+    word's alone; longer words have a hash from prefix hashes, with the top bit set."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    short = np.minimum(length, _EXACT)
+    key = eight[start] & ((np.uint64(1) << (8 * short).astype(np.uint64)) - np.uint64(1)) | short.astype(np.uint64) << np.uint64(56)
+    far = np.flatnonzero(length > _EXACT)
+    if len(far):
+        up, down, symbols = _powers(1 << max(20, int(len(data)).bit_length()))
+        prefix = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(symbols[data] * up[: len(data)], out=prefix[1:])
+        a, n = start[far], length[far]
+        hashed = (prefix[a + n] - prefix[a]) * down[a]
+        hashed ^= hashed >> np.uint64(31)
+        key[far] = hashed * np.uint64(0xBF58476D1CE4E5B9) + n.astype(np.uint64) | np.uint64(1 << 63)
+    return key
 
 
 def make_lexicon(encoder: Encoder, words: Iterable[bytes]) -> Lexicon:

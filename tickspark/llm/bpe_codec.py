@@ -5,8 +5,9 @@ into a transducer with shared suffixes whose path outputs give the word's place
 sequences. Every Python process maps it into memory. Words that it lacks are merged exactly, so the
 lexicon changes the time taken and never the result.
 
-Defined results: a null text is the empty text; repeated rows give equal rows; other columns are
-ignored.
+Defined results: a null text is the empty text, with no ids; very long texts are encoded whole, in
+pieces cut between two words; repeated rows give equal rows; an empty table gives no rows; other
+columns are ignored, whatever their names; of words equally frequent the hash decides which are listed.
 """
 
 from __future__ import annotations
@@ -28,20 +29,30 @@ _TEXTS_AT_ONCE = 512
 def frequent_words(docs: DataFrame, limit: int = LEXICON_WORDS, *, text_col: str = "text", lower: bool = False) -> list[str]:
     """The most frequent runs of letters of all texts, at most ``limit``, counted everywhere.
 
-    Words are told apart by count in steps of a sixteenth of a doubling: how many words each step has
-    decides where to cut, so what reaches the driver is bounded by ``limit`` and does not grow with
-    tasks or rows. The step that would go over the limit is left out whole."""
+    Words are told apart by count in steps of a sixteenth of a doubling, and those of the step that would go
+    over the limit by 1024 groups of their hash: how many words each step and group has decides where
+    to cut, so what reaches the driver is bounded by ``limit`` and does not grow with tasks or rows."""
     text = F.lower(text_col) if lower else F.col(text_col)
     words = docs.select(F.explode(F.split(text, r"[^\p{L}]+")).alias("w")).filter((F.col("w") != "") & (F.octet_length("w") <= 64))
-    counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).select("w", F.floor(F.log2("n") * 16).cast("int").alias("step"))
+    counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select("w", F.floor(F.log2("n") * 16).cast("int").alias("step"), F.pmod(F.xxhash64("w"), F.lit(1024)).alias("group"))
     counts = counts.persist(StorageLevel.DISK_ONLY)
-    sizes = {r.step: r.k for r in counts.groupBy("step").agg(F.count(F.lit(1)).alias("k")).collect()}
-    cut, room = None, limit
+    how_many = lambda df, by: {r[0]: r[1] for r in df.groupBy(by).agg(F.count(F.lit(1))).collect()}
+    whole, part, room = F.lit(False), F.lit(False), limit
+    sizes = how_many(counts, "step")
     for step in sorted(sizes, reverse=True):
-        if sizes[step] > room:
-            break
-        cut, room = step, room - sizes[step]
-    chosen = [] if cut is None else [r.w for r in counts.filter(F.col("step") >= cut).select("w").collect()]
+        if sizes[step] <= room:
+            whole, room = F.col("step") >= step, room - sizes[step]
+            continue
+        groups = how_many(counts.filter(F.col("step") == step), "group")
+        last = -1
+        for group in sorted(groups):
+            if groups[group] > room:
+                break
+            last, room = group, room - groups[group]
+        part = (F.col("step") == step) & (F.col("group") <= last)
+        break
+    chosen = [r.w for r in counts.filter(whole | part).select("w").collect()]
     counts.unpersist()
     return sorted(chosen)
 

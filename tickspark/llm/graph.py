@@ -1,8 +1,9 @@
-"""Connected components on Spark, and the shared folder that cuts lineage."""
+"""Connected components on Spark, and the shared folder where tables that cut lineage lie."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -10,13 +11,23 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; one of its own only where that is unset."""
+    """The folder that spark.checkpoint.dir names. Where that is unset, one of its own, and only on one machine."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return context.getCheckpointDir()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows of df in a table of its own in the shared folder."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows of df in the session's shared checkpoint folder; lost executors lose none of them."""
     shared_folder(df.sparkSession)

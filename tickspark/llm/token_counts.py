@@ -5,10 +5,12 @@ cut into chunks without regard to words; each chunk gives a map from start state
 maps compose by a parallel prefix scan, and every chunk then emits its word starts from its true
 start state. Words run through a second transducer, compiled from the corpus' frequent words, whose
 transitions carry emitted-token counts: the sum along a word's path is its number of tokens. Words
-outside it are merged exactly, each distinct one once.
+outside it are merged exactly, each distinct one once. Byte-pair merges of a word depend on the whole
+word, so counts compose over words, not over parts of one; what composes by prefix scan is where words begin.
 
-Defined results: a null text is the empty text with 0 tokens; repeated rows give equal rows; other
-columns are ignored.
+Defined results: a null text is the empty text with 0 tokens; very long texts are counted whole, in
+pieces cut between two words; repeated rows give equal rows; an empty table gives no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -50,7 +52,7 @@ class Counter:
         if len(left):
             some = Words(w.data, w.start[left], w.length[left], w.text[left], w.special[left])
             rows = self.encoder.rows(some)
-            counts[left] = self.encoder._len[rows]
+            counts[left] = self.encoder.lengths(rows)
         return counts
 
     def count(self, texts: list[str]) -> np.ndarray:
