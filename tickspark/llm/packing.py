@@ -10,7 +10,7 @@ closes, so memory is bounded by the open sequences and one batch (and by the lon
 
 What is still open when a partition ends goes to a second pass: the pieces of those sequences, at
 most ``open_bins`` a partition and however many partitions there are, are dealt to few tasks, each of
-some hundred thousand pieces, and packed by the same rule. Only these are shuffled.
+some ten thousand pieces, and packed by the same rule. Only these are shuffled.
 The first pass is a table in the shared folder, so that texts are tokenized once.
 
 Defined results: a null or empty text is the empty document, one piece of just the end id; a very
@@ -36,7 +36,7 @@ OPEN_BINS = 1024
 PIECES = "piece int, start long, length long, sequence_id long, offset long, ids binary"
 _SEQUENCES = 1 << 40  # of one partition
 _SECOND = 1 << 62  # where the numbers of the second pass begin
-_PIECES_A_TASK = 200_000  # of the second pass
+_PIECES_A_TASK = 16_384  # of the second pass
 BATCH_TEXTS = 512
 _PIECES_AT_ONCE = 1024  # of the second pass
 
