@@ -92,29 +92,47 @@ def small_parts(request, monkeypatch):
 
 
 def solo(task, texts):
-    """The engine's steps without Spark, over two partitions."""
+    """The engine's steps without Spark, over two partitions: what is removed, and how many places by which step."""
     import pyarrow as pa
 
-    half = [list(range(0, len(texts), 2)), list(range(1, len(texts), 2))]
-    batch = lambda ids: pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([texts[i] for i in ids], pa.string())], ["doc", "text"])
     order = [(c, "ascending") for c in R.ORDER]
-    found = pa.Table.from_batches([b for ids in half for b in R._find(iter([batch(ids)]), task)], schema=R._FOUND)
-    met = pa.Table.from_batches(list(R._meet(iter(found.sort_by(order).to_batches(max_chunksize=7)), task)), schema=R._FOUND).to_pandas()
-    asked = met[met.kind >= R.ASKED]
-    fields = ["kind", "h", "x", "begin", "end"]
-    lists = asked.groupby("doc").apply(lambda g: g[fields].to_dict("records"), include_groups=False)
-    kind = pa.list_(pa.struct([(n, pa.int64()) for n in fields]))
-    out = met[met.kind == R.REMOVED][["doc", "begin", "end"]].values.tolist()
-    if len(lists):
-        ask = pa.RecordBatch.from_arrays([pa.array(lists.index.tolist(), pa.int64()), pa.array([texts[i] for i in lists.index], pa.string()), pa.array(list(lists), kind)], ["doc", "text", "asked"])
-        regions = pa.Table.from_batches(list(R._gather(iter([ask.slice(0, 9), ask.slice(9)]), task)), schema=R._TEXT).sort_by(order)
-        for b in R._finish(iter(regions.to_batches(max_chunksize=5)), task):
-            assert set(b.column(0).to_pylist()) <= {R.REMOVED}
-            out += b.to_pandas()[["doc", "begin", "end"]].values.tolist()
-    covered = [set() for _ in texts]
-    for d, a, b in out:
-        covered[d].update(range(a, b))
-    return covered, set(asked.kind)
+    covered, share = [set() for _ in texts], {"buffer": 0, "solver": 0, "windows": 0}
+
+    def remove(table, name):
+        for d, a, b in zip(*(table[c].to_pylist() for c in ("doc", "begin", "end")), strict=True):
+            share[name] += len(set(range(a, b)) - covered[d])
+            covered[d].update(range(a, b))
+
+    def lists(rows):
+        """(doc, base, text, rows of it), as two batches."""
+        by_doc = {}
+        for r in rows.to_pylist():
+            by_doc.setdefault(r["doc"], []).append({k: r[k] for k in ("h", "begin", "info")})
+        kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("h", "begin", "info")]))
+        ids = sorted(by_doc)
+        whole = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([0] * len(ids), pa.int64()), pa.array([texts[i] for i in ids], pa.string()), pa.array([by_doc[i] for i in ids], kind)], ["doc", "base", "text", "asked"])
+        return iter([whole.slice(0, 9), whole.slice(9)])
+
+    def resolve(found, hot_rows, name):
+        met = pa.Table.from_batches(list(R._meet(iter(found.sort_by(order).to_batches(max_chunksize=7)), hot_rows)), schema=R._FOUND)
+        kind = met["info"].to_numpy() & 3
+        gone = {c: met[c].to_numpy()[kind == R.REMOVED] for c in ("doc", "begin", "info")}
+        remove(pa.table({"doc": gone["doc"], "begin": gone["begin"], "end": gone["begin"] + (gone["info"] >> 16)}), "buffer")
+        regions = pa.Table.from_batches(list(R._gather(lists(met.filter(pa.array(kind == R.ASKED))), task)), schema=R._TEXT).sort_by(order)
+        for b in R._solve(iter(regions.to_batches(max_chunksize=5)), task):
+            remove(pa.Table.from_batches([b]), name)
+        return met.filter(pa.array(kind == R.HOT))
+
+    def deal(ids):
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([0] * len(ids), pa.int64()), pa.array([texts[i] for i in ids], pa.string())], ["doc", "base", "text"])
+
+    halves = [list(range(0, len(texts), 2)), list(range(1, len(texts), 2))]
+    found = pa.Table.from_batches([b for ids in halves for b in R._find(iter([deal(ids)]), task)], schema=R._FOUND)
+    hot = resolve(found, task.hot_rows, "solver")
+    if hot.num_rows:
+        found = pa.Table.from_batches([b for part in lists(hot) for b in R._windows(iter([part]), task)], schema=R._FOUND)
+        assert not resolve(found, None, "windows").num_rows
+    return covered, share
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -133,26 +151,49 @@ def test_engine_words(small_parts, seed):
     assert [len(c) for c in got] == [w[1] for w in want]
 
 
-@pytest.mark.parametrize("limit", [0, 1, 3])
-def test_hot_anchors_are_taken_apart(small_parts, monkeypatch, limit):
-    """With few regions allowed around an anchor, most are compared as single windows."""
-    monkeypatch.setattr(R, "HOT_REGIONS", limit)
+@pytest.mark.parametrize("rows, here", [(1, 1 << 30), (3, 1 << 30), (1 << 30, 1), (1 << 30, 3), (2, 2), (1 << 30, 1 << 30)])
+def test_hot_anchors_are_taken_apart(small_parts, rows, here):
+    """With few rows allowed around an anchor, after the exchange or before, most are compared as single windows."""
     pick = random.Random(8)
     common = "".join(pick.choice("abcdef") for _ in range(180))
+    hot = min(rows, here) < 1 << 30
     texts = mosaic(40, "abcdefgh", 6) + [f"{i} x{i} {common}{i * 7} y{i}" for i in range(40)] + EDGES
-    got, kinds = solo(S.byte_task(), texts)
-    assert R.HOT in kinds and [len(c) for c in got] == [w[1] for w in brute_bytes(texts, 100)]
+    got, share = solo(S.byte_task(hot_rows=rows, hot_here=here), texts)
+    assert [len(c) for c in got] == [w[1] for w in brute_bytes(texts, 100)]
+    assert (share["windows"] > 0) == hot or here < 1 << 30
     texts = word_mosaic(40, 5) + [" ".join(f"{i} {common[:60]} {i}") for i in range(40)] + EDGES
-    got, kinds = solo(W.word_task(), texts)
-    assert R.HOT in kinds and [len(c) for c in got] == [w[1] for w in brute_words(texts, 35)]
+    got, share = solo(W.word_task(hot_rows=rows, hot_here=here), texts)
+    assert [len(c) for c in got] == [w[1] for w in brute_words(texts, 35)]
+    assert (share["windows"] > 0) == hot or here < 1 << 30
+
+
+def test_one_anchor_larger_than_a_shard(monkeypatch):
+    """All texts share an anchor and differ around it; copies of each come in several parts."""
+    monkeypatch.setattr(R, "SHARD", 1000)
+    core = "".join(random.Random(2).choices("abcdef", k=120))
+    texts = [f"{i % 7:03d}{core}{i % 7:05d}" for i in range(60)]
+    for rows in (1, 1 << 30):
+        assert [len(c) for c in solo(S.byte_task(hot_rows=rows), texts)[0]] == [w[1] for w in brute_bytes(texts, 100)]
+        words = [" ".join(t) for t in texts]
+        assert [len(c) for c in solo(W.word_task(hot_rows=rows), words)[0]] == [w[1] for w in brute_words(words, 35)]
+
+
+@pytest.mark.parametrize("rows, here", [(1 << 30, 1 << 30), (2, 2)])
+def test_colliding_hashes_remove_nothing(monkeypatch, rows, here):
+    """With hashes of places that say nothing, all that is removed has been compared."""
+    real = R.mix
+    monkeypatch.setattr(R, "mix", lambda x: real(x) & np.uint64(3))
+    texts = mosaic(14, "abcd", 3) + EDGES[:9]
+    assert [len(c) for c in solo(S.byte_task(hot_rows=rows, hot_here=here), texts)[0]] == [w[1] for w in brute_bytes(texts, 100)]
+    texts = word_mosaic(14, 3) + EDGES
+    assert [len(c) for c in solo(W.word_task(hot_rows=rows, hot_here=here), texts)[0]] == [w[1] for w in brute_words(texts, 35)]
 
 
 def test_collisions_are_found(monkeypatch):
     """With a hash that always collides the bytes decide."""
     monkeypatch.setattr(R, "span_hashes", lambda prefix, start, length: np.zeros(len(start), np.uint64))
-    data = np.frombuffer(b"abcdeabcdfabcde", np.uint8)
-    got = S.later_windows(5)(data, np.array([0, 5, 10]), np.array([5, 5, 5]), np.zeros((2, 3), np.int64))
-    assert got.tolist() == [10]
+    part, offset = S.later_windows(5)([b"abcde", b"abcdf", b"abcde"], np.array([5, 5, 5]), np.zeros((2, 3), np.int64))
+    assert (part.tolist(), offset.tolist()) == ([2], [0])
 
 
 def test_fm_index_counts():
@@ -207,3 +248,33 @@ def test_cut_texts_keep_columns(spark, make_docs):
     out = W.without_repeated_passages(docs)
     assert out.columns == docs.columns
     assert {r.doc_id: r.text for r in out.collect()} == {0: "one tail", 1: "two", 2: "left\nas it is", 3: None}
+
+
+def test_one_id_for_different_texts(spark, make_docs):
+    """Texts of one id are documents of their own, in order of their md5."""
+    body = "".join(random.Random(4).choices("abcdef", k=300))
+    texts = ["a" + body, "unlike " * 3 + "".join(random.Random(5).choices("ghij", k=400)), "b " + body, "c " + body, None]
+    ids = [1, 1, 1, 2, 1]
+    docs = make_docs(texts, ids=ids)
+    order = sorted(range(5), key=lambda i: (ids[i], hashlib.md5((texts[i] or "").encode()).hexdigest()))
+    want = {texts[i]: b for i, b in zip(order, brute_bytes([texts[i] for i in order], 100), strict=True)}
+    got = S.remove_repeated_bytes(docs.union(docs)).collect()
+    assert sorted((r.doc_id, r.n_bytes, len(r.removed), hashlib.sha256(r.kept).hexdigest()) for r in got) == sorted(2 * [(i, want[t][0], want[t][2], want[t][3]) for i, t in zip(ids, texts, strict=True)])
+    words = [t and " ".join(t) for t in texts]
+    docs = make_docs(words, ids=ids)
+    count = {t: n for t, (_, n, _) in zip(words, brute_words(words, 35), strict=True)}
+    left = W.without_repeated_passages(docs)
+    assert sorted(len((r.text or "").split()) for r in left.collect()) == sorted(len((t or "").split()) - count[t] for t in words)
+
+
+def test_long_text_with_clashing_columns(spark, make_docs):
+    long = "".join(random.Random(6).choices("abcdefgh ", k=3_000_000))
+    docs = make_docs([long, "x" + long[1_500_000:1_500_400], "y z"], parts=3)
+    for clash in ("ranges", "removed", "base", "doc", "info", "kept", "_ranges", "h"):
+        docs = docs.withColumn(clash, docs.source)
+    got = {r.doc_id: r for r in S.remove_repeated_bytes(docs).collect()}
+    assert [(s.begin, s.end) for s in got[1].removed] == [(1, 401)] and got[0].removed == [] and bytes(got[2].kept) == b"y z"
+    cut = W.without_repeated_passages(docs)
+    assert cut.columns == docs.columns and cut.count() == 3
+    got = {r.doc_id: r for r in W.remove_repeated_passages(docs).collect()}
+    assert got[0].n_words == len(long.split())

@@ -3,46 +3,62 @@
 Every window of ``window`` symbols owns an anchor: of the shorter windows of ``anchor`` symbols in it
 the one with the least hash, leftmost on ties. Equal windows have equal anchors at equal distances,
 so it is enough to compare windows whose anchors are equal. Consecutive windows with one anchor form
-a run; a run covers a region of the text.
-
-1. Each task finds the runs of its documents and settles runs with equal regions among themselves.
-   Of equal regions one row travels on, however many copies there are.
-2. Rows meet by anchor. Equal regions (two independent 64-bit hashes, of the anchor and of the whole
-   region) are settled; where regions with one anchor differ, their texts are asked for.
-3. The regions' symbols, gathered from the documents, meet by anchor again, and a solver finds the
-   windows that they share.
-
-An anchor with more than HOT_REGIONS different regions (the edge of a passage that very many
-documents hold) is hot: its regions are not compared in one task but taken apart into single
-windows, which go through steps 1 and 2 by themselves. Equal ones are settled in the map task first,
-so that a window travels once a task, and different ones part ways by their hash.
-
-Memory in a task is bounded by a segment of text, a buffer of runs and a shard of regions, however
-large a group is. Long documents are handled in overlapping segments. Rows without an id take no part.
+a run; a run covers a region of the text. Hashes only say which regions are to be compared; what is
+removed has been compared symbol by symbol.
+
+1. Each task finds the runs of its documents, a buffer at a time. Regions of a buffer that are equal,
+   compared byte by byte, are settled there, and one of them travels on.
+2. Rows (hash of the anchor, place) meet by anchor. Where an anchor occurs again, the texts of its
+   regions are asked for.
+3. The regions, gathered from the documents, meet by anchor again, and a solver finds the windows
+   that they share.
+
+An anchor with many regions (the edge of a passage that very many documents hold) is hot. A task that
+finds more than ``hot_here`` regions of one sends them aside at once and leaves a mark for the others;
+an anchor with more than ``hot_rows`` rows is hot too. Regions of hot anchors go through steps 1 to 3 a
+second time as single windows under their own hash, which spreads them: equal ones are settled in the
+buffer, unlike ones never meet. The two numbers decide which of the two ways a region goes, not
+what is compared.
+
+Memory in a task is bounded by a segment of text, a buffer of runs and a shard of regions (and by the
+longest text), however large a group is: a group that fills a shard is solved in parts, one region of
+each content staying on. Long documents are handled in overlapping segments. Rows without an id take
+no part. Rows of one id with different texts are documents of their own, in order of the texts' md5;
+rows of one id with one text are one document.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickspark.llm.graph import shared_folder
+from tickspark.llm.graph import checkpointed, stored
 
 SEGMENT = 1 << 20
-RUNS_AT_ONCE = 1 << 19
-SHARD = 1 << 18  # symbols
-HOT_REGIONS = 1024
+RUNS_AT_ONCE = 1 << 18
+SHARD = 1 << 18  # bytes
+_GATHERED = 1 << 22  # bytes
 _POSITION = 22
+#: A place is a position in a text plus this times the number of the text among those of its id.
+TEXT = 1 << 40
 _U = np.uint64
 
 
+class Content:
+    """Symbols of one text: keys to hash, and the bytes of a part to compare."""
+
+    keys: np.ndarray  # uint8 or uint64
+
+    def part(self, begin: int, end: int) -> bytes:
+        raise NotImplementedError
+
+
 @dataclass(frozen=True)
 class Task:
     """What counts as a repeat. ``keep_first``: of equal windows the first (by id, then place) stays."""
@@ -50,9 +66,11 @@ class Task:
     window: int
     anchor: int
     keep_first: bool
-    symbols: Callable[[str], np.ndarray]  # uint8 or uint64
-    solve: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
-    bytes_each: int
+    content: Callable[[str], Content]
+    #: (parts' bytes, numbers of symbols, [group, distance to the anchor] of each) to the places, as (part, offset), of windows to remove.
+    solve: Callable[[list[bytes], np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+    hot_rows: int = 4096
+    hot_here: int = 64
 
 
 @lru_cache(maxsize=1)
@@ -87,12 +105,12 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, length: np.ndarray | int)
 
 
 def runs(symbols: np.ndarray, ends: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """(anchor hash, anchor place, first window, last window) of all runs; windows stay within a text.
+    """(anchor hash, region hash, anchor place, first window, last window) of all runs; windows stay within a text.
 
     ``ends``: where each of the texts that make up ``symbols`` ends."""
     n, wide = len(symbols), window - anchor + 1
     if n < window:
-        return (np.empty(0, _U),) + (np.empty(0, np.int64),) * 3
+        return (np.empty(0, _U),) * 2 + (np.empty(0, np.int64),) * 3
     prefix = prefix_hashes(symbols)
     at = np.arange(n - anchor + 1)
     key = mix(span_hashes(prefix, at, anchor))
@@ -110,9 +128,10 @@ def runs(symbols: np.ndarray, ends: np.ndarray, window: int, anchor: int) -> tup
     new[1:] &= ~valid[:-1] | (place[1:] != place[:-1])
     last = valid.copy()
     last[:-1] &= ~valid[1:] | (place[1:] != place[:-1])
-    first = np.flatnonzero(new)
-    where = place[first]
-    return key[where], where, first, np.flatnonzero(last)
+    first, stop = np.flatnonzero(new), np.flatnonzero(last)
+    where, size = place[first], stop - first + window
+    region = mix(span_hashes(prefix, first, size) ^ mix((size << 16 | where - first).astype(_U)))
+    return key[where], region, where, first, stop
 
 
 def _segments(texts: list[np.ndarray], window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -137,292 +156,358 @@ def _segments(texts: list[np.ndarray], window: int) -> Iterator[tuple[np.ndarray
         yield flush()
 
 
-_FOUND = pa.schema([("kind", pa.int32()), ("h", pa.int64()), ("f", pa.int64()), ("doc", pa.int64()), ("x", pa.int64()), ("begin", pa.int64()), ("end", pa.int64()), ("many", pa.bool_())])
-_TEXT = _FOUND.append(pa.field("region", pa.binary()))
-FOUND = "kind int, h long, f long, doc long, x long, begin long, end long, many boolean"
 #: Of a row: a run still to be compared, a range to remove, a region whose text is asked for, one of a hot anchor.
 RUN, REMOVED, ASKED, HOT = range(4)
-ORDER = ["kind", "h", "f", "doc", "x", "begin"]
+_MARK = np.iinfo(np.int64).min  # as the document of a row: the anchor is hot
+#: ``info``: kind, then 14 bits for the distance of the anchor, then the length.
+FOUND = "h long, doc long, begin long, info long"
+_FOUND = pa.schema([(c, pa.int64()) for c in ("h", "doc", "begin", "info")])
+_TEXT = _FOUND.append(pa.field("region", pa.binary()))
+ORDER = ["h", "doc", "begin"]
+
+
+def info(kind: int, distance: np.ndarray | int, length: np.ndarray) -> np.ndarray:
+    return kind | distance << 2 | length << 16
 
 
-def _rows(kind: int, h, f, doc, x, begin, end, many) -> pa.RecordBatch:
-    n = len(doc)
-    fill = lambda v: pa.array(np.broadcast_to(np.asarray(v), n) if np.ndim(v) == 0 else v)
-    return pa.RecordBatch.from_arrays([c.cast(t.type) for c, t in zip((fill(np.int32(kind)), fill(h), fill(f), fill(doc), fill(x), fill(begin), fill(end), fill(many)), _FOUND, strict=True)], schema=_FOUND)
+def _rows(h: np.ndarray, doc: np.ndarray, begin: np.ndarray, packed: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == _U else c) for c in (h, doc, begin, packed)], schema=_FOUND)
 
 
 def merge_ranges(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ranges that touch or overlap become one."""
+    """Ranges of places that touch or overlap become one."""
     if not len(doc):
         return doc, begin, end
     order = np.lexsort((begin, doc))
     doc, begin, end = doc[order], begin[order], end[order]
-    _, rank = np.unique(doc, return_inverse=True)
-    far = rank * (int(end.max()) + 1)
+    base = begin & -TEXT
+    fresh = np.ones(len(doc), bool)
+    fresh[1:] = (doc[1:] != doc[:-1]) | (base[1:] != base[:-1])
+    far = np.cumsum(fresh) * (int((end - base).max()) + 1) - base
     reach = np.maximum.accumulate(far + end)
-    new = np.ones(len(doc), bool)
-    new[1:] = (far + begin)[1:] > reach[:-1]
-    new[1:] |= doc[1:] != doc[:-1]
+    new = fresh.copy()
+    new[1:] |= (far + begin)[1:] > reach[:-1]
     at = np.flatnonzero(new)
-    return doc[at], begin[at], (np.append(reach[at[1:] - 1], reach[-1]) - far[at])
+    return doc[at], begin[at], np.append(reach[at[1:] - 1], reach[-1]) - far[at]
 
 
-def _removed(doc, begin, end) -> pa.RecordBatch:
+def _removed(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
     doc, begin, end = merge_ranges(doc, begin, end)
-    return _rows(REMOVED, mix(doc.astype(_U)).view(np.int64), 0, doc, 0, begin, end, False)
+    return _rows(mix(doc.astype(_U)), doc, begin, info(REMOVED, 0, end - begin))
 
 
-def _settle(cols: list[np.ndarray], keep_first: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For rows sorted by (h, f, doc, x): (distinct rows, first of each equal region, rows to remove)."""
-    h, f, doc, x, _, _, many = cols
-    n = len(h)
-    same = np.zeros(n, bool)
-    same[1:] = (h[1:] == h[:-1]) & (f[1:] == f[:-1])
-    again = same.copy()
-    again[1:] &= (doc[1:] == doc[:-1]) & (x[1:] == x[:-1])
-    first = ~same
-    if keep_first:
-        return ~again, first, same & ~again
-    group = np.cumsum(first) - 1
-    weight = np.bincount(group, (~again).astype(np.int64) + many)
-    return ~again, first, ~again & (weight[group] > 1)
+class _Buffer:
+    """Runs of a task. Equal regions of one buffer are compared, all but one of them settled, and the one travels."""
 
+    def __init__(self, task: Task, aside: bool):
+        self.task, self.aside = task, aside  # aside: regions of anchors that are hot here leave as HOT
+        self.held, self.texts, self.count = [], [], 0
 
-class _Runs:
-    """Runs of a task, settled among themselves a buffer at a time."""
-
-    def __init__(self, task: Task):
-        self.task, self.held, self.count = task, [], 0
-
-    def add(self, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """(h, f, doc, x, begin, end)."""
-        self.held.append(cols)
-        self.count += len(cols[0])
+    def add(self, texts: list[str], h: np.ndarray, f: np.ndarray, text: np.ndarray, doc: np.ndarray, begin: np.ndarray, packed: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """``text``: for each run the number of its text among ``texts``."""
+        if not self.texts or self.texts[-1] is not texts:
+            self.texts.append(texts)
+        self.held.append((h, f, np.full(len(h), len(self.texts) - 1), text, doc, begin, packed))
+        self.count += len(h)
         if self.count >= RUNS_AT_ONCE:
             yield from self.flush()
 
+    def _parts(self, some: np.ndarray, text: np.ndarray, begin: np.ndarray, length: np.ndarray) -> list[bytes]:
+        """The bytes of regions; each text is taken up once."""
+        out: list[bytes] = [b""] * len(some)
+        order = np.lexsort((text, some))
+        last = content = None
+        for i, a, t, p, n in zip(order.tolist(), some[order].tolist(), text[order].tolist(), begin[order].tolist(), length[order].tolist(), strict=True):
+            if last != (a, t):
+                last, content = (a, t), self.task.content(self.texts[a][t])
+            out[i] = content.part(p, p + n)
+        return out
+
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.count:
             return
-        h, f, doc, x, begin, end = (np.concatenate(c) for c in zip(*self.held, strict=True))
-        self.held, self.count = [], 0
-        order = np.lexsort((begin, x, doc, f, h))
-        cols = [c[order] for c in (h, f, doc, x, begin, end)]
-        _, first, gone = _settle([*cols, np.zeros(len(h), bool)], self.task.keep_first)
-        yield _removed(*(cols[k][gone] for k in (2, 4, 5)))
-        at = np.flatnonzero(first)
-        yield _rows(RUN, *(c[at] for c in cols), gone[at])
-
-
-def _content_hash(symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of each region's bytes, of another family than the prefix hashes."""
-    import xxhash
-
-    view, k = memoryview(symbols).cast("B"), symbols.itemsize
-    return np.fromiter((xxhash.xxh3_64_intdigest(view[p:q]) for p, q in zip((begin * k).tolist(), (end * k).tolist(), strict=True)), _U, len(begin))
+        cols = [np.concatenate(c) for c in zip(*self.held, strict=True)]
+        h, f, _, _, doc, begin, _ = cols
+        order = np.lexsort((begin, doc, f, h))
+        h, f, some, text, doc, begin, packed = (c[order] for c in cols)
+        same = np.zeros(len(h), bool)
+        same[1:] = (h[1:] == h[:-1]) & (f[1:] == f[:-1])
+        once = np.ones(len(h), bool)  # a repeated row shows its places again
+        once[1:] = ~same[1:] | (doc[1:] != doc[:-1]) | (begin[1:] != begin[:-1])
+        h, some, text, doc, begin, packed, same = (c[once] for c in (h, some, text, doc, begin, packed, same))
+        first = np.flatnonzero(~same)
+        size = np.diff(first, append=len(h))
+        k = np.flatnonzero(np.repeat(size > 1, size))
+        gone, travels = np.zeros(len(h), bool), np.ones(len(h), bool)
+        if len(k):
+            lead = np.searchsorted(k, np.repeat(first, size)[k])  # the first of each one's group, as a place in k
+            parts = self._parts(some[k], text[k], begin[k] & (TEXT - 1), packed[k] >> 16)
+            equal = np.fromiter((parts[i] == parts[j] for i, j in enumerate(lead.tolist())), bool, len(k))
+            equal &= packed[k] == packed[k[lead]]
+            other = equal & (lead != np.arange(len(k)))
+            gone[k] = other
+            travels[k] = ~other
+            if not self.task.keep_first:
+                gone[k[lead[other]]] = True
+        self.held, self.texts, self.count = [], [], 0
+        yield _removed(doc[gone], begin[gone], begin[gone] + (packed[gone] >> 16))
+        h, doc, begin, packed = (c[travels] for c in (h, doc, begin, packed))
+        if self.aside:
+            start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            size = np.diff(start, append=len(h))
+            hot = np.repeat(size > self.task.hot_here, size)
+            if hot.any():
+                marks = h[start[size > self.task.hot_here]]
+                yield _rows(mix(doc[hot].astype(_U)), doc[hot], begin[hot], packed[hot] | HOT)
+                yield _rows(marks, np.full(len(marks), _MARK), np.zeros(len(marks), np.int64), np.zeros(len(marks), np.int64))
+                h, doc, begin, packed = (c[~hot] for c in (h, doc, begin, packed))
+        yield _rows(h, doc, begin, packed)
+
+
+def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Of (doc, base, text)."""
+    return batch.column(0).to_numpy(), batch.column(1).to_numpy(), [t.as_py() or "" for t in batch.column(2)]
 
 
 def _find(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
-    found = _Runs(task)
+    found = _Buffer(task, True)
     for whole in batches:
         for start in range(0, whole.num_rows, 512):
-            batch = whole.slice(start, 512)
-            ids = batch.column(0).to_numpy()
-            texts = [task.symbols(t.as_py() or "") for t in batch.column(1)]
-            for symbols, ends, number, offset in _segments(texts, task.window):
-                h, x, a, b = runs(symbols, ends, task.window, task.anchor)
+            doc, base, texts = _columns(whole.slice(start, 512))
+            for symbols, ends, number, offset in _segments([task.content(t).keys for t in texts], task.window):
+                h, f, x, a, b = runs(symbols, ends, task.window, task.anchor)
                 if not len(h):
                     continue
-                stop = b + task.window
-                f = mix(_content_hash(symbols, a, stop) + (x - a).astype(_U))
                 of = np.searchsorted(ends, a, "right")
-                shift = offset[of] - np.concatenate([[0], ends[:-1]])[of]
-                yield from found.add(h.view(np.int64), f.view(np.int64), ids[number[of]], x + shift, a + shift, stop + shift)
+                begin = a + offset[of] - np.concatenate([[0], ends[:-1]])[of]
+                text = number[of]
+                yield from found.add(texts, h, f, text, doc[text], base[text] + begin, info(RUN, x - a, b - a + task.window))
+    yield from found.flush()
+
+
+def _windows(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
+    """The windows of (doc, base, text, hot regions), each a run of its own."""
+    found, window = _Buffer(task, False), task.window
+    for whole in batches:
+        for start in range(0, whole.num_rows, 64):
+            batch = whole.slice(start, 64)
+            doc, base, texts = _columns(batch)
+            for i, regions in enumerate(batch.column(3)):
+                begin, packed = (regions.values.field(c).to_numpy() for c in ("begin", "info"))
+                keys = task.content(texts[i]).keys
+                _, a, b = merge_ranges(np.zeros(len(begin), np.int64), begin - base[i], begin - base[i] + (packed >> 16) - window + 1)
+                for p, q in ((p, min(p + SEGMENT, q)) for p, q in zip(a.tolist(), b.tolist(), strict=True) for p in range(p, q, SEGMENT)):
+                    at = np.arange(q - p)
+                    h = mix(span_hashes(prefix_hashes(keys[p : q + window - 1]), at, window) ^ _U(0x5851F42D4C957F2D))
+                    yield from found.add(texts, h, np.zeros(len(h), _U), np.full(len(h), i), np.full(len(h), doc[i]), base[i] + p + at, np.full(len(h), info(RUN, 0, window)))
     yield from found.flush()
 
 
 class _Meeting:
-    """Runs in order of (h, f, doc, x). Held are at most the runs of one anchor that is not hot, and of one region."""
+    """Rows in ORDER. Held are at most the rows of one anchor that is not yet known to be hot, or one row."""
 
-    def __init__(self, task: Task):
-        self.task, self.carry, self.hot = task, None, None
+    def __init__(self, hot_rows: int | None):
+        self.hot_rows = hot_rows
+        self.carry = [np.empty(0, np.int64)] * 4
+        self.known: tuple[int, int] | None = None  # anchor whose rows are of a kind, whatever comes
 
-    def _settled(self, cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if not len(cols[0]):
-            return
-        h, f, doc, x, begin, end, _ = cols
-        _, first, gone = _settle(cols, self.task.keep_first)
-        if gone.any():
-            yield _removed(doc[gone], begin[gone], end[gone])
-        at = np.flatnonzero(first)
-        group = np.cumsum(np.concatenate([[True], h[at][1:] != h[at][:-1]])) - 1
-        regions = np.bincount(group)[group]
-        hot = regions > HOT_REGIONS
-        if self.hot is not None:
-            hot |= h[at] == self.hot
-        for kind, pick in ((HOT, hot), (ASKED, ~hot & (regions > 1))):
-            k = at[pick]
-            if len(k):
-                yield _rows(kind, h[k], f[k], doc[k], x[k], begin[k], end[k], False)
+    def _out(self, cols: list[np.ndarray], kind: np.ndarray) -> Iterator[pa.RecordBatch]:
+        pick = (kind != RUN) & (cols[1] != _MARK)
+        if pick.any():
+            h, doc, begin, packed = (c[pick] for c in cols)
+            hot = kind[pick] == HOT
+            yield _rows(np.where(hot, mix(doc.astype(_U)).view(np.int64), h), doc, begin, packed & ~3 | kind[pick])
 
     def feed(self, cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if self.carry is not None:
-            cols = [np.concatenate(c) for c in zip(self.carry, cols, strict=True)]
-        if not len(cols[0]):
+        cols = [np.concatenate(c) for c in zip(self.carry, cols, strict=True)]
+        h, doc, begin, _ = cols
+        if not len(h):
             return
-        h, f = cols[:2]
-        cut = int(np.searchsorted(h, h[-1]))
-        yield from self._settled([c[:cut] for c in cols])
-        if self.hot is not None and h[-1] != self.hot:
-            self.hot = None
-        rest = [c[cut:] for c in cols]
-        if self.hot is not None or np.count_nonzero(rest[1][1:] != rest[1][:-1]) >= HOT_REGIONS:
-            self.hot = h[-1]
-            cut = int(np.searchsorted(rest[1], f[-1]))
-            yield from self._settled([c[:cut] for c in rest])
-            rest = [c[cut:] for c in rest]
-        self.carry = rest
+        once = np.ones(len(h), bool)  # repeated rows
+        once[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (begin[1:] != begin[:-1])
+        cols = [c[once] for c in cols]
+        h, doc = cols[:2]
+        start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        size = np.diff(start, append=len(h))
+        kinds = np.where(size > 1, ASKED, RUN)
+        if self.hot_rows is not None:
+            kinds[(size > self.hot_rows) | (doc[start] == _MARK)] = HOT
+        if self.known is not None and h[0] == self.known[0]:
+            kinds[0] = self.known[1]
+        sure = HOT if self.hot_rows is not None else ASKED
+        if kinds[-1] == sure:
+            self.known, self.carry = (int(h[-1]), sure), [c[:0] for c in cols]
+            yield from self._out(cols, np.repeat(kinds, size))
+        else:
+            cut = int(start[-1])
+            self.known, self.carry = None, [c[cut:] for c in cols]
+            yield from self._out([c[:cut] for c in cols], np.repeat(kinds[:-1], size[:-1]))
 
     def end(self) -> Iterator[pa.RecordBatch]:
-        if self.carry is not None:
-            yield from self._settled(self.carry)
+        yield from self._out(self.carry, np.full(len(self.carry[0]), ASKED if len(self.carry[0]) > 1 else RUN))
 
 
-def _meet(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
-    """Rows in ORDER: runs meet, ranges to remove pass."""
-    meeting = _Meeting(task)
+def _meet(batches: Iterator[pa.RecordBatch], hot_rows: int | None) -> Iterator[pa.RecordBatch]:
+    """Rows in ORDER: runs meet, all others pass."""
+    meeting = _Meeting(hot_rows)
     for batch in batches:
-        n = int(np.searchsorted(batch.column(0).to_numpy(), REMOVED))
-        if n < batch.num_rows:
-            yield batch.slice(n)
-        if n:
-            yield from meeting.feed([batch.column(k).slice(0, n).to_numpy(zero_copy_only=False) for k in range(1, 8)])
+        cols = [c.to_numpy() for c in batch.columns]
+        run = cols[3] & 3 == RUN
+        if not run.all():
+            yield _rows(*(c[~run] for c in cols))
+        yield from meeting.feed([c[run] for c in cols])
     yield from meeting.end()
 
 
 def _gather(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
-    """The symbols of regions asked for, and the single windows of hot ones."""
-    found = _Runs(task)
+    """The regions of (doc, base, text, asked), in pieces of bounded size."""
+    cols: list[list[np.ndarray]] = []
+    parts: list[bytes] = []
+    size = 0
 
-    def bare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in rows:
-            yield pa.RecordBatch.from_arrays([*r.columns, pa.nulls(r.num_rows, pa.binary())], schema=_TEXT)
+    def out() -> pa.RecordBatch:
+        rows = _rows(*(np.concatenate(c) for c in zip(*cols, strict=True)))
+        return pa.RecordBatch.from_arrays([*rows.columns, pa.array(parts, pa.binary())], schema=_TEXT)
 
     for whole in batches:
         for start in range(0, whole.num_rows, 64):
             batch = whole.slice(start, 64)
-            cols, region = [], []
-            for d, text, asked in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                symbols = task.symbols(text.as_py() or "")
-                kind, h, x, a, b = (asked.values.field(c).to_numpy() for c in ("kind", "h", "x", "begin", "end"))
-                cold = kind == ASKED
-                cols.append((h[cold], np.full(int(cold.sum()), d), x[cold], a[cold], b[cold]))
-                region += [symbols[p:q].tobytes() for p, q in zip(a[cold].tolist(), b[cold].tolist(), strict=True)]
-                if not cold.all():
-                    a, b = merge_ranges(np.zeros(int((~cold).sum()), np.int64), a[~cold], b[~cold] - task.window + 1)[1:]
-                    at = np.repeat(a - np.cumsum(b - a) + (b - a), b - a) + np.arange(int((b - a).sum()))
-                    key = mix(span_hashes(prefix_hashes(symbols), at, task.window) ^ _U(0x5851F42D4C957F2D))
-                    yield from bare(found.add(key.view(np.int64), _content_hash(symbols, at, at + task.window).view(np.int64), np.full(len(at), d), at, at, at + task.window))
-            h, doc, x, a, b = (np.concatenate(c) for c in zip(*cols, strict=True))
-            r = _rows(ASKED, h, 0, doc, x, a, b, False)
-            yield pa.RecordBatch.from_arrays([*r.columns, pa.array(region, pa.binary())], schema=_TEXT)
-    yield from bare(found.flush())
+            doc, base, texts = _columns(batch)
+            for i, asked in enumerate(batch.column(3)):
+                h, begin, packed = (asked.values.field(c).to_numpy() for c in ("h", "begin", "info"))
+                content = task.content(texts[i])
+                for k in range(0, len(h), 4096):
+                    some = slice(k, k + 4096)
+                    a = begin[some] - base[i]
+                    cols.append([h[some], np.full(len(a), doc[i]), begin[some], packed[some]])
+                    new = [content.part(p, q) for p, q in zip(a.tolist(), (a + (packed[some] >> 16)).tolist(), strict=True)]
+                    parts += new
+                    size += sum(map(len, new))
+                    if size >= _GATHERED:
+                        yield out()
+                        cols, parts, size = [], [], 0
+    if cols:
+        yield out()
 
 
 class _Shards:
-    """Regions in order of (h, doc, x, begin), solved in shards cut between anchors."""
+    """Regions in ORDER, solved in shards cut between anchors, or in parts where one anchor fills a shard."""
 
     def __init__(self, task: Task):
-        self.task, self.held, self.size = task, [], 0
+        self.task, self.held, self.size, self.limit = task, [], 0, SHARD
 
     def _solved(self, table: pa.Table) -> Iterator[pa.RecordBatch]:
-        if not table.num_rows:
+        h, doc, begin, packed = (table[c].to_numpy() for c in ("h", "doc", "begin", "info"))
+        once = np.ones(len(h), bool)  # a repeated row gives its regions again
+        once[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (begin[1:] != begin[:-1])
+        h, doc, begin, packed = (c[once] for c in (h, doc, begin, packed))
+        if not len(h):
             return
-        task = self.task
-        h, doc, x, begin, end = (table[c].to_numpy() for c in ("h", "doc", "x", "begin", "end"))
-        length = end - begin
-        symbols = np.frombuffer(b"".join(table["region"].to_pylist()), np.uint8 if task.bytes_each == 1 else np.uint64)
-        keep = np.ones(len(h), bool)  # a repeated row gives its regions again
-        keep[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (x[1:] != x[:-1]) | (begin[1:] != begin[:-1])
-        start = np.cumsum(length) - length
-        _, group = np.unique(h[keep], return_inverse=True)
-        repeated = task.solve(symbols, start[keep], length[keep], np.stack([group, (x - begin)[keep]]))
-        if len(repeated):
-            row = np.flatnonzero(keep)[np.searchsorted(start[keep], repeated, "right") - 1]
-            at = begin[row] + repeated - start[row]
-            yield _removed(doc[row], at, at + task.window)
+        group = np.cumsum(np.concatenate([[True], h[1:] != h[:-1]])) - 1
+        part, offset = self.task.solve(table["region"].filter(pa.array(once)).to_pylist(), packed >> 16, np.stack([group, packed >> 2 & 0x3FFF]))
+        doc, begin, end = merge_ranges(doc[part], begin[part] + offset, begin[part] + offset + self.task.window)
+        if len(doc):
+            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(begin), pa.array(end)], ["doc", "begin", "end"])
+
+    def _keep(self, table: pa.Table) -> None:
+        self.held = [table.combine_chunks()]
+        self.size = sum(map(len, self.held[0]["region"].to_pylist()))
+        self.limit = self.size + SHARD
 
     def feed(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         self.held.append(pa.Table.from_batches([batch]))
-        self.size += int(np.sum(batch.column("end").to_numpy() - batch.column("begin").to_numpy()))
-        if self.size >= SHARD:
-            table = pa.concat_tables(self.held)
-            h = table["h"].to_numpy()
-            cut = int(np.searchsorted(h, h[-1]))
+        self.size += sum(map(len, batch.column(4).to_pylist()))
+        if self.size < self.limit:
+            return
+        table = pa.concat_tables(self.held)
+        h = table["h"].to_numpy()
+        cut = int(np.searchsorted(h, h[-1]))
+        if cut:
             yield from self._solved(table.slice(0, cut))
-            self.held = [table.slice(cut).combine_chunks()]
-            self.size = int(np.sum(self.held[0]["end"].to_numpy() - self.held[0]["begin"].to_numpy()))
+            self._keep(table.slice(cut))
+        else:  # one anchor: the first region of each content stays for those to come
+            yield from self._solved(table)
+            seen: dict[tuple[int, bytes], int] = {}
+            for i, key in enumerate(zip((table["info"].to_numpy() >> 2).tolist(), table["region"].to_pylist(), strict=True)):
+                seen.setdefault(key, i)
+            self._keep(table.take(pa.array(list(seen.values()))))
 
     def end(self) -> Iterator[pa.RecordBatch]:
         if self.held:
             yield from self._solved(pa.concat_tables(self.held))
 
 
-def _finish(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
-    """Rows in ORDER: single windows meet, ranges to remove pass, regions are solved."""
-    meeting, shards = _Meeting(task), _Shards(task)
-    plain = lambda b: pa.RecordBatch.from_arrays(b.columns[:8], schema=_FOUND)
-
-    def removed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Windows whose keys agree by chance differ in content, and there is nothing more to ask."""
-        return (r for r in rows if r.num_rows and r.column(0)[0].as_py() == REMOVED)
-
+def _solve(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
+    shards = _Shards(task)
     for batch in batches:
-        m, n = np.searchsorted(batch.column(0).to_numpy(), [REMOVED, ASKED]).tolist()
-        if m:
-            yield from removed(meeting.feed([batch.column(k).slice(0, m).to_numpy(zero_copy_only=False) for k in range(1, 8)]))
-        if n > m:
-            yield plain(batch.slice(m, n - m))
-        if n < batch.num_rows:
-            yield from shards.feed(batch.slice(n))
-    yield from removed(meeting.end())
+        if batch.num_rows:
+            yield from shards.feed(batch)
     yield from shards.end()
 
 
-def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, text) of rows with an id. Joins with it in one query share one shuffle of the texts."""
-    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).filter("doc is not null")
+# documents
+
+
+def with_base(docs: DataFrame, *, id_col: str, text_col: str, name: str = "base") -> DataFrame:
+    """Adds where the places of each row's text begin: 0, or TEXT times its number where its id has several texts."""
+    mine = [f"{name}_doc", f"{name}_md5"]
+    keyed = docs.select(F.col(id_col).cast("long").alias(mine[0]), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias(mine[1])).filter(F.col(mine[0]).isNotNull())
+    texts = keyed.distinct()
+    several = texts.groupBy(mine[0]).agg(F.count(F.lit(1)).alias(name)).filter(F.col(name) > 1).select(mine[0])
+    if several.isEmpty():
+        return docs.withColumn(name, F.lit(0).cast("long"))
+    number = F.row_number().over(Window.partitionBy(mine[0]).orderBy(mine[1])) - 1
+    bases = checkpointed(texts.join(several, mine[0], "left_semi").select(*mine, (number * F.lit(TEXT)).alias(name)))
+    here = (F.col(id_col).cast("long") == F.col(mine[0])) & (F.md5(F.coalesce(F.col(text_col), F.lit(""))) == F.col(mine[1]))
+    return docs.join(bases, here, "left").select(*[docs[f"`{c}`"] for c in docs.columns], F.coalesce(bases[name], F.lit(0)).alias(name))
+
+
+def texts_of(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """(doc, base, text) of rows with an id."""
+    there = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).filter("doc is not null")
+    return with_base(there, id_col="doc", text_col="text").select("doc", "base", "text")
+
+
+def _base(place: str = "begin") -> Column:
+    return F.shiftleft(F.shiftright(place, 40), 40)
+
+
+def _asked(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """(doc, base, text, rows of it)."""
+    lists = rows.groupBy("doc", _base().alias("base")).agg(F.collect_list(F.struct("h", "begin", "info")).alias("asked"))
+    return texts.join(lists, ["doc", "base"]).select("doc", "base", "text", "asked")
 
 
-def repeated_ranges(docs: DataFrame, task: Task, *, id_col: str, text_col: str) -> DataFrame:
-    """(doc, begin, end): ranges of symbols that repeated windows cover; they may overlap."""
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = texts_of(docs, id_col, text_col)
-    found = texts.mapInArrow(lambda b: _find(b, task), FOUND)
-    met = stored(found.repartition(n, "h").sortWithinPartitions(*ORDER).mapInArrow(lambda b: _meet(b, task), FOUND))
-    asked = met.filter(F.col("kind") >= ASKED).groupBy("doc").agg(F.collect_list(F.struct("kind", "h", "x", "begin", "end")).alias("asked"))
-    regions = texts.join(asked, "doc").select("doc", "text", "asked").mapInArrow(lambda b: _gather(b, task), f"{FOUND}, region binary")
-    solved = regions.repartition(n, "h").sortWithinPartitions(*ORDER).mapInArrow(lambda b: _finish(b, task), FOUND)
-    ranges = met.filter(F.col("kind") == REMOVED).select("doc", "begin", "end")
-    return ranges.union(solved.select("doc", "begin", "end"))
+def _resolved(texts: DataFrame, found: DataFrame, task: Task, hot_rows: int | None) -> tuple[DataFrame, DataFrame]:
+    """(ranges to remove, rows of hot anchors)."""
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = stored(found.repartition(n, "h").sortWithinPartitions(*ORDER).mapInArrow(lambda b: _meet(b, hot_rows), FOUND))
+    of = lambda kind: met.filter(F.col("info").bitwiseAND(3) == kind)
+    regions = _asked(texts, of(ASKED)).mapInArrow(lambda b: _gather(b, task), f"{FOUND}, region binary")
+    solved = regions.repartition(n, "h").sortWithinPartitions(*ORDER).mapInArrow(lambda b: _solve(b, task), "doc long, begin long, end long")
+    return of(REMOVED).select("doc", "begin", (F.col("begin") + F.shiftright("info", 16)).alias("end")).union(solved), of(HOT)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The rows of df in a table of its own in the shared folder."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def repeated_ranges(texts: DataFrame, task: Task) -> DataFrame:
+    """(doc, begin, end) for texts as ``texts_of`` gives them: ranges of places that repeated windows cover; they may overlap."""
+    ranges, hot = _resolved(texts, texts.mapInArrow(lambda b: _find(b, task), FOUND), task, task.hot_rows)
+    if not hot.isEmpty():
+        windows = _asked(texts, hot).mapInArrow(lambda b: _windows(b, task), FOUND)
+        ranges = ranges.union(_resolved(texts, windows, task, None)[0])
+    return ranges
 
 
-def with_ranges(docs: DataFrame, ranges: DataFrame, key: str, name: str) -> DataFrame:
-    """Documents with their ranges as an array column, null where there are none; key is the name of the long id."""
-    lists = ranges.groupBy(F.col("doc").alias(f"{name}_id")).agg(F.collect_list(F.struct("begin", "end")).alias(name))
-    return docs.join(lists, F.col(key).cast("long") == F.col(f"{name}_id"), "left").drop(f"{name}_id")
+def with_ranges(docs: DataFrame, ranges: DataFrame, key: str, base: str, name: str) -> DataFrame:
+    """Documents with the ranges of their texts as an array column, null where there are none."""
+    mine = [f"{name}_id", f"{name}_base"]
+    lists = ranges.groupBy(F.col("doc").alias(mine[0]), _base().alias(mine[1])).agg(F.collect_list(F.struct((F.col("begin") - _base()).alias("begin"), (F.col("end") - _base()).alias("end"))).alias(name))
+    return docs.join(lists, (F.col(key).cast("long") == F.col(mine[0])) & (F.col(base) == F.col(mine[1])), "left").drop(*mine)
 
 
-def each_with_ranges(docs: DataFrame, ranges: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+def each_with_ranges(docs: DataFrame, task: Task, *, id_col: str, text_col: str) -> DataFrame:
     """(doc, text, ranges) of all rows; those without an id have no ranges and are not shuffled."""
-    there = with_ranges(texts_of(docs, id_col, text_col), ranges, "doc", "ranges")
+    texts = texts_of(docs, id_col=id_col, text_col=text_col)
+    there = with_ranges(texts, repeated_ranges(texts, task), "doc", "base", "ranges")
     none = docs.filter(F.col(id_col).isNull()).select(F.lit(None).cast("long").alias("doc"), F.col(text_col).alias("text"))
     return there.select("doc", "text", "ranges").unionByName(none, allowMissingColumns=True)
 

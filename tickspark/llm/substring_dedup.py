@@ -8,9 +8,12 @@ gives the matching statistics; intervals that reach the threshold are reported.
 shard advance in step.
 
 A window is ``window`` consecutive words; each word that a window covers whose word sequence also
-starts anywhere else is removed, first copies included, judged on the input. Defined results: null,
-empty and short texts lose nothing; repeated rows (same id and text) count as one document and give
-a row each; rows without an id lose nothing; other columns are ignored.
+starts anywhere else is removed, first copies included, judged on the input. Words are told apart by
+their bytes. Defined results: null, empty and short texts lose nothing; repeated rows (same id and
+text) count as one document and give a row each; rows of one id with different texts are documents
+of their own; rows without an id lose nothing and no other row loses by them; very long texts are
+treated whole, in overlapping segments; an empty table gives no rows; other columns are ignored,
+whatever their names. All copies go, so there are no ties.
 """
 
 from __future__ import annotations
@@ -28,8 +31,16 @@ from tickspark.llm.words import keys_of, words_of
 WINDOW, ANCHOR = 35, 12
 
 
-def word_keys(text: str) -> np.ndarray:
-    return keys_of(words_of(text))
+class TextWords(R.Content):
+    def __init__(self, text: str):
+        self.words = words_of(text)
+
+    @property
+    def keys(self) -> np.ndarray:
+        return keys_of(self.words)
+
+    def part(self, begin: int, end: int) -> bytes:
+        return b" ".join(self.words[begin:end])
 
 
 class WaveletTree:
@@ -121,22 +132,22 @@ class FMIndex:
 def repeated_windows(window: int):
     """A solver: of the windows in some regions, those that occur more than once in them."""
 
-    def solve(symbols: np.ndarray, start: np.ndarray, length: np.ndarray, key: np.ndarray) -> np.ndarray:
-        count = np.maximum(0, length - window + 1)
-        if not count.sum():
-            return np.empty(0, np.int64)
+    def solve(regions: list[bytes], length: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        number: dict[bytes, int] = {}
+        words = b" ".join(regions).split()
+        symbols = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+        start, count = np.cumsum(length) - length, np.maximum(0, length - window + 1)
         index = FMIndex(symbols, start, length)
         row = np.repeat(np.arange(len(start)), count)
         step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-        reach = index.matching_statistics(index.start[row] + step + window, window)
-        hit = reach >= window
-        return start[row[hit]] + step[hit]
+        hit = index.matching_statistics(index.start[row] + step + window, window) >= window
+        return row[hit], step[hit]
 
     return solve
 
 
-def word_task(window: int = WINDOW, anchor: int = ANCHOR) -> R.Task:
-    return R.Task(window, min(anchor, window), False, word_keys, repeated_windows(window), 8)
+def word_task(window: int = WINDOW, anchor: int = ANCHOR, **limits: int) -> R.Task:
+    return R.Task(window, min(anchor, window), False, TextWords, repeated_windows(window), **limits)
 
 
 def _apply(batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.RecordBatch]:
@@ -160,8 +171,7 @@ def _apply(batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.Record
 
 def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, removed, kept): disjoint removed word ranges, in order, and the other words joined by one space."""
-    ranges = R.repeated_ranges(docs, word_task(window), id_col=id_col, text_col=text_col)
-    rows = R.each_with_ranges(docs, ranges, id_col=id_col, text_col=text_col)
+    rows = R.each_with_ranges(docs, word_task(window), id_col=id_col, text_col=text_col)
     out = rows.mapInArrow(lambda b: _apply(b, id_col), f"`{id_col}` long, n_words long, removed array<struct<begin:long,end:long>>, kept string")
     return out.withColumn(id_col, F.col(id_col).cast(docs.schema[id_col].dataType))
 
@@ -170,10 +180,12 @@ def without_repeated_passages(docs: DataFrame, window: int = WINDOW, *, id_col:
     """The rows with repeated passages cut out of their text and all columns kept; other texts stay as they are."""
     names = docs.columns
     mark = "_ranges"
-    while mark in names or f"{mark}_id" in names:
+    while any(n.startswith(mark) for n in names):
         mark += "_"
-    ranges = R.repeated_ranges(docs, word_task(window), id_col=id_col, text_col=text_col)
-    rows = R.with_ranges(docs, ranges, id_col, mark)
+    place = f"{mark}_place"
+    rows = R.with_base(docs, id_col=id_col, text_col=text_col, name=place)
+    texts = rows.select(F.col(id_col).cast("long").alias("doc"), F.col(place).alias("base"), F.col(text_col).alias("text")).filter("doc is not null")
+    rows = R.with_ranges(rows, R.repeated_ranges(texts, word_task(window)), id_col, place, mark)
 
     @F.pandas_udf("string")
     def cut(texts, ranges):

@@ -9,7 +9,10 @@ bytes instead. All merges of a level run at once, vectorised.
 Every byte covered by a window that also starts earlier (smaller id, or same document and earlier
 start) is removed, judged on the input. Defined results: null and empty texts, and texts shorter
 than the window, lose nothing; repeated rows (same id and text) count as one document and give a row
-each; rows without an id lose nothing; other columns are ignored.
+each; rows of one id with different texts are documents of their own, the text of the smaller md5
+first; rows without an id lose nothing and no other row loses by them; very long texts are treated
+whole, in overlapping segments; an empty table gives no rows; other columns are ignored, whatever
+their names. Two windows that start at one place of one document are one, so there are no ties.
 """
 
 from __future__ import annotations
@@ -26,8 +29,13 @@ from tickspark.llm import repeats as R
 WINDOW, ANCHOR = 100, 32
 
 
-def text_bytes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
+class TextBytes(R.Content):
+    def __init__(self, text: str):
+        self.data = text.encode("utf-8", "replace")
+        self.keys = np.frombuffer(self.data, np.uint8)
+
+    def part(self, begin: int, end: int) -> bytes:
+        return self.data[begin:end]
 
 
 class Suffixes:
@@ -100,7 +108,8 @@ class Suffixes:
 def later_windows(window: int):
     """A solver: of the windows in some regions, those that also start in an earlier region."""
 
-    def solve(data: np.ndarray, start: np.ndarray, length: np.ndarray, key: np.ndarray) -> np.ndarray:
+    def solve(regions: list[bytes], length: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        data, start = np.frombuffer(b"".join(regions), np.uint8), np.cumsum(length) - length
         count = np.maximum(0, length - window + 1)
         row = np.repeat(np.arange(len(start)), count)
         step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
@@ -112,7 +121,7 @@ def later_windows(window: int):
         several[:-1] |= several[1:]
         suffix, segment = suffix[several], segment[several]
         if not len(suffix):
-            return suffix
+            return suffix, suffix
         s = Suffixes(data, window)
         ordered = s.sort(suffix, segment)
         beside = np.flatnonzero(segment[1:] == segment[:-1])
@@ -121,13 +130,15 @@ def later_windows(window: int):
             view = np.lib.stride_tricks.sliding_window_view(data, window)
             ordered = suffix[np.lexsort((suffix, np.unique(view[suffix], axis=0, return_inverse=True)[1].reshape(-1), segment))]
             same = (view[ordered[beside]] == view[ordered[beside + 1]]).all(1)
-        return np.sort(ordered[beside[same] + 1])
+        later = np.sort(ordered[beside[same] + 1])
+        part = np.searchsorted(start, later, "right") - 1
+        return part, later - start[part]
 
     return solve
 
 
-def byte_task(window: int = WINDOW, anchor: int = ANCHOR) -> R.Task:
-    return R.Task(window, min(anchor, window), True, text_bytes, later_windows(window), 1)
+def byte_task(window: int = WINDOW, anchor: int = ANCHOR, **limits: int) -> R.Task:
+    return R.Task(window, min(anchor, window), True, TextBytes, later_windows(window), **limits)
 
 
 def _apply(batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.RecordBatch]:
@@ -150,7 +161,6 @@ def _apply(batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.Record
 
 def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, removed, kept): disjoint removed byte ranges, in order, and the bytes that stay."""
-    ranges = R.repeated_ranges(docs, byte_task(window), id_col=id_col, text_col=text_col)
-    rows = R.each_with_ranges(docs, ranges, id_col=id_col, text_col=text_col)
+    rows = R.each_with_ranges(docs, byte_task(window), id_col=id_col, text_col=text_col)
     out = rows.mapInArrow(lambda b: _apply(b, id_col), f"`{id_col}` long, n_bytes long, removed array<struct<begin:long,end:long>>, kept binary")
     return out.withColumn(id_col, F.col(id_col).cast(docs.schema[id_col].dataType))
