@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tickspark.llm import minhash as M
@@ -66,8 +67,10 @@ def edited(pick, n):
     return out
 
 
-def test_large_class_in_blocks(spark, make_docs, monkeypatch):
-    monkeypatch.setattr(M, "BLOCK_DOCS", 16)
+@pytest.mark.parametrize("small, block", [(4, 4), (16, 8), (64, 256)])
+def test_large_class_in_blocks(spark, make_docs, monkeypatch, small, block):
+    monkeypatch.setattr(M, "SMALL_DOCS", small)
+    monkeypatch.setattr(M, "BLOCK_DOCS", block)
     pick = random.Random(5)
     texts = edited(pick, 150) + edited(pick, 40) + ["same words here"] * 30
     pick.shuffle(texts)
@@ -75,6 +78,31 @@ def test_large_class_in_blocks(spark, make_docs, monkeypatch):
         agree(M.near_duplicates(make_docs(texts), k).collect(), texts, k)
 
 
+def test_large_class_with_few_links(spark, make_docs, monkeypatch):
+    """One class of candidates by a common half; some are linked, most are not, and they differ in length."""
+    monkeypatch.setattr(M, "SMALL_DOCS", 8)
+    monkeypatch.setattr(M, "BLOCK_DOCS", 4)
+    pick = random.Random(6)
+    common = " ".join(f"c{i}" for i in range(40))
+    texts = [common + " " + " ".join(f"x{pick.randint(0, 10**6)}" for _ in range(pick.randint(5, 40))) for _ in range(90)]
+    texts += [texts[i] + " tail" for i in range(0, 90, 9)] + [texts[i] + " tail end" for i in range(0, 90, 18)]
+    pick.shuffle(texts)
+    _, comp = brute(texts, 2)
+    assert 20 < len(set(comp)) < len(texts)
+    for percent in (80, 50, 100):
+        n, comp = brute(texts, 2, percent)
+        got = {r.doc_id: r.component_id for r in M.near_duplicates(make_docs(texts), 2, percent).collect()}
+        wrong = [i for i in got if got[i] != comp[i]]
+        assert not wrong or percent == 50  # bands are made for links of 80 % and more
+
+
+def test_long_text(spark, make_docs):
+    pick = random.Random(7)
+    long = " ".join(f"w{pick.randint(0, 50_000)}" for _ in range(400_000))
+    rows = M.near_duplicates(make_docs([long, "x " + long, "short one", None]), 5).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {0: 0, 1: 0, 2: 2, 3: 3}
+
+
 def test_edges(spark, make_docs):
     texts = [None, "", " \t\n", "one", "ONE", "one ", "a b", "b a", "é É", "x " * 50_000, "x x", "a b c d e f g h i j k", "a b c d e f g h i j z", "a b c", "A\vB\fC"]
     docs = make_docs(texts).withColumn("component_id", F.lit("clash")).withColumn("rep", F.lit(1)).withColumn("set_key", F.lit(1))

@@ -3,17 +3,28 @@
 Two permutations make all signature coordinates: the first scatters a document's shingles over a
 universe of fixed size, the second, shifted circularly by k, gives coordinate k. Coordinates are
 banded; documents that share a band are candidates. Candidates are never expanded into all pairs:
-stars within the buckets give candidate classes, the full shingle sets of a class are compared in
-blocks, and only a spanning set of the confirmed links leaves a block.
+stars within the buckets give candidate classes, whose full shingle sets are compared in groups:
 
-With the default of 32 bands of 5 rows a pair at the threshold of 0.8 is missed as a candidate with
-probability 3e-6, and less as it may also meet through others of its class.
+* a class of at most SMALL_DOCS documents in one task, every pair;
+* a larger class is dealt at random into blocks of that size, twice. What a block shows as linked goes by one
+  label from then on, so that a class of near copies of one text soon has one label for nearly all. Only
+  documents outside the label that most of the class have meet the whole class, by blocks
+  of like numbers of shingles (with fewer than 80 % of another's no document can be linked to it).
+
+So a large group of near copies is shipped twice, not once for each of its blocks; a large class in
+which few documents are linked costs the square of its size. Only a spanning set of links leaves a group.
+
+Shingles are told apart by 64-bit keys, sets by 128-bit ones: two shingles of two documents of n words
+count as one though they differ with a probability of about n * n / 2 ** 64. With the default of 32
+bands of 5 rows a pair at the threshold of 0.8 is missed as a candidate with probability 3e-6, and
+less as it may also meet through others of its class.
 
 Defined results: a document without words has no shingles, is linked with nothing and is kept; one
 with fewer words than a shingle has its whole word sequence as its only shingle; repeated rows (same
 id, same text) get equal rows; rows of one id with different texts are compared each by its own text,
-and of those in one class one is kept; a row without an id is compared with nothing and kept; other
-columns are ignored.
+and of those in one class one is kept; a row without an id is compared with nothing and kept; very long texts
+are compared whole; an empty table gives no rows; other columns are ignored, whatever their names.
+Of a class the smallest id is kept, and of several texts under it the one whose set has the smallest key.
 """
 
 from __future__ import annotations
@@ -24,15 +35,16 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.graph import checkpointed, connected_components, spanning
+from tickspark.llm.graph import checkpointed, connected_components, spanning, stored
 from tickspark.llm.words import keys_of, words_of
 
 BANDS, ROWS = 32, 5
 UNIVERSE = 1 << 20
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 20
+SMALL_DOCS, BLOCK_DOCS, BLOCK_SHINGLES = 64, 256, 1 << 20
+DEALS = 2
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -112,7 +124,7 @@ def sketch(docs: DataFrame, words_each: int = 5, *, id_col: str = "doc_id", text
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words_each: int) -> Iterator[pa.RecordBatch]:
-    """(node, text, class, blocks, set_key) to (node, class, blocks, set), of the texts that have this set only."""
+    """(node, text, class, blocks, set_key) to (node, class, blocks, n, set), of the texts that have this set only."""
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
@@ -121,7 +133,7 @@ def _sets(batches: Iterator[pa.RecordBatch], words_each: int) -> Iterator[pa.Rec
             sets, batch = [s for s, o in zip(sets, own, strict=True) if o], batch.filter(pa.array(own, pa.bool_()))
             ends = np.cumsum([0] + [len(s) for s in sets])
             flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["node", "class", "blocks", "set"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(np.diff(ends)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["node", "class", "blocks", "n", "set"])
 
 
 def common(sets: list[np.ndarray]) -> np.ndarray:
@@ -147,7 +159,7 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Confirmed links of one group: whole candidate classes, or two blocks of a large one."""
+    """Confirmed links of one group: whole candidate classes, or blocks of a large one."""
     a, b = [], []
     for _, part in rows.groupby("class", sort=False):
         part = part.drop_duplicates("node").sort_values("node", kind="stable")
@@ -162,6 +174,50 @@ def _links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame({"a": pd.Series(a, dtype="int64"), "b": pd.Series(b, dtype="int64")})
 
 
+def _compared(sets: DataFrame, by: list[Column], percent: int) -> DataFrame:
+    """Links between the sets of each group."""
+    names = [f"_{k}" for k in range(len(by))]
+    rows = sets.select(*[c.alias(n) for c, n in zip(by, names, strict=True)], "node", "class", "set")
+    return rows.groupBy(*names).applyInPandas(lambda rows: _links(rows[["node", "class", "set"]], percent), "a long, b long")
+
+
+def _dealt(sets: DataFrame, percent: int) -> DataFrame:
+    """Links within small classes, and within blocks of large ones dealt DEALS times."""
+    together = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    deal = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.lit(DEALS - 1))))
+    dealt = sets.withColumn("deal", deal)
+    # Small classes share a group with others; a block of a large one has its own.
+    group = F.when(F.col("deal") < 0, F.pmod(F.xxhash64("class"), F.lit(together * 8))).otherwise(F.col("class"))
+    block = F.when(F.col("deal") < 0, 0).otherwise(F.pmod(F.xxhash64("node", "deal"), F.col("blocks")))
+    return _compared(dealt, [group, F.col("deal"), block], percent)
+
+
+def _outside(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame | None:
+    """Links of documents in large classes that lack the label that most of their class have."""
+    large = sets.filter("blocks > 1")
+    label = F.coalesce("component", "node").alias("label")
+    labels = large.select("node", "class", "n").join(found.select(F.col("id").alias("node"), "component"), "node", "left").select("node", "class", "n", label)
+    many = labels.groupBy("class", "label").agg(F.count(F.lit(1)).alias("c"))
+    most = many.groupBy("class").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    # Linked sets differ in size by a factor of 100 / percent at most, so they lie in one step or in neighbours.
+    step = F.floor(F.log("n") / F.lit(float(np.log(100 / percent)) + 1e-9)).cast("int") if percent < 100 else F.col("n").cast("int")
+    rows = labels.join(most, "class").select("node", "class", "n", step.alias("step"), (F.col("label") != F.col("most")).alias("out"))
+    rows = checkpointed(rows)
+    if rows.filter("out").isEmpty():
+        return None
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sizes = checkpointed(rows.groupBy("class", "step", "out").agg(blocks.alias("blocks")))
+    mine = F.struct("step", "out", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")).alias("mine")
+    rows = rows.join(sizes, ["class", "step", "out"]).select("node", "class", "step", "out", mine)
+    rows = rows.withColumn("near", F.explode(F.array(*[F.col("step") + k for k in (-1, 0, 1)])))
+    there = sizes.select("class", F.col("step").alias("near"), F.col("out").alias("there"), F.col("blocks").alias("many"))
+    rows = rows.join(there, ["class", "near"]).filter("out OR there")
+    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("many") - 1)))
+    other = F.struct(F.col("near").alias("step"), F.col("there").alias("out"), F.col("block").alias("block"))
+    pairs = rows.select("node", F.least("mine", other).alias("i"), F.greatest("mine", other).alias("j"))
+    return _compared(large.join(pairs, "node"), [F.col("class"), F.col("i"), F.col("j")], percent)
+
+
 def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row.
 
@@ -186,22 +242,15 @@ def _found(docs: DataFrame, words_each: int, percent: int, id_col: str, text_col
     classes = checkpointed(connected_components(stars).withColumnsRenamed({"id": "node", "component": "class"}))
 
     size = whole.select("node", "n").join(classes, "node").groupBy("class").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
-    size = size.select("class", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    size = size.select("class", F.greatest(F.ceil(F.col("docs") / SMALL_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     members = whole.select("node", "rep", "set_key").join(classes.join(size, "class"), "node").select("rep", "node", "class", "blocks", F.col("set_key").alias("_key"))
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("_text")).join(members, "rep")
-    sets = texts.select("node", "_text", "class", "blocks", "_key").mapInArrow(lambda b: _sets(b, words_each), "node long, class long, blocks int, set array<long>")
-    # A class of one block shares its group with others; of a large one, each two blocks meet in a group.
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    sets = sets.withColumn("own", own).withColumn("other", other)
-    together = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    sets = sets.select(
-        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("class"), F.lit(int(together) * 8))).otherwise(F.col("class")).alias("g"),
-        F.when(F.col("blocks") == 1, -1).otherwise(F.least("own", "other")).alias("i"), F.when(F.col("blocks") == 1, -1).otherwise(F.greatest("own", "other")).alias("j"),
-        "node", "class", "set",
-    )
-    links = sets.groupBy("g", "i", "j").applyInPandas(lambda rows: _links(rows[["node", "class", "set"]], percent), "a long, b long")
-    found = connected_components(links).withColumnsRenamed({"id": "node"})
+    sets = stored(texts.select("node", "_text", "class", "blocks", "_key").mapInArrow(lambda b: _sets(b, words_each), "node long, class long, blocks int, n long, set array<long>"))
+    links = checkpointed(_dealt(sets, percent))
+    found = connected_components(links)
+    if rest := _outside(sets, found, percent):
+        found = connected_components(links.union(rest))
+    found = found.withColumnsRenamed({"id": "node"})
     linked = whole.select("set_key", "rep", "node").join(found, "node", "left").select("set_key", "rep", F.coalesce("component", "node").alias("component"), F.lit(True).alias("first"))
     if numbered:  # the class' smallest id, and which of its sets stands for it
         least = checkpointed(linked.groupBy("component").agg(F.min(F.struct("rep", "set_key")).alias("least")))

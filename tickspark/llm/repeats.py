@@ -464,7 +464,8 @@ def with_base(docs: DataFrame, *, id_col: str, text_col: str, name: str = "base"
 
 def texts_of(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
     """(doc, base, text) of rows with an id."""
-    there = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).filter("doc is not null")
+    text = F.col(text_col) if text_col == "text" else F.col(text_col).alias("text")  # no alias to itself: plans with and without it share no shuffle
+    there = docs.select(F.col(id_col).cast("long").alias("doc"), text).filter("doc is not null")
     return with_base(there, id_col="doc", text_col="text").select("doc", "base", "text")
 
 
@@ -478,22 +479,33 @@ def _asked(texts: DataFrame, rows: DataFrame) -> DataFrame:
     return texts.join(lists, ["doc", "base"]).select("doc", "base", "text", "asked")
 
 
-def _resolved(texts: DataFrame, found: DataFrame, task: Task, hot_rows: int | None) -> tuple[DataFrame, DataFrame]:
-    """(ranges to remove, rows of hot anchors)."""
+def _resolved(texts: DataFrame, met: DataFrame, task: Task) -> DataFrame:
+    """(doc, begin, end): what is settled already, and what the solver finds in the regions asked for."""
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = stored(found.repartition(n, "h").sortWithinPartitions(*ORDER).mapInArrow(lambda b: _meet(b, hot_rows), FOUND))
-    of = lambda kind: met.filter(F.col("info").bitwiseAND(3) == kind)
-    regions = _asked(texts, of(ASKED)).mapInArrow(lambda b: _gather(b, task), f"{FOUND}, region binary")
+    regions = _asked(texts, _of(met, ASKED)).mapInArrow(lambda b: _gather(b, task), f"{FOUND}, region binary")
     solved = regions.repartition(n, "h").sortWithinPartitions(*ORDER).mapInArrow(lambda b: _solve(b, task), "doc long, begin long, end long")
-    return of(REMOVED).select("doc", "begin", (F.col("begin") + F.shiftright("info", 16)).alias("end")).union(solved), of(HOT)
+    return _of(met, REMOVED).select("doc", "begin", (F.col("begin") + F.shiftright("info", 16)).alias("end")).union(solved)
+
+
+def _of(met: DataFrame, kind: int) -> DataFrame:
+    return met.filter(F.col("info").bitwiseAND(3) == kind)
+
+
+def _meeting_of(found: DataFrame, hot_rows: int | None) -> DataFrame:
+    n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return found.repartition(n, "h").sortWithinPartitions(*ORDER).mapInArrow(lambda b: _meet(b, hot_rows), FOUND)
 
 
 def repeated_ranges(texts: DataFrame, task: Task) -> DataFrame:
-    """(doc, begin, end) for texts as ``texts_of`` gives them: ranges of places that repeated windows cover; they may overlap."""
-    ranges, hot = _resolved(texts, texts.mapInArrow(lambda b: _find(b, task), FOUND), task, task.hot_rows)
+    """(doc, begin, end) for texts as ``texts_of`` gives them: ranges of places that repeated windows cover; they may overlap.
+
+    All joins with the texts in it, and that of ``with_ranges``, are by document and share one shuffle of the texts."""
+    met = stored(_meeting_of(texts.mapInArrow(lambda b: _find(b, task), FOUND), task.hot_rows))
+    ranges = _resolved(texts, met, task)
+    hot = _of(met, HOT)
     if not hot.isEmpty():
         windows = _asked(texts, hot).mapInArrow(lambda b: _windows(b, task), FOUND)
-        ranges = ranges.union(_resolved(texts, windows, task, None)[0])
+        ranges = ranges.union(_resolved(texts, _meeting_of(windows, None), task))
     return ranges
 
 
