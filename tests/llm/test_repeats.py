@@ -84,11 +84,11 @@ EDGES = [None, "", "x", "a" * 99, "b" * 100, "b" * 101, "c" * 5000, "é" * 300,
 
 @pytest.fixture(params=[False, True])
 def small_parts(request, monkeypatch):
-    """Whole batches, or many segments, buffers and shards."""
+    """Whole batches, or many segments, buffers and shards: how large the latter are."""
     if request.param:
         monkeypatch.setattr(R, "SEGMENT", 700)
         monkeypatch.setattr(R, "RUNS_AT_ONCE", 20)
-        monkeypatch.setattr(R, "SHARD", 900)
+    return {"shard": 900} if request.param else {}
 
 
 def solo(task, texts):
@@ -139,7 +139,7 @@ def solo(task, texts):
 def test_engine_bytes(small_parts, seed):
     texts = mosaic(60, "ab" if seed % 2 else "abcdefgh", seed) + EDGES
     want = brute_bytes(texts, 100)
-    got, _ = solo(S.byte_task(), texts)
+    got, _ = solo(S.byte_task(**small_parts), texts)
     assert [len(c) for c in got] == [w[1] for w in want]
 
 
@@ -147,7 +147,7 @@ def test_engine_bytes(small_parts, seed):
 def test_engine_words(small_parts, seed):
     texts = word_mosaic(50, seed) + EDGES
     want = brute_words(texts, 35)
-    got, _ = solo(W.word_task(), texts)
+    got, _ = solo(W.word_task(**small_parts), texts)
     assert [len(c) for c in got] == [w[1] for w in want]
 
 
@@ -158,24 +158,23 @@ def test_hot_anchors_are_taken_apart(small_parts, rows, here):
     common = "".join(pick.choice("abcdef") for _ in range(180))
     hot = min(rows, here) < 1 << 30
     texts = mosaic(40, "abcdefgh", 6) + [f"{i} x{i} {common}{i * 7} y{i}" for i in range(40)] + EDGES
-    got, share = solo(S.byte_task(hot_rows=rows, hot_here=here), texts)
+    got, share = solo(S.byte_task(hot_rows=rows, hot_here=here, **small_parts), texts)
     assert [len(c) for c in got] == [w[1] for w in brute_bytes(texts, 100)]
     assert (share["windows"] > 0) == hot or here < 1 << 30
     texts = word_mosaic(40, 5) + [" ".join(f"{i} {common[:60]} {i}") for i in range(40)] + EDGES
-    got, share = solo(W.word_task(hot_rows=rows, hot_here=here), texts)
+    got, share = solo(W.word_task(hot_rows=rows, hot_here=here, **small_parts), texts)
     assert [len(c) for c in got] == [w[1] for w in brute_words(texts, 35)]
     assert (share["windows"] > 0) == hot or here < 1 << 30
 
 
-def test_one_anchor_larger_than_a_shard(monkeypatch):
+def test_one_anchor_larger_than_a_shard():
     """All texts share an anchor and differ around it; copies of each come in several parts."""
-    monkeypatch.setattr(R, "SHARD", 1000)
     core = "".join(random.Random(2).choices("abcdef", k=120))
     texts = [f"{i % 7:03d}{core}{i % 7:05d}" for i in range(60)]
     for rows in (1, 1 << 30):
-        assert [len(c) for c in solo(S.byte_task(hot_rows=rows), texts)[0]] == [w[1] for w in brute_bytes(texts, 100)]
+        assert [len(c) for c in solo(S.byte_task(hot_rows=rows, shard=1000), texts)[0]] == [w[1] for w in brute_bytes(texts, 100)]
         words = [" ".join(t) for t in texts]
-        assert [len(c) for c in solo(W.word_task(hot_rows=rows), words)[0]] == [w[1] for w in brute_words(words, 35)]
+        assert [len(c) for c in solo(W.word_task(hot_rows=rows, shard=1000), words)[0]] == [w[1] for w in brute_words(words, 35)]
 
 
 @pytest.mark.parametrize("rows, here", [(1 << 30, 1 << 30), (2, 2)])
@@ -192,8 +191,8 @@ def test_colliding_hashes_remove_nothing(monkeypatch, rows, here):
 def test_collisions_are_found(monkeypatch):
     """With a hash that always collides the bytes decide."""
     monkeypatch.setattr(R, "span_hashes", lambda prefix, start, length: np.zeros(len(start), np.uint64))
-    part, offset = S.later_windows(5)([b"abcde", b"abcdf", b"abcde"], np.array([5, 5, 5]), np.zeros((2, 3), np.int64))
-    assert (part.tolist(), offset.tolist()) == ([2], [0])
+    part, begin, end = S.later_windows(5)([b"abcde", b"abcdf", b"abcde"], np.array([5, 5, 5]), np.zeros((2, 3), np.int64))
+    assert (part.tolist(), begin.tolist(), end.tolist()) == ([2], [0], [5])
 
 
 def test_fm_index_counts():
@@ -212,6 +211,27 @@ def test_fm_index_counts():
         assert int(high[0] - low[0]) == want
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_fm_solver_against_counting(seed):
+    pick = random.Random(seed)
+    pool = [[pick.choice("abcde") for _ in range(pick.randint(3, 30))] for _ in range(4)]
+    parts = []
+    for _ in range(40):
+        p = pick.choice(pool)
+        a = pick.randrange(len(p))
+        parts.append(p[a : a + pick.randint(1, 30)] + [pick.choice("xyz") for _ in range(pick.randint(0, 3))])
+    count = {}
+    for p in parts:
+        for i in range(len(p) - 5):
+            count[tuple(p[i : i + 6])] = count.get(tuple(p[i : i + 6]), 0) + 1
+    got = [set() for _ in parts]
+    regions = [" ".join(p).encode() for p in parts]
+    for i, a, b in zip(*W.repeated_windows(6)(regions, np.array([len(p) for p in parts]), np.zeros((2, len(parts)), np.int64)), strict=True):
+        got[i].update(range(a, b))
+    for p, g in zip(parts, got, strict=True):
+        assert g == {j for i in range(len(p) - 5) if count[tuple(p[i : i + 6])] > 1 for j in range(i, i + 6)}
+
+
 def test_bytes_on_table(spark):
     d = "/root/testdata/sf0.01"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").collect()}

@@ -42,7 +42,6 @@ from tickspark.llm.graph import checkpointed, stored
 
 SEGMENT = 1 << 20
 RUNS_AT_ONCE = 1 << 18
-SHARD = 1 << 18  # bytes
 _GATHERED = 1 << 22  # bytes
 _POSITION = 22
 #: A place is a position in a text plus this times the number of the text among those of its id.
@@ -67,10 +66,11 @@ class Task:
     anchor: int
     keep_first: bool
     content: Callable[[str], Content]
-    #: (parts' bytes, numbers of symbols, [group, distance to the anchor] of each) to the places, as (part, offset), of windows to remove.
-    solve: Callable[[list[bytes], np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
-    hot_rows: int = 4096
+    #: (regions' bytes, numbers of symbols, [group, distance to the anchor] of each) to what windows to remove cover: (region, begin, end in it).
+    solve: Callable[[list[bytes], np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
+    hot_rows: int = 512
     hot_here: int = 64
+    shard: int = 1 << 20  # bytes
 
 
 @lru_cache(maxsize=1)
@@ -394,7 +394,7 @@ class _Shards:
     """Regions in ORDER, solved in shards cut between anchors, or in parts where one anchor fills a shard."""
 
     def __init__(self, task: Task):
-        self.task, self.held, self.size, self.limit = task, [], 0, SHARD
+        self.task, self.held, self.size, self.limit = task, [], 0, task.shard
 
     def _solved(self, table: pa.Table) -> Iterator[pa.RecordBatch]:
         h, doc, begin, packed = (table[c].to_numpy() for c in ("h", "doc", "begin", "info"))
@@ -404,15 +404,15 @@ class _Shards:
         if not len(h):
             return
         group = np.cumsum(np.concatenate([[True], h[1:] != h[:-1]])) - 1
-        part, offset = self.task.solve(table["region"].filter(pa.array(once)).to_pylist(), packed >> 16, np.stack([group, packed >> 2 & 0x3FFF]))
-        doc, begin, end = merge_ranges(doc[part], begin[part] + offset, begin[part] + offset + self.task.window)
+        part, a, b = self.task.solve(table["region"].filter(pa.array(once)).to_pylist(), packed >> 16, np.stack([group, packed >> 2 & 0x3FFF]))
+        doc, begin, end = merge_ranges(doc[part], begin[part] + a, begin[part] + b)
         if len(doc):
             yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(begin), pa.array(end)], ["doc", "begin", "end"])
 
     def _keep(self, table: pa.Table) -> None:
         self.held = [table.combine_chunks()]
         self.size = sum(map(len, self.held[0]["region"].to_pylist()))
-        self.limit = self.size + SHARD
+        self.limit = self.size + self.task.shard
 
     def feed(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         self.held.append(pa.Table.from_batches([batch]))

@@ -2,10 +2,10 @@
 
 ``repeats`` brings together the regions that can hold equal windows. Each shard of them is compiled
 into an FM-index: suffix array by prefix doubling, Burrows-Wheeler transform, and a wavelet tree of
-bit-packed levels with sampled ranks. The shard's documents are then streamed against it: a backward
-search from every end of a window extends to the left while the passage occurs elsewhere too, which
-gives the matching statistics; intervals that reach the threshold are reported. All searches of a
-shard advance in step.
+bit-packed levels with sampled ranks. The shard's regions are then streamed against it: a backward
+search from an end extends to the left while the passage occurs elsewhere too, which gives the
+matching statistics; intervals that reach the threshold are reported. All searches of a shard
+advance in step.
 
 A window is ``window`` consecutive words; each word that a window covers whose word sequence also
 starts anywhere else is removed, first copies included, judged on the input. Words are told apart by
@@ -29,6 +29,7 @@ from tickspark.llm import repeats as R
 from tickspark.llm.words import keys_of, words_of
 
 WINDOW, ANCHOR = 35, 12
+SHARD = 1 << 22  # bytes in one index
 
 
 class TextWords(R.Content):
@@ -87,6 +88,7 @@ class FMIndex:
         self.tree = WaveletTree(last, self.bits)
         every = np.arange(len(alphabet) + 1)
         self.first = np.searchsorted(np.sort(last), every)  # of suffixes that begin with a symbol
+        self.stop = np.append(self.first[1:], n)
         self.base = self.tree.descend(every, np.zeros(len(every), np.int64))
 
     @staticmethod
@@ -112,42 +114,73 @@ class FMIndex:
 
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One step of backward search: the suffixes that the symbol followed by the interval begins."""
-        shift = self.first[symbol] - self.base[symbol]
-        return self.tree.descend(symbol, low) + shift, self.tree.descend(symbol, high) + shift
+        at = self.tree.descend(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
+        shift, n = self.first[symbol] - self.base[symbol], len(symbol)
+        return at[:n] + shift, at[n:] + shift
 
-    def matching_statistics(self, end: np.ndarray, longest: int) -> np.ndarray:
+    def matching_statistics(self, end: np.ndarray, longest: np.ndarray) -> np.ndarray:
         """For places just after an end: how far to the left the text occurs at least twice, at most ``longest``."""
-        out, live = np.zeros(len(end), np.int64), np.arange(len(end))
-        low, high = np.zeros(len(end), np.int64), np.full(len(end), len(self.text))
-        for k in range(1, longest + 1):
-            low, high = self.extend(self.text[end[live] - k], low, high)
+        out, live = np.zeros(len(end), np.int64), np.flatnonzero(longest > 0)
+        symbol = self.text[end[live] - 1]
+        low, high, k = self.first[symbol], self.stop[symbol], 1
+        while True:
             more = high - low > 1
             live, low, high = live[more], low[more], high[more]
             if not len(live):
-                break
+                return out
             out[live] = k
-        return out
+            k += 1
+            on = longest[live] >= k
+            live, low, high = live[on], low[on], high[on]
+            low, high = self.extend(self.text[end[live] - k], low, high)
+
+
+def numbered(things: list[bytes]) -> np.ndarray:
+    """For each its number among the different ones, in order of first occurrence."""
+    number = {t: i for i, t in enumerate(dict.fromkeys(things))}
+    return np.fromiter(map(number.__getitem__, things), np.int64, len(things))
 
 
 def repeated_windows(window: int):
-    """A solver: of the windows in some regions, those that occur more than once in them."""
-
-    def solve(regions: list[bytes], length: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        number: dict[bytes, int] = {}
-        words = b" ".join(regions).split()
-        symbols = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
-        start, count = np.cumsum(length) - length, np.maximum(0, length - window + 1)
-        index = FMIndex(symbols, start, length)
-        row = np.repeat(np.arange(len(start)), count)
-        step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-        hit = index.matching_statistics(index.start[row] + step + window, window) >= window
-        return row[hit], step[hit]
+    """A solver: what is covered by windows that occur more than once in some regions.
+
+    Of regions with one content two stand in the index, and one is streamed for all. From the end of
+    a region the search runs to the left as far as the text repeats, beyond one window: all windows in
+    that reach repeat, and the search goes on at the first end whose window does not lie in it."""
+
+    def solve(regions: list[bytes], length: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        content = numbered(regions)
+        order = np.argsort(content, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(content[order]) > 0]))
+        rank = np.arange(len(order)) - np.repeat(first, np.diff(first, append=len(order)))
+        indexed, streamed = np.sort(order[rank < 2]), order[first]  # the latter in order of content
+        symbols = numbered(b" ".join([regions[i] for i in indexed.tolist()]).split())
+        size = length[indexed]
+        index = FMIndex(symbols, np.cumsum(size) - size, size)
+        start = index.start[np.searchsorted(indexed, streamed)]
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        live, end = np.arange(len(streamed)), length[streamed]
+        while True:
+            on = end >= window
+            live, end = live[on], end[on]
+            if not len(live):
+                break
+            reach = index.matching_statistics(start[live] + end, end)
+            hit = reach >= window
+            found.append((live[hit], (end - reach)[hit], end[hit]))
+            end = np.where(hit, end - reach + window, end) - 1
+        which, begin, stop = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 3
+        by = np.argsort(which, kind="stable")  # for each content its ranges, given to all regions that have it
+        which, begin, stop = which[by], begin[by], stop[by]
+        at, many = np.searchsorted(which, content), np.bincount(which, minlength=len(streamed))[content]
+        pick = np.repeat(at - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        return np.repeat(np.arange(len(regions)), many), begin[pick], stop[pick]
 
     return solve
 
 
 def word_task(window: int = WINDOW, anchor: int = ANCHOR, **limits: int) -> R.Task:
-    return R.Task(window, min(anchor, window), False, TextWords, repeated_windows(window), **limits)
+    return R.Task(window, min(anchor, window), False, TextWords, repeated_windows(window), **({"shard": SHARD} | limits))
 
 
 def _apply(batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.RecordBatch]:

@@ -108,7 +108,7 @@ class Suffixes:
 def later_windows(window: int):
     """A solver: of the windows in some regions, those that also start in an earlier region."""
 
-    def solve(regions: list[bytes], length: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def solve(regions: list[bytes], length: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         data, start = np.frombuffer(b"".join(regions), np.uint8), np.cumsum(length) - length
         count = np.maximum(0, length - window + 1)
         row = np.repeat(np.arange(len(start)), count)
@@ -121,7 +121,7 @@ def later_windows(window: int):
         several[:-1] |= several[1:]
         suffix, segment = suffix[several], segment[several]
         if not len(suffix):
-            return suffix, suffix
+            return suffix, suffix, suffix
         s = Suffixes(data, window)
         ordered = s.sort(suffix, segment)
         beside = np.flatnonzero(segment[1:] == segment[:-1])
@@ -132,7 +132,7 @@ def later_windows(window: int):
             same = (view[ordered[beside]] == view[ordered[beside + 1]]).all(1)
         later = np.sort(ordered[beside[same] + 1])
         part = np.searchsorted(start, later, "right") - 1
-        return part, later - start[part]
+        return part, later - start[part], later - start[part] + window
 
     return solve
 
