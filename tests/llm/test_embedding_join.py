@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.test_minhash import classes
@@ -33,13 +34,60 @@ def test_on_table(spark):
     agree(rows, [vectors[i] for i in range(len(vectors))])
 
 
-def test_many_blocks_and_far_clusters(spark):
+def as_floats(vectors):
+    return [[float(np.float32(x)) for x in v] for v in vectors]
+
+
+@pytest.mark.parametrize("block, leaf", [(16, 4), (64, 16), (4096, 256)])
+def test_many_blocks_and_far_clusters(spark, monkeypatch, block, leaf):
+    monkeypatch.setattr(J, "LEAF", leaf)
     pick = np.random.default_rng(4)
     centres = pick.normal(size=(9, 12))
     vectors = [(centres[i % 9] * 3 + pick.normal(size=12) * (0.2 + (i % 5) / 4)).tolist() for i in range(420)]
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
-    vectors = [[float(np.float32(x)) for x in v] for v in vectors]
-    agree(J.near_duplicate_vectors(df, 0.9, block=16, axes=4).collect(), vectors)
+    for kind in ("float", "double"):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], f"vec_id long, embedding array<{kind}>")
+        agree(J.near_duplicate_vectors(df, 0.9, block=block, axes=4).collect(), as_floats(vectors) if kind == "float" else vectors)
+
+
+def planted(pick, n=1500, dim=64):
+    """Vectors of which some are copies with noise, some exact copies, and some a chain of close neighbours."""
+    vectors = pick.normal(size=(n, dim))
+    for i in range(0, n, 10):
+        vectors[i + 1] = vectors[i] + pick.normal(size=dim) * 0.2
+        vectors[i + 2] = vectors[i] * 3
+    chain = pick.normal(size=dim)
+    for i in range(5, n, 30):
+        chain = chain + pick.normal(size=dim) * 0.3
+        vectors[i] = chain
+    return vectors.tolist()
+
+
+def test_planted_links_through_the_query(spark, as_table, monkeypatch):
+    vectors = planted(np.random.default_rng(11))
+    df = spark.createDataFrame([(i, v, i % 3) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>, label int").repartition(3)
+    for block in (J.BLOCK, 200):
+        monkeypatch.setattr(J.near_duplicate_vectors, "__kwdefaults__", J.near_duplicate_vectors.__kwdefaults__ | {"block": block})
+        rows = Q.op5_embedding_dedup(spark, as_table(df, "embeddings")).collect()
+        assert len(rows) == len(vectors) and sum(r.n_links for r in rows) > 400 and sum(not r.kept for r in rows) > 200
+        agree(rows, as_floats(vectors))
+
+
+def test_many_lengths_and_long_vectors(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK_BYTES", 1 << 15)
+    pick = np.random.default_rng(5)
+    vectors = [pick.normal(size=2 + i % 40).tolist() for i in range(120)]
+    vectors += [(np.array(v) * 1.01 + 0.01).tolist() for v in vectors]
+    base = pick.normal(size=(6, 1000))
+    vectors += [(base[i % 6] + pick.normal(size=1000) * 0.1).tolist() for i in range(30)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    agree(J.near_duplicate_vectors(df).collect(), vectors)
+
+
+def test_axes_of_long_vectors_are_orthonormal(spark):
+    pick = np.random.default_rng(6)
+    df = spark.createDataFrame([(v,) for v in pick.normal(size=(30, 300)).tolist()], "vector array<double>")
+    axes = J.principal_axes(df, 300, 8)
+    assert axes.shape == (300, 8) and np.allclose(axes.T @ axes, np.eye(8))
 
 
 def test_edges(spark):
@@ -64,6 +112,18 @@ def test_distant_blocks_are_skipped(spark):
     eps = float(np.sqrt(0.2))
     basis = J.principal_axes(df, 4, 3)
     ordered = df.select("rep", "copies", "vector").mapInArrow(lambda b: J._project(b, basis, eps), "rep long, copies long, vector array<double>, cells array<int>, y array<double>").orderBy("cells", "y").coalesce(1)
-    blocks = ordered.mapInArrow(lambda b: J._blocks(b, 20), "block long, part long, ids array<long>, copies array<long>, unit binary, lo array<double>, hi array<double>")
+    blocks = ordered.mapInArrow(lambda b: J._blocks(b, 20, False), J.BLOCKS)
     n = blocks.count()
     assert J.close_blocks(blocks, eps, 3).count() < 0.6 * n * (n + 1) / 2
+
+
+def test_distant_leaves_are_skipped(monkeypatch):
+    monkeypatch.setattr(J, "LEAF", 10)
+    pick = np.random.default_rng(1)
+    unit = J._unit(np.repeat(np.eye(4), 100, 0) + pick.normal(size=(400, 4)) / 50)
+    run = J.Run(np.arange(400), np.ones(400, np.int64), unit, unit)
+    rows, (compared, of) = J.join_runs(run, None, 0.9)
+    assert compared == 4 * 55 and of == 820
+    assert rows.filter(rows.column("b").is_null()).column("n").to_pylist() == [99] * 400
+    half = [J.Run(np.arange(k, k + 200), np.ones(200, np.int64), unit[k : k + 200], unit[k : k + 200]) for k in (0, 200)]
+    assert J.join_runs(*half, 0.9)[1] == (0, 400) and J.join_runs(*half, 0.9)[0].num_rows == 0

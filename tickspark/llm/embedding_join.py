@@ -4,13 +4,20 @@ Unit vectors with cosine >= t lie within epsilon = sqrt(2 - 2t) of each other, a
 projections on any orthonormal axes. Vectors are sorted by their grid cells of width epsilon on the
 leading principal axes (epsilon grid order) and cut into blocks; blocks form nested intervals of the
 sequence, each with a bounding box. The join descends the intervals pairwise and leaves out every
-pair whose boxes are farther apart than epsilon; block pairs that remain are compared exactly, in
-double precision. A block pair returns link counts and a spanning set of its links, never all pairs.
+pair whose boxes are farther apart than epsilon: between blocks as tables, within two blocks down
+to leaves of LEAF vectors. Leaves that remain are compared exactly, in double precision. A block pair
+returns link counts and a spanning set of its links, never all pairs.
 
-Equal vectors are compared once and counted with their number. Defined results: vectors that are
-null, empty, zero or hold a null or non-finite component link with nothing; vectors of different
-lengths never link; a repeated row (same id and vector) counts as one vector and gives a row each; a row
-without an id links with nothing and is kept; no rows give no rows; other columns are ignored.
+What is skipped depends on the vectors: clusters part, vectors spread evenly over many dimensions do
+not (no two boxes are then apart, and every block meets every other). Of a block pair one block is
+shipped, in the table's own precision, to where the other is.
+
+Equal vectors are compared once and counted with their number. Vectors of a length that no more have than fit
+a block are joined in one task a length. Defined results: vectors that are null, empty, zero or
+hold a null or non-finite component link with nothing; vectors of different lengths never link; a
+repeated row (same id and vector) counts as one vector and gives a row each; a row without an id
+links with nothing and is kept; no rows give no rows; other columns are ignored, whatever their
+names. Of a class the smallest id is kept. Long vectors have smaller blocks, of BLOCK_BYTES at most.
 """
 
 from __future__ import annotations
@@ -23,10 +30,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.graph import checkpointed, connected_components, spanning
+from tickspark.llm.graph import checkpointed, connected_components
 
-AXES = 8
-BLOCK = 2048
+AXES = 16
+SKETCH = 256  # dimensions in which principal axes are looked for
+BLOCK, BLOCK_BYTES = 8192, 1 << 25
+LEAF = 256
 FAN_OUT = 8
 _SLACK = 1e-9
 
@@ -40,31 +49,46 @@ def is_valid(vector: Column) -> Column:
 
 def _matrix(column: pa.Array) -> np.ndarray:
     """Unit vectors of a list column, in double precision."""
-    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
-    x = x / np.abs(x).max(1, keepdims=True)  # so that squares neither overflow nor vanish
-    return x / np.sqrt((x * x).sum(1, keepdims=True))
+    return _unit(column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1))
+
+
+def _sketch_basis(dim: int) -> np.ndarray:
+    """dim x min(dim, SKETCH), columns orthonormal: the space in which principal axes are looked for."""
+    if dim <= SKETCH:
+        return np.eye(dim)
+    return np.linalg.qr(np.random.default_rng(dim).normal(size=(dim, SKETCH)))[0]
+
+
+def _leading(moments: np.ndarray, total: np.ndarray, n: float, axes: int) -> np.ndarray:
+    mean = total / max(1.0, n)
+    _, basis = np.linalg.eigh(moments / max(1.0, n) - np.outer(mean, mean))
+    return basis[:, ::-1][:, :axes]
 
 
 def principal_axes(vectors: DataFrame, dim: int, axes: int = AXES) -> np.ndarray:
-    """Leading principal axes of all unit vectors; dim * dim sums reach the driver, whatever the rows."""
+    """Leading principal axes of all unit vectors, within a fixed random subspace where they have many dimensions.
+
+    SKETCH * (SKETCH + 1) sums at most reach the driver, whatever the rows and dimensions."""
+    sketch = _sketch_basis(dim)
+    wide = sketch.shape[1]
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((dim + 1, dim))
+        total = np.zeros((wide + 1, wide))
+        n = 0
         for batch in batches:
             if batch.num_rows:
-                x = _matrix(batch.column(0))
+                x = _matrix(batch.column(0)) @ sketch
                 total += np.concatenate([x.T @ x, x.sum(0, keepdims=True)])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size, dtype=np.int64)), pa.array(total.reshape(-1))], ["at", "s"])
+                n += len(x)
+        flat = np.append(total.reshape(-1), n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int64)), pa.array(flat)], ["at", "s"])
 
     sums = vectors.select("vector").mapInArrow(moments, "at long, s double").groupBy("at").agg(F.sum("s").alias("s"))
-    table = np.zeros((dim + 1) * dim)
+    table = np.zeros((wide + 1) * wide + 1)
     for r in sums.collect():
         table[r["at"]] = r["s"]
-    table = table.reshape(dim + 1, dim)
-    n = max(1.0, float(np.trace(table[:dim])))  # the trace of unit vectors' outer products
-    mean = table[dim] / n
-    _, basis = np.linalg.eigh(table[:dim] / n - np.outer(mean, mean))
-    return np.ascontiguousarray(basis[:, ::-1][:, :axes])
+    square = table[:-1].reshape(wide + 1, wide)
+    return np.ascontiguousarray(sketch @ _leading(square[:wide], square[wide], table[-1], axes))
 
 
 def _project(batches: Iterator[pa.RecordBatch], axes: np.ndarray, epsilon: float) -> Iterator[pa.RecordBatch]:
@@ -80,24 +104,26 @@ def _project(batches: Iterator[pa.RecordBatch], axes: np.ndarray, epsilon: float
         )
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Runs of the sorted sequence as one row each."""
+BLOCKS = "block long, part long, ids array<long>, copies array<long>, vectors binary, y binary, lo array<double>, hi array<double>"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], size: int, single: bool) -> Iterator[pa.RecordBatch]:
+    """Runs of the sorted sequence as one row each. ``single``: the table's components are floats."""
     from pyspark import TaskContext
 
     part = TaskContext.get().partitionId()
     waiting: list[pa.RecordBatch] = []
     count = number = 0
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+    names = [c.split()[0] for c in BLOCKS.split(", ")]
 
     def out(rows: pa.Table) -> pa.RecordBatch:
         nonlocal number
-        y = rows["y"].combine_chunks()
-        y = y.flatten().to_numpy().reshape(rows.num_rows, -1)
-        row = {
-            "block": part << 32 | number, "part": part, "ids": rows["rep"].to_pylist(), "copies": rows["copies"].to_pylist(),
-            "unit": _matrix(rows["vector"].combine_chunks()).tobytes(), "lo": y.min(0).tolist(), "hi": y.max(0).tolist(),
-        }
+        y = rows["y"].combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
+        raw = rows["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float32 if single else np.float64)
+        row = [part << 32 | number, part, rows["rep"].to_pylist(), rows["copies"].to_pylist(), raw.tobytes(), y.tobytes(), y.min(0).tolist(), y.max(0).tolist()]
         number += 1
-        return pa.RecordBatch.from_pylist([row], schema=pa.schema([("block", pa.int64()), ("part", pa.int64()), ("ids", pa.list_(pa.int64())), ("copies", pa.list_(pa.int64())), ("unit", pa.binary()), ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64()))]))
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
 
     for batch in batches:
         waiting.append(batch)
@@ -136,70 +162,154 @@ def close_blocks(blocks: DataFrame, epsilon: float, axes: int) -> DataFrame:
     return pairs
 
 
-def _compare(batches: Iterator[pa.RecordBatch], dim: int, threshold: float) -> Iterator[pa.RecordBatch]:
-    """Rows (a, n): vectors linked to a; rows (a, b): links that connect what the block pair connects."""
+class Run:
+    """A stretch of the sequence: ids, copies of each, unit vectors, and their projections."""
+
+    def __init__(self, ids: np.ndarray, copies: np.ndarray, unit: np.ndarray, y: np.ndarray):
+        self.ids, self.copies, self.unit = ids, copies, unit
+        at = np.arange(0, len(ids), LEAF)
+        self.lo, self.hi = np.minimum.reduceat(y, at), np.maximum.reduceat(y, at)
+
+
+def close_leaves(a: Run, b: Run, epsilon: float, same: bool) -> np.ndarray:
+    """Which leaves of a may hold neighbours of which leaves of b, by descending both intervals by halves."""
+    out = np.zeros((len(a.lo), len(b.lo)), bool)
+    waiting = [(0, len(a.lo), 0, len(b.lo))]
+    while waiting:
+        i, k, j, m = waiting.pop()
+        if same and m <= i:
+            continue
+        lo, hi = np.maximum(a.lo[i:k].min(0), b.lo[j:m].min(0)), np.minimum(a.hi[i:k].max(0), b.hi[j:m].max(0))
+        if (np.maximum(0, lo - hi) ** 2).sum() > epsilon * epsilon + _SLACK:
+            continue
+        if k - i == m - j == 1:
+            out[i, j] = not same or j >= i
+        elif k - i >= m - j:
+            waiting += [(i, (i + k) // 2, j, m), ((i + k) // 2, k, j, m)]
+        else:
+            waiting += [(i, k, j, (j + m) // 2), (i, k, (j + m) // 2, m)]
+    return out
+
+
+class _Classes:
+    """Classes of places 0 to n - 1; each place's label is the least of its class."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+
+    def join(self, near: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> None:
+        """The links of a matrix whose rows and columns stand for these places."""
+        for r in np.flatnonzero(near.any(1)).tolist():
+            labels = np.unique(self.label[np.append(cols[near[r]], rows[r])])
+            if len(labels) > 1:
+                self.label[np.isin(self.label, labels[1:])] = labels[0]
+
+
+def join_runs(a: Run, b: Run | None, threshold: float) -> tuple[pa.RecordBatch, tuple[int, int]]:
+    """Rows (a, null, n): vectors linked to a; rows (a, b, 0): links that connect what the runs' links connect.
+
+    ``b`` None: a with itself. Also how many pairs of leaves were compared, of how many."""
+    same = b is None
+    b = b or a
+    epsilon = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
+    close = close_leaves(a, b, epsilon, same)
+    n, m = len(a.ids), len(b.ids)
+    counts = [np.zeros(n, np.int64), np.zeros(n if same else m, np.int64)]
+    shift = 0 if same else n
+    classes = _Classes(n if same else n + m)
+    for leaf in np.flatnonzero(close.any(1)).tolist():
+        i = np.arange(leaf * LEAF, min(n, (leaf + 1) * LEAF))
+        leaves = np.flatnonzero(close[leaf])
+        j = (leaves[:, None] * LEAF + np.arange(LEAF)).reshape(-1)
+        j = j[j < m]
+        near = a.unit[i] @ b.unit[j].T >= threshold
+        if same:
+            near &= j[None, :] > i[:, None]
+        if not near.any():
+            continue
+        counts[0][i] += near @ b.copies[j]
+        counts[1][j] += a.copies[i] @ near
+        classes.join(near, i, j + shift)
+    ids = a.ids if same else np.concatenate([a.ids, b.ids])
+    many = counts[0] + counts[1] if same else np.concatenate(counts)
+    linked = np.flatnonzero(many)
+    root = classes.label[linked]
+    ends = linked != root
+    rows = pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([ids[linked], ids[root[ends]]])),
+            pa.concat_arrays([pa.nulls(len(linked), pa.int64()), pa.array(ids[linked[ends]])]),
+            pa.array(np.concatenate([many[linked], np.zeros(int(ends.sum()), np.int64)])),
+        ],
+        ["a", "b", "n"],
+    )
+    return rows, (int(close.sum()), len(a.lo) * (len(a.lo) + 1) // 2 if same else len(a.lo) * len(b.lo))
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
+    x = x / np.abs(x).max(1, keepdims=True)  # so that squares neither overflow nor vanish
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+
+def _run(row: dict[str, pa.Scalar], dim: int, single: bool) -> Run:
+    raw = np.frombuffer(row["vectors"].as_buffer(), np.float32 if single else np.float64).reshape(-1, dim)
+    y = np.frombuffer(row["y"].as_buffer(), np.float64).reshape(len(raw), -1)
+    return Run(row["ids"].values.to_numpy(), row["copies"].values.to_numpy(), _unit(raw), y)
+
+
+def _compare(batches: Iterator[pa.RecordBatch], dim: int, threshold: float, single: bool) -> Iterator[pa.RecordBatch]:
+    """Of rows (i, j, columns of block i, columns of block j)."""
+    names = ("ids", "copies", "vectors", "y")
     for batch in batches:
         for r in range(batch.num_rows):
-            i, j, ids_i, ids_j, copies_i, copies_j, unit_i, unit_j = (batch.column(k)[r] for k in range(8))
-            same = i.as_py() == j.as_py()
-            x, y = (np.frombuffer(u.as_buffer(), np.float64).reshape(-1, dim) for u in (unit_i, unit_j))
-            near = x @ y.T >= threshold
-            if same:
-                np.fill_diagonal(near, False)
-            rows, cols = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
-            if not len(rows):
-                continue
-            near = near[np.ix_(rows, cols)]
-            own, other = ids_i.values.to_numpy()[rows], ids_j.values.to_numpy()[cols]
-            a, n = [own], [near @ copies_j.values.to_numpy()[cols]]
-            if same:
-                square = near
-                label = own
-            else:
-                a.append(other)
-                n.append(near.T @ copies_i.values.to_numpy()[rows])
-                square = np.zeros((len(rows) + len(cols),) * 2, bool)
-                square[: len(rows), len(rows) :] = near
-                square[len(rows) :, : len(rows)] = near.T
-                label = np.concatenate([own, other])
-            edges = np.array(spanning(square), np.int64).reshape(-1, 2)
-            counted = np.concatenate(a)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([counted, label[edges[:, 0]]])),
-                    pa.concat_arrays([pa.nulls(len(counted), pa.int64()), pa.array(label[edges[:, 1]])]),
-                    pa.array(np.concatenate([*n, np.zeros(len(edges), np.int64)])),
-                ],
-                ["a", "b", "n"],
-            )
-
-
-def _links(vectors: DataFrame, dim: int, threshold: float, axes: int, block: int) -> DataFrame:
+            i, j, *cells = (batch.column(k)[r] for k in range(10))
+            first = _run(dict(zip(names, cells[:4], strict=True)), dim, single)
+            second = None if i.as_py() == j.as_py() else _run(dict(zip(names, cells[4:], strict=True)), dim, single)
+            yield join_runs(first, second, threshold)[0]
+
+
+def _together(rows: pa.Table, threshold: float, axes: int) -> pa.Table:
+    """All vectors of one length, in one run."""
+    unit = _matrix(rows["vector"].combine_chunks())
+    sketch = unit @ _sketch_basis(unit.shape[1])
+    y = sketch @ _leading(sketch.T @ sketch, sketch.sum(0), len(unit), min(axes, sketch.shape[1]))
+    epsilon = max(float(np.sqrt(max(0.0, 2 - 2 * threshold))), 1e-6)
+    order = np.lexsort([*y.T[::-1], *np.floor(y / epsilon).T[::-1]])
+    run = Run(rows["rep"].to_numpy()[order], rows["copies"].to_numpy()[order], unit[order], y[order])
+    return pa.Table.from_batches([join_runs(run, None, threshold)[0]])
+
+
+def _links(vectors: DataFrame, dim: int, many: int, threshold: float, axes: int, block: int, single: bool) -> DataFrame:
     """(a, b, n) of all distinct vectors of one length."""
-    axes = min(axes, dim)
+    axes = min(axes, dim, SKETCH)
+    block = max(1, min(block, BLOCK_BYTES // (8 * dim)))
     epsilon = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     basis = principal_axes(vectors, dim, axes)
-    many = vectors.count()
     ordered = vectors.select("rep", "copies", "vector").mapInArrow(lambda b: _project(b, basis, max(epsilon, 1e-6)), "rep long, copies long, vector array<double>, cells array<int>, y array<double>")
     ordered = ordered.orderBy("cells", "y").coalesce(max(1, many // (4 * block)))
-    blocks = checkpointed(ordered.mapInArrow(lambda b: _blocks(b, block), "block long, part long, ids array<long>, copies array<long>, unit binary, lo array<double>, hi array<double>"))
+    blocks = checkpointed(ordered.mapInArrow(lambda b: _blocks(b, block, single), BLOCKS))
     pairs = close_blocks(blocks, epsilon, axes)
-    side = lambda s, k: blocks.select(F.col("block").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("ids", "copies", "unit")])
-    loaded = pairs.join(side("i", "i"), "i").join(side("j", "j"), "j")
-    loaded = loaded.select("i", "j", "ids_i", "ids_j", "copies_i", "copies_j", "unit_i", "unit_j")
-    return loaded.mapInArrow(lambda b: _compare(b, dim, threshold), "a long, b long, n long")
+    side = lambda k: blocks.select(F.col("block").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("ids", "copies", "vectors", "y")])
+    loaded = pairs.join(side("i"), "i").join(side("j"), "j")
+    loaded = loaded.select("i", "j", *[f"{c}_{k}" for k in "ij" for c in ("ids", "copies", "vectors", "y")])
+    return loaded.mapInArrow(lambda b: _compare(b, dim, threshold, single), "a long, b long, n long")
 
 
 def near_duplicate_vectors(table: DataFrame, threshold: float = 0.9, *, id_col: str = "vec_id", vector_col: str = "embedding", axes: int = AXES, block: int = BLOCK) -> DataFrame:
     """(id, n_links, component_id, kept) of every row; ids are long."""
+    single = "float" in table.schema[vector_col].dataType.simpleString()
     rows = table.select(F.col(id_col), F.when(is_valid(F.col(vector_col)) & F.col(id_col).isNotNull(), F.col(vector_col).cast("array<double>")).alias("vector"))
     distinct = rows.filter("vector is not null").groupBy("vector").agg(F.min(id_col).alias("rep"), F.count_distinct(id_col).alias("copies"))
     distinct = checkpointed(distinct.withColumn("dim", F.size("vector")))
-    lengths = sorted(r.dim for r in distinct.select("dim").distinct().collect())
-    found = [_links(distinct.filter(F.col("dim") == d), d, threshold, axes, block) for d in lengths]
-    if not found:
-        return rows.select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"), F.lit(True).alias("kept"))
-    links = checkpointed(reduce(DataFrame.union, found))
+    # Lengths with more vectors than a block are few: no more than blocks.
+    fits = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(BLOCK_BYTES / (8 * F.col("dim")))))
+    large = sorted((r.dim, r.many) for r in distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("many")).filter(F.col("many") > fits).collect())
+    small = distinct.filter(~F.col("dim").isin([d for d, _ in large])) if large else distinct
+    small = small.select("dim", "rep", "copies", "vector")
+    found = small.groupBy("dim").applyInArrow(lambda t: _together(t, threshold, axes), "a long, b long, n long")
+    found = reduce(DataFrame.union, [_links(distinct.filter(F.col("dim") == d), d, n, threshold, axes, block, single) for d, n in large], found)
+    links = checkpointed(found)
     counts = links.filter("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
     classes = connected_components(links.filter("b is not null")).withColumnsRenamed({"id": "rep"})
     known = distinct.join(counts, "rep", "left").join(classes, "rep", "left")
