@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from tickspark.llm.graph import checkpointed, stored
 
 SEGMENT = 1 << 20
-RUNS_AT_ONCE = 1 << 18
+RUNS_AT_ONCE = 1 << 19
 _GATHERED = 1 << 22  # bytes
 _POSITION = 22
 #: A place is a position in a text plus this times the number of the text among those of its id.
@@ -445,6 +445,19 @@ def _solve(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordB
     yield from shards.end()
 
 
+def numbered(things: list[bytes]) -> np.ndarray:
+    """For each its number among the different ones, in order of first occurrence."""
+    number = {t: i for i, t in enumerate(dict.fromkeys(things))}
+    return np.fromiter(map(number.__getitem__, things), np.int64, len(things))
+
+
+def ranked(content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows in order of content and place, how many of their content come before each of these)."""
+    order = np.argsort(content, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], np.diff(content[order]) > 0]))
+    return order, np.arange(len(order)) - np.repeat(first, np.diff(first, append=len(order)))
+
+
 # documents
 
 

@@ -135,12 +135,6 @@ class FMIndex:
             low, high = self.extend(self.text[end[live] - k], low, high)
 
 
-def numbered(things: list[bytes]) -> np.ndarray:
-    """For each its number among the different ones, in order of first occurrence."""
-    number = {t: i for i, t in enumerate(dict.fromkeys(things))}
-    return np.fromiter(map(number.__getitem__, things), np.int64, len(things))
-
-
 def repeated_windows(window: int):
     """A solver: what is covered by windows that occur more than once in some regions.
 
@@ -149,12 +143,10 @@ def repeated_windows(window: int):
     that reach repeat, and the search goes on at the first end whose window does not lie in it."""
 
     def solve(regions: list[bytes], length: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        content = numbered(regions)
-        order = np.argsort(content, kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], np.diff(content[order]) > 0]))
-        rank = np.arange(len(order)) - np.repeat(first, np.diff(first, append=len(order)))
-        indexed, streamed = np.sort(order[rank < 2]), order[first]  # the latter in order of content
-        symbols = numbered(b" ".join([regions[i] for i in indexed.tolist()]).split())
+        content = R.numbered(regions)
+        order, rank = R.ranked(content)
+        indexed, streamed = np.sort(order[rank < 2]), order[rank == 0]  # the latter in order of content
+        symbols = R.numbered(b" ".join([regions[i] for i in indexed.tolist()]).split())
         size = length[indexed]
         index = FMIndex(symbols, np.cumsum(size) - size, size)
         start = index.start[np.searchsorted(indexed, streamed)]

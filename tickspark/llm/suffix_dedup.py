@@ -106,9 +106,28 @@ class Suffixes:
 
 
 def later_windows(window: int):
-    """A solver: of the windows in some regions, those that also start in an earlier region."""
+    """A solver: of the windows in some regions, those that also start in an earlier region.
+
+    Of regions with one content the first two are sorted; what is later than the first is so in all others, too."""
 
     def solve(regions: list[bytes], length: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        content = R.numbered(regions)
+        order, rank = R.ranked(content)
+        some = np.sort(order[rank < 2])
+        part, begin = sort_and_compare([regions[i] for i in some.tolist()], length[some], key[:, some])
+        part = some[part]
+        # What the second of a content loses, the ones after it lose.
+        second = np.full(int(content.max(initial=-1)) + 1, -1)
+        second[content[order[rank == 1]]] = order[rank == 1]
+        by = np.argsort(part, kind="stable")
+        part, begin = part[by], begin[by]
+        more = order[rank > 1]
+        lo, hi = np.searchsorted(part, second[content[more]]), np.searchsorted(part, second[content[more]], "right")
+        pick = np.repeat(hi - np.cumsum(hi - lo), hi - lo) + np.arange(int((hi - lo).sum()))
+        part, begin = np.concatenate([part, np.repeat(more, hi - lo)]), np.concatenate([begin, begin[pick]])
+        return part, begin, begin + window
+
+    def sort_and_compare(regions: list[bytes], length: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         data, start = np.frombuffer(b"".join(regions), np.uint8), np.cumsum(length) - length
         count = np.maximum(0, length - window + 1)
         row = np.repeat(np.arange(len(start)), count)
@@ -121,7 +140,7 @@ def later_windows(window: int):
         several[:-1] |= several[1:]
         suffix, segment = suffix[several], segment[several]
         if not len(suffix):
-            return suffix, suffix, suffix
+            return suffix, suffix
         s = Suffixes(data, window)
         ordered = s.sort(suffix, segment)
         beside = np.flatnonzero(segment[1:] == segment[:-1])
@@ -132,7 +151,7 @@ def later_windows(window: int):
             same = (view[ordered[beside]] == view[ordered[beside + 1]]).all(1)
         later = np.sort(ordered[beside[same] + 1])
         part = np.searchsorted(start, later, "right") - 1
-        return part, later - start[part], later - start[part] + window
+        return part, later - start[part]
 
     return solve
 
