@@ -11,7 +11,7 @@ from tickspark.operators import fill, merge
 from tickspark.plans import daily
 from tickspark.plans import queries as Q
 from tickspark.sources import feeds
-from tickspark.sources.shared import configure, new_folder
+from tickspark.sources.shared import configure, exists, new_folder
 
 DAY = date(2025, 11, 6)
 A = fill.day_start(DAY)
@@ -54,7 +54,9 @@ def test_short_names_win(spark):
     rows, _ = ticks_of(spark, '{"e":"u","E":1762411870001,"s":"BTCUSDT","p":1,"mark_price":2,"P":3,"i":4,"r":5,"T":6,"symbol":"X"}')
     r = rows[0]
     assert (r.event_type, r.mark_price, r.estimated_settle_price, r.index_price, r.funding_rate, r.next_funding_time) == ("u", 1.0, 3.0, 4.0, 5.0, 6)
-    assert r.symbol == "X"  # the long name is asked first here
+    assert r.symbol == "BTCUSDT"
+    rows, bad = ticks_of(spark, '{"E":1,"s":5,"symbol":"X","p":1,"r":1}', '{"E":1,"s":null,"symbol":"X","p":1,"r":1}', '{"E":1,"symbol":"X","p":1,"r":1}')
+    assert [r.symbol for r in rows] == ["X"] and [b[1] for b in bad] == ["missing_symbol"] * 2  # what has the short name is in the place of the other
 
 
 def test_first_source_wins(spark):
@@ -149,6 +151,67 @@ def test_daily_jobs(spark):
     assert sorted(r.status for r in spark.read.parquet(log).collect()) == ["failed", "success"]
 
 
+@pytest.mark.parametrize("data_type, n", [(daily.MARK_PRICE, 86_400), ("index-price", 86_400)])
+def test_days_stand_beside_each_other(spark, data_type, n):
+    base, out, days = new_folder(spark, "a"), new_folder(spark, "out"), [date(2025, 11, 5), date(2025, 11, 6), date(2025, 11, 9)]
+    for k, day in enumerate(days[:2]):
+        ms = (fill.day_start(day) + 50) * 1000
+        spark.createDataFrame([(f'{{"E":{ms},"s":"X","p":"{k}","r":"0"}}',)], "value string").coalesce(1).write.text(feeds.day_path(base, day))
+    with pytest.raises(daily.NoData):
+        daily.run_daily(spark, [base], days[2], data_type, out, "*.txt")
+    assert not exists(spark, out)
+    for day in days[:2]:
+        assert daily.run_daily(spark, [base], day, data_type, out, "*.txt").count() == n
+    everything = sorted(map(str, spark.read.parquet(out).collect()))
+    assert len(everything) == 2 * n
+    with pytest.raises(daily.NoData):
+        daily.run_daily(spark, [base], days[2], data_type, out, "*.txt")
+    log = new_folder(spark, "log")
+    assert daily.run_logged(spark, [base], data_type, out, log, days[2], "*.txt") == "failed"
+    assert spark.read.parquet(log).first().error.startswith("NoData")
+    assert daily.run_daily(spark, [base], days[0], data_type, out, "*.txt").count() == n
+    assert sorted(map(str, spark.read.parquet(out).collect())) == everything
+
+
+def test_rows_outside_the_day_stay_without_clip(spark):
+    base, ms = new_folder(spark, "a"), (A + 5) * 1000
+    write(spark, base, f'{{"E":{ms},"s":"X","p":"1","r":"0"}}', f'{{"E":{ms - 86_400_000},"s":"X","p":"2","r":"0"}}')
+    counts = [daily.run_daily(spark, [base], DAY, daily.MARK_PRICE, new_folder(spark, "day"), "*.txt", clip).count() for clip in (True, False)]
+    assert counts == [86_400, 86_401]
+
+
+def test_chunks_across_partitions(spark):
+    rows = [("hot" if i % 3 else None, i % 50, i) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, t int, i int").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = fill.chunk_number(df, 100, ["k"], ["t", "i"]).collect()
+        empty = fill.chunk_number(df.limit(0), 100, ["k"], ["t", "i"]).count()
+        spread = fill.sorted_by_time(df, ["k"], "t").select("*", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {}
+    for k in ("hot", None):
+        for n, r in enumerate(sorted((r for r in rows if r[0] == k), key=lambda r: r[1:])):
+            want[r] = n // 100 + 1
+    assert {(r.k, r.t, r.i): r.chunk for r in got} == want and empty == 0
+    assert len({r.p for r in spread if r.k == "hot"}) > 1
+    for p in {r.p for r in spread}:
+        part = [(r.k or "", r.t) for r in spread if r.p == p]
+        assert part == sorted(part)
+
+
+def test_listing_is_in_order(spark, sf):
+    prices = [r.o_totalprice for r in Q.QUERIES["f10_order_desc"](spark, sf).collect()]
+    assert prices == sorted(prices, reverse=True) and len(prices) > 1000
+    for name in ("e1_dedup_first_by_second", "e2_dedup_first_by_symbol_second"):
+        n = Q.QUERIES[name](spark, sf).count()
+        assert 0 < n < spark.read.parquet(f"{sf}/events.parquet").count()
+
+
 def test_lines_keep_their_order_across_splits(spark):
     path = new_folder(spark, "split")
     spark.range(20_000).selectExpr("concat(lpad(id, 8, '0'), repeat('x', 20)) AS value").coalesce(1).write.text(path)

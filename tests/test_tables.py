@@ -1,5 +1,6 @@
 """Types, filters, paths, responses, plans and keyed tables: edges."""
 
+import hashlib
 import json
 
 import pytest
@@ -102,6 +103,8 @@ def test_responses(spark):
     df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, s int, b string, w boolean")
     assert all(r[0] == r[1] for r in df.select("w", responses.is_success(F.col("s"), F.col("b"))).collect())
     row = df.limit(1).select(responses.content_class(F.lit(200), F.lit("a\nb\tc"), F.lit(None).cast("string")), responses.content_class(F.lit(None), F.lit(""), F.lit(None).cast("string")), responses.content_class(F.lit(1), F.lit("x"), F.lit("e" * 80))).first()
+    mark = lambda b: df.limit(1).select(responses.content_class(F.lit(200), F.lit(b), F.lit(None).cast("string"))).first()[0].rsplit(" (#", 1)[1]
+    assert mark("x" * 100 + "a") == mark("x" * 100 + "a") != mark("x" * 100 + "b") and len(mark("abc")) <= 5
     assert row[0].startswith("HTTP 200 - abc (#") and row[1] == "HTTP 0 Empty" and row[2] == "ERROR: " + "e" * 50
 
 
@@ -157,6 +160,9 @@ def test_files(spark):
     sinks.write_chunked(df.coalesce(1), path, 4)
     manifest = manifests.scan_manifest(spark, path)
     names = [r.path for r in manifest.filter("path LIKE '%.parquet'").collect()]
+    for r in manifest.collect():
+        with open(f"{path.removeprefix('file:')}/{r.path}", "rb") as f:
+            assert r.hash == hashlib.sha256(f.read()).hexdigest()
     assert len(names) == 3 and all("/" not in n for n in names)
     assert sinks.check_schema_drift(spark, path, df.schema).count() == 0
     listing = spark.createDataFrame([("d/x", 1), ("d/e/y", 2), ("z", 3), ("d/e/w", 4)], "path string, size long")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickspark.functions import variants as V
@@ -44,8 +44,8 @@ def field(row: Column, long_name: str) -> Column:
 
 
 def symbol_of(row: Column) -> Column:
-    """``symbol``, else ``s``; null unless it is a JSON string."""
-    return V.as_string(F.coalesce(V.get(row, "$.symbol"), V.get(row, "$.s")))
+    """``symbol``, or ``s`` in its place where there is one; null unless that is a JSON string."""
+    return V.as_string(field(row, "symbol"))
 
 
 def event_ms(row: Column, keyed: bool = True) -> Column:
@@ -69,34 +69,31 @@ def is_valid_mark_price(row: Column) -> Column:
     return ok[0] & ok[1]
 
 
-def reject_reason(line: Column, row: Column) -> Column:
-    """Why a line gives no tick: the first check that fails; null if none does."""
-    return (
-        F.when(row.isNull(), BAD_JSON)
-        .when(~V.is_object(row), NOT_OBJECT)
-        .when(symbol_of(row).isNull(), NO_SYMBOL)
-        .when(event_ms(row).isNull(), NO_TIME)
-        .when(~is_valid_mark_price(row), INVALID)
-    )
-
-
-def mark_price_columns(row: Column) -> dict[str, Column]:
-    """The declared columns of a mark-price tick."""
-
-    def number(name: str) -> Column:
-        v = field(row, name)
-        return F.coalesce(V.as_double(v), V.float_text(V.as_string(v)))
-
-    ms = event_ms(row)
-    return {
-        "event_type": V.as_string(field(row, "event_type")),
-        "event_time": ms,
-        "symbol": symbol_of(row),
-        "mark_price": number("mark_price"),
-        "index_price": number("index_price"),
-        "estimated_settle_price": number("estimated_settle_price"),
-        "funding_rate": number("funding_rate"),
-        "next_funding_time": V.as_integer(field(row, "next_funding_time")),
-        "sec": second_of(ms),
-        "timestamp": aligned_ms(second_of(ms)),
-    }
+def checked_ticks(parsed: DataFrame) -> DataFrame:
+    """The declared columns of a mark-price tick for every line, with ``reason``: why a line gives no tick,
+    the first check that fails, null if none does. Every field, its kind and its text are read once."""
+    names = list(LONG_NAMES.values())
+    keep = [c for c in parsed.columns if c != "row"]
+    row = F.col("row")
+    state = F.when(row.isNull(), BAD_JSON).when(~V.is_object(row), NOT_OBJECT)
+    rows = V.once(parsed, keep, _state=state, **{f"_{n}": field(row, n) for n in names})
+    keep = [*keep, "_state", *[f"_{n}" for n in names]]
+    rows = V.once(rows, keep, **{f"_kind_{n}": V.schema_of(F.col(f"_{n}")) for n in names})
+    keep += [f"_kind_{n}" for n in names]
+    rows = V.once(rows, keep, **{f"_text_{n}": F.when(F.col(f"_kind_{n}") == "STRING", V.get(F.col(f"_{n}"), "$", "string")) for n in names})
+    value, kind, text = (lambda n, k=k: F.col(f"{k}{n}") for k in ("_", "_kind_", "_text_"))
+    given = lambda n: text(n).isNotNull() | V.is_number(value(n), kind(n))
+    keep = [c for c in parsed.columns if c != "row"]
+    rows = V.once(
+        rows, [*keep, "_state"],
+        event_type=text("event_type"), event_time=V.as_integer(value("event_time"), kind("event_time"), text("event_time")), symbol=text("symbol"),
+        **{n: F.coalesce(V.as_double(value(n), kind(n)), V.float_text(text(n))) for n in ("mark_price", "index_price", "estimated_settle_price", "funding_rate")},
+        next_funding_time=V.as_integer(value("next_funding_time"), kind("next_funding_time"), text("next_funding_time")),
+        _valid=given("mark_price") & given("funding_rate"),
+    )
+    sec = second_of(F.col("event_time"))
+    reason = F.when(F.col("_state").isNotNull(), F.col("_state")).when(F.col("symbol").isNull(), NO_SYMBOL).when(F.col("event_time").isNull(), NO_TIME).when(~F.col("_valid"), INVALID)
+    return rows.select(*TICK_COLUMNS[:8], sec.alias("sec"), aligned_ms(sec).alias("timestamp"), *keep, reason.alias("reason"))
+
+
+TICK_COLUMNS = ["event_type", "event_time", "symbol", "mark_price", "index_price", "estimated_settle_price", "funding_rate", "next_funding_time", "sec", "timestamp"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _INT = "^[+-]?[0-9]+$"
@@ -24,6 +24,12 @@ def schema_of(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
+def once(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """Adds columns through a one-row generator: what is built on them reads values, where Spark would
+    otherwise put the expressions in place of the names and compute them again and again."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def is_object(v: Column) -> Column:
     return F.coalesce(schema_of(v).startswith("OBJECT"), F.lit(False))
 
@@ -36,8 +42,8 @@ def is_string(v: Column) -> Column:
     return F.coalesce(schema_of(v) == "STRING", F.lit(False))
 
 
-def is_number(v: Column) -> Column:
-    return F.coalesce(schema_of(v).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.lit(False))
+def is_number(v: Column, kind: Column | None = None) -> Column:
+    return F.coalesce((schema_of(v) if kind is None else kind).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.lit(False))
 
 
 def is_null(v: Column) -> Column:
@@ -53,14 +59,14 @@ def as_string(v: Column) -> Column:
     return F.when(is_string(v), get(v, "$", "string"))
 
 
-def as_double(v: Column) -> Column:
-    return F.when(is_number(v), get(v, "$", "double"))
+def as_double(v: Column, kind: Column | None = None) -> Column:
+    return F.when(is_number(v, kind), get(v, "$", "double"))
 
 
-def as_integer(v: Column) -> Column:
-    """Integer numbers, and strings that are integers; floats count for nothing."""
-    text = as_string(v)
-    return F.when(schema_of(v) == "BIGINT", get(v, "$", "bigint")).when(text.rlike(_INT), text.try_cast("bigint"))
+def as_integer(v: Column, kind: Column | None = None, text: Column | None = None) -> Column:
+    """Integer numbers, and strings that are integers; floats count for nothing. Kind and text where they are known."""
+    kind, text = (schema_of(v) if kind is None else kind), (as_string(v) if text is None else text)
+    return F.when(kind == "BIGINT", get(v, "$", "bigint")).when(text.rlike(_INT), text.try_cast("bigint"))
 
 
 def is_float_text(text: Column) -> Column:

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickspark.sources.shared import stored
+
 DAY = 86_400
 
 
@@ -70,8 +72,8 @@ def rewrite_filled_mark_price(filled: DataFrame) -> DataFrame:
 
 
 def sorted_by_time(df: DataFrame, keys: list[str], sec: str = "sec") -> DataFrame:
-    """Each key's rows together and in order of time, without a global sort."""
-    return df.repartition(*keys).sortWithinPartitions(*keys, sec)
+    """Rows in order of key and time; a key with very many rows spans several partitions, one after the other."""
+    return df.repartitionByRange(*keys, sec).sortWithinPartitions(*keys, sec)
 
 
 def ordered(df: DataFrame, column: str, descending: bool = False) -> DataFrame:
@@ -83,6 +85,15 @@ def top_n(df: DataFrame, columns: list[str], n: int = 5) -> DataFrame:
 
 
 def chunk_number(df: DataFrame, size: int, keys: list[str], order: list[str | Column]) -> DataFrame:
-    """Adds ``chunk``: 1 for a key's first ``size`` rows, 2 for the next, and so on."""
-    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("chunk", (F.floor((n - 1) / size) + 1).cast("int"))
+    """Adds ``chunk``: 1 for a key's first ``size`` rows, 2 for the next, and so on.
+
+    Rows are dealt by ranges of key and order, so that a key may span many tasks: each numbers its own, and
+    the rows of the key in the partitions before are counted from one number a key and partition."""
+    ordered = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    # Consecutive within a partition, in the order they stand.
+    placed = stored(ordered.select(*df.columns, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place")))
+    parts = placed.groupBy(*keys, "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    upto = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_part").alias("_there"), (upto - F.col("_first")).alias("_shift"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)], F.col("_part") == F.col("_there"))
+    return placed.join(parts, same).select(*df.columns, (F.floor((F.col("_place") + F.col("_shift")) / size) + 1).cast("int").alias("chunk"))

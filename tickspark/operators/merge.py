@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -27,18 +27,21 @@ def fill_from_secondary(primary: DataFrame, secondary: DataFrame, keys: list[str
     return primary.unionByName(secondary.join(primary.select(*keys).distinct(), keys, "left_anti"))
 
 
-def ingest_quality(ticks: DataFrame, rejected: DataFrame, keys: list[str], order: list[str], by: list[str]) -> DataFrame:
+REASONS = ("bad_json", "not_object", "missing_symbol", "missing_time", "invalid")
+
+
+def ingest_quality(checked: DataFrame, keys: list[str], order: list[str], by: list[str]) -> DataFrame:
     """Per source: rows added, duplicate, and rejected for each reason.
 
-    A row is added if it is the first of its key: duplicates are counted, not listed."""
-    firsts = dedup_first(ticks.select(*dict.fromkeys([*keys, *order, *by])), keys, order)
-    added = firsts.groupBy(*by).agg(F.count(F.lit(1)).alias("added"))
-    seen = ticks.groupBy(*by).agg(F.count(F.lit(1)).alias("seen"))
-    reasons = ("bad_json", "not_object", "missing_symbol", "missing_time", "invalid")
-    bad = rejected.groupBy(*by).agg(*[F.count_if(F.col("reason") == r).alias(r) for r in reasons])
-    out = seen.join(added, by, "full").join(bad, by, "full")
-    n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
-    return out.select(*by, n("added").alias("added"), (n("seen") - n("added")).alias("duplicate"), *[n(r).alias(r) for r in reasons])
+    A row is added if it is the first of its key: duplicates are counted, not listed. One pass over the
+    lines: they are counted by key, source and reason before they are shuffled."""
+    counted = checked.groupBy(*keys, *by, "reason").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("first"))
+    good = F.col("reason").isNull()
+    firsts = F.min(F.when(good, F.struct("first", *by))).over(Window.partitionBy(*keys))
+    added = good & (F.struct("first", *by) == firsts)
+    n = lambda when: F.coalesce(F.sum(F.when(when, F.col("n"))), F.lit(0)).cast("long")
+    out = counted.withColumn("added", added).groupBy(*by).agg(n(good).alias("seen"), F.count_if("added").cast("long").alias("added"), *[n(F.col("reason") == r).alias(r) for r in REASONS])
+    return out.select(*by, "added", (F.col("seen") - F.col("added")).alias("duplicate"), *REASONS)
 
 
 def distinct_symbols(ticks: DataFrame, column: str = "symbol") -> DataFrame:

@@ -12,7 +12,7 @@ from tickspark.functions import messages as M
 from tickspark.functions import variants as V
 from tickspark.operators import fill, merge
 from tickspark.sources import feeds, sinks
-from tickspark.sources.shared import configure
+from tickspark.sources.shared import configure, stored
 
 MARK_PRICE = "mark-price"
 
@@ -37,27 +37,31 @@ def merged_day(spark: SparkSession, sources: list[str], day: date, data_type: st
     return fill.rewrite_filled_generic(fill.fill_day(first, day, [], clip))
 
 
-def run_daily(spark: SparkSession, sources: list[str], day: date, data_type: str, out: str, pattern: str = "*.jsonl*") -> DataFrame:
-    """Writes the merged day and returns what was written; no rows at all is an error."""
-    rows = merged_day(spark, sources, day, data_type, pattern=pattern)
-    if data_type == MARK_PRICE:
-        sinks.write_per_symbol(rows.withColumn("date", F.lit(day)), out)
-    else:
-        sinks.write_day(rows, out, F.lit(day))
-    written = spark.read.parquet(out)
-    if written.isEmpty():
+def run_daily(spark: SparkSession, sources: list[str], day: date, data_type: str, out: str, pattern: str = "*.jsonl*", clip: bool = True) -> DataFrame:
+    """Writes the merged day beside the other days of ``out`` and returns it; no rows at all is an error and
+    leaves ``out`` as it was. Without ``clip`` rows outside the day stay, all under the day's date."""
+    rows = merged_day(spark, sources, day, data_type, clip, pattern)
+    # Merged once, looked at, then written.
+    merged = stored(rows)
+    if merged.isEmpty():
         raise NoData(f"no {data_type} rows for {day}")
-    return written
+    if data_type == MARK_PRICE:
+        sinks.write_per_symbol(merged.withColumn("date", F.lit(day)), out)
+        return spark.read.parquet(out).filter(F.col("date") == F.lit(day))
+    sinks.write_day(merged, out, F.lit(day))
+    return spark.read.parquet(out).filter((F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day))
 
 
-def run_logged(spark: SparkSession, sources: list[str], data_type: str, out: str, log: str, day: date | None = None, pattern: str = "*.jsonl*") -> str:
+def run_logged(
+    spark: SparkSession, sources: list[str], data_type: str, out: str, log: str, day: date | None = None, pattern: str = "*.jsonl*", clip: bool = True
+) -> str:
     """``run_daily``, by default for yesterday, with a row appended to the run log whatever happens."""
     day = day or datetime.now(UTC).date() - timedelta(days=1)
     began, status, error = time.time(), "success", None
     try:
-        run_daily(spark, sources, day, data_type, out, pattern)
+        run_daily(spark, sources, day, data_type, out, pattern, clip)
     except Exception as e:  # noqa: BLE001  the log is to have every outcome
-        status, error = "failed", str(e)[:500]
+        status, error = "failed", f"{type(e).__name__}: {e}"[:500]
     row = [(day, data_type, status, float(time.time() - began), error)]
     spark.createDataFrame(row, "date date, data_type string, status string, duration_s double, error string").write.mode("append").parquet(log)
     return status

@@ -25,8 +25,16 @@ def events(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def mark_price_line() -> F.Column:
-    """A tick of the feed as JSON: short or long names, fields missing, text for numbers, broken lines."""
+def squeezed(e: DataFrame) -> DataFrame:
+    """The same ticks in a 300th of the time, so that many fall in one second."""
+    ms = F.call_function("div", F.col("ms"), F.lit(300).cast("long"))
+    return e.withColumn("ms", ms).withColumn("sec", M.second_of(F.col("ms")))
+
+
+def mark_price_line(twice: bool = False) -> F.Column:
+    """A tick of the feed as JSON: short or long names, fields missing, text for numbers, broken lines.
+
+    ``twice``: every 19th has the symbol's other name too, with a value of its own."""
     i = F.col("event_id")
     short = i % 2 == 0
 
@@ -39,6 +47,7 @@ def mark_price_line() -> F.Column:
         F.when(i % 13 != 0, field("s", "symbol", F.col("symbol"), F.lit(True))),
         field("p", "mark_price", F.col("cents"), i % 5 == 0),
         F.when(i % 11 != 0, field("r", "funding_rate", i % 7, i % 3 == 1)),
+        F.when((i % 19 == 0) & F.lit(twice), F.when(short, '"symbol":"LONG"').otherwise('"s":"SHORT"')),
     )
     line = F.concat(F.lit("{"), F.array_join(F.filter(parts, lambda x: x.isNotNull()), ","), F.lit("}"))
     return F.when(i % 97 == 0, F.lit("{broken")).when(i % 89 == 0, F.lit("[1]")).when(i % 83 == 0, F.lit("  ")).otherwise(line)
@@ -96,6 +105,7 @@ def manifests(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFr
 #: The same in SQL, as common table expressions.
 EVENTS = """ev AS (SELECT event_id, user_id, event_type AS symbol, event_id % 3 AS source, epoch_us(ts) // 1000 AS ms, epoch_us(ts) // 1000000 AS sec,
   CAST(floor(value * 100) AS BIGINT) AS cents, props FROM events)"""
+SQUEEZED = f"{EVENTS}, sq AS (SELECT * REPLACE (ms // 300 AS ms, ms // 300000 AS sec) FROM ev)"
 LOG = f"""{EVENTS}, log AS (SELECT event_id, 'cfg' || (event_id % 4) AS config_name,
   CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 7 = 0 THEN 404 WHEN event_id % 5 = 0 THEN 500 WHEN event_id % 23 = 0 THEN 418 WHEN event_id % 3 = 0 THEN 201 ELSE 200 END AS status,
   abs(cents) AS duration_ms, CASE WHEN event_id % 19 = 0 THEN 'timeout ' || symbol END AS error, event_id % 10 AS k, props, ms FROM ev),

@@ -103,9 +103,14 @@ def a5(spark, d):
     return feeds.scan_parquet_dir(spark, path)
 
 
-@query("a6_scan_manifest")
+@query("a6_scan_manifest", f"{EV} SELECT symbol, 'block=' || event_id // 1000 AS folder, CAST(sum(len(event_id || '') + 1) AS BIGINT) AS size, sha256(string_agg(event_id || chr(10), '' ORDER BY event_id)) AS hash, true AS dated FROM ev GROUP BY ALL")
 def a6(spark, d):
-    return manifests.scan_manifest(spark, d)
+    path = new_folder(spark, "files")
+    lines = X.events(spark, d).select(F.col("event_id").cast("string").alias("value"), "event_id", "symbol", F.floor(F.col("event_id") / 1000).alias("block"))
+    lines.repartition("symbol", "block").sortWithinPartitions("symbol", "block", "event_id").drop("event_id").write.partitionBy("symbol", "block").text(path)
+    found = manifests.scan_manifest(spark, path).filter(F.col("path").endswith(".txt"))
+    parts = F.split("path", "/")
+    return found.select(F.substring_index(parts[0], "=", -1).alias("symbol"), parts[1].alias("folder"), "size", "hash", (F.col("modified_time") > 1_700_000_000).alias("dated"))
 
 
 @query("a7_list_dir", f"WITH {X.FILES} SELECT DISTINCT split_part(path, '/', 1) AS name, true AS is_dir, CAST(0 AS BIGINT) AS size FROM loc")
@@ -211,14 +216,22 @@ def objects(spark: SparkSession, d: str) -> DataFrame:
     return feeds.object_rows(feeds.parse_lines(tick_lines(spark, d)))
 
 
-@query("c3_rename_short_fields", f"{EV} SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN symbol END AS symbol, CAST(cents AS VARCHAR) AS mark_price, CASE WHEN event_id % 11 <> 0 THEN CAST(event_id % 7 AS VARCHAR) END AS funding_rate FROM ev WHERE {OBJECT}")
+def both_names(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of which some have the symbol under both names."""
+    return feeds.object_rows(feeds.parse_lines(X.events(spark, d).select("event_id", X.mark_price_line(twice=True).alias("line"))))
+
+
+SYMBOL = "CASE WHEN event_id % 19 = 0 AND event_id % 2 = 1 THEN 'SHORT' WHEN event_id % 13 <> 0 THEN symbol WHEN event_id % 19 = 0 THEN 'LONG' END"
+
+
+@query("c3_rename_short_fields", f"{EV} SELECT event_id, {SYMBOL} AS symbol, CAST(cents AS VARCHAR) AS mark_price, CASE WHEN event_id % 11 <> 0 THEN CAST(event_id % 7 AS VARCHAR) END AS funding_rate FROM ev WHERE {OBJECT}")
 def c3(spark, d):
-    return objects(spark, d).select("event_id", *[V.text_of(M.field(F.col("row"), n)).alias(n) for n in ("symbol", "mark_price", "funding_rate")])
+    return both_names(spark, d).select("event_id", *[V.text_of(M.field(F.col("row"), n)).alias(n) for n in ("symbol", "mark_price", "funding_rate")])
 
 
-@query("c4_extract_symbol", f"{EV} SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN symbol END AS symbol FROM ev WHERE {OBJECT}")
+@query("c4_extract_symbol", f"{EV} SELECT event_id, {SYMBOL} AS symbol FROM ev WHERE {OBJECT}")
 def c4(spark, d):
-    return objects(spark, d).select("event_id", M.symbol_of(F.col("row")).alias("symbol"))
+    return both_names(spark, d).select("event_id", M.symbol_of(F.col("row")).alias("symbol"))
 
 
 @query("c5_extract_event_ms", f"{EV} SELECT event_id, CASE WHEN event_id % 17 <> 0 THEN ms END AS event_ms FROM ev WHERE {OBJECT}")
@@ -376,7 +389,7 @@ for _name, _condition, _where in (
     ("d2_ne", Condition("l_quantity", "ne", 10), "l_quantity <> 10"),
     ("d3_gt", Condition("l_quantity", "gt", 25.5), "l_quantity > 25.5"),
     ("d4_lt", Condition("l_discount", "lt", 0.03), "l_discount < 0.03"),
-    ("d5_gte", Condition("l_linestatus", "gte", "F"), "l_linestatus >= 'F'"),
+    ("d5_gte", Condition("l_linestatus", "gte", "G"), "l_linestatus >= 'G'"),
     ("d6_lte", Condition("l_quantity", "lte", 7), "l_quantity <= 7"),
 ):
 
@@ -403,7 +416,7 @@ def d9(spark, d):
 
 @query("d10_has_required_keys", f"""{EV} SELECT event_id, CASE WHEN event_id % 97 = 0 THEN 'bad_json' WHEN event_id % 89 = 0 THEN 'not_object' WHEN event_id % 13 = 0 THEN 'missing_symbol' WHEN event_id % 17 = 0 THEN 'missing_time' WHEN event_id % 11 = 0 THEN 'invalid' END AS reason FROM ev WHERE NOT ({BLANK})""")
 def d10(spark, d):
-    return feeds.parse_lines(tick_lines(spark, d)).select("event_id", M.reject_reason(F.col("line"), F.col("row")).alias("reason"))
+    return M.checked_ticks(feeds.parse_lines(tick_lines(spark, d))).select("event_id", "reason")
 
 
 @query("d11_exclude_paths", f"WITH {X.FILES} SELECT id, path FROM f WHERE NOT (ends_with(path, '.log') OR contains(path, '/7') OR starts_with(path, 'src3'))")
@@ -432,23 +445,24 @@ def e2_rows(spark: SparkSession, d: str) -> DataFrame:
 FIRST = "QUALIFY row_number() OVER (PARTITION BY symbol, sec ORDER BY source, event_id) = 1"
 
 
-@query("e1_dedup_first_by_second", f"{EV} SELECT sec // 60 AS minute, symbol, source, event_id, cents FROM ev QUALIFY row_number() OVER (PARTITION BY sec // 60 ORDER BY source, event_id) = 1")
+@query("e1_dedup_first_by_second", f"WITH {X.SQUEEZED} SELECT sec, symbol, source, event_id, cents FROM sq QUALIFY row_number() OVER (PARTITION BY sec ORDER BY source, event_id) = 1")
 def e1(spark, d):
-    e = X.events(spark, d).select(F.floor(F.col("sec") / 60).alias("minute"), "symbol", "source", "event_id", "cents")
-    return merge.dedup_first(e, ["minute"], ["source", "event_id"])
+    e = X.squeezed(X.events(spark, d)).select("sec", "symbol", "source", "event_id", "cents")
+    return merge.dedup_first(e, ["sec"], ["source", "event_id"])
 
 
-@query("e2_dedup_first_by_symbol_second", f"{EV} SELECT symbol, sec, source, event_id, ms, cents FROM ev {FIRST}")
+@query("e2_dedup_first_by_symbol_second", f"WITH {X.SQUEEZED} SELECT symbol, sec, source, event_id, ms, cents FROM sq {FIRST}")
 def e2(spark, d):
-    return e2_rows(spark, d)
+    e = X.squeezed(X.events(spark, d)).select("symbol", "sec", "source", "event_id", "ms", "cents")
+    return merge.dedup_first(e, ["symbol", "sec"], ["source", "event_id"])
 
 
 @query("e3_ingest_quality", f"""{EV}, r AS (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'bad_json' WHEN event_id % 89 = 0 THEN 'not_object' WHEN event_id % 13 = 0 THEN 'missing_symbol' WHEN event_id % 17 = 0 THEN 'missing_time' WHEN event_id % 11 = 0 THEN 'invalid' END AS reason FROM ev WHERE NOT ({BLANK})),
   t AS (SELECT *, row_number() OVER (PARTITION BY reason, symbol, sec // 3600 ORDER BY source, event_id) AS n FROM r)
   SELECT source, count(*) FILTER (reason IS NULL AND n = 1) AS added, count(*) FILTER (reason IS NULL AND n > 1) AS duplicate, {", ".join(f"count(*) FILTER (reason = '{r}') AS {r}" for r in ("bad_json", "not_object", "missing_symbol", "missing_time", "invalid"))} FROM t GROUP BY source""")
 def e3(spark, d):
-    ticks, rejected = feeds.parse_mark_price(feeds.parse_lines(tick_lines(spark, d)))
-    return merge.ingest_quality(ticks.withColumn("hour", F.floor(F.col("sec") / 3600)), rejected, ["symbol", "hour"], ["source", "event_id"], ["source"])
+    checked = M.checked_ticks(feeds.parse_lines(tick_lines(spark, d)))
+    return merge.ingest_quality(checked.withColumn("hour", F.floor(F.col("sec") / 3600)), ["symbol", "hour"], ["source", "event_id"], ["source"])
 
 
 def day_ticks(spark: SparkSession, d: str) -> DataFrame:
@@ -740,9 +754,13 @@ def h10(spark, d):
     return table.withColumn("conflict", F.lit(False)).unionByName(conflicts.withColumn("conflict", F.lit(True)))
 
 
-@query("h11_delete_keys", "SELECT c_custkey, (SELECT count(*) FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)) AS deleted FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+URGENT = "(SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')"
+
+
+@query("h11_delete_keys", f"SELECT c_custkey, (SELECT count(*) FROM customer WHERE c_custkey IN {URGENT}) AS deleted FROM customer WHERE c_custkey NOT IN {URGENT}")
 def h11(spark, d):
-    left, gone = keyed.delete_keys(customers(spark, d), X.table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    urgent = X.table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+    left, gone = keyed.delete_keys(customers(spark, d), urgent, "c_custkey")
     return left.select("c_custkey", F.lit(gone.first()[0]).cast("long").alias("deleted"))
 
 

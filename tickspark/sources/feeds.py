@@ -58,10 +58,9 @@ def object_rows(parsed: DataFrame) -> DataFrame:
 
 def parse_mark_price(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(ticks with declared columns, rejected lines with a reason)."""
-    checked = parsed.withColumn("reason", M.reject_reason(F.col("line"), F.col("row")))
+    checked = M.checked_ticks(parsed)
     origin = [c for c in parsed.columns if c not in ("line", "row")]
-    ticks = checked.filter("reason is null").select(*[c.alias(n) for n, c in M.mark_price_columns(F.col("row")).items()], *origin)
-    return ticks, checked.filter("reason is not null").select("line", "reason", *origin)
+    return checked.filter("reason is null").select(*M.TICK_COLUMNS, *origin), checked.filter("reason is not null").select("line", "reason", *origin)
 
 
 def explode_messages(messages: DataFrame, column: str = "value") -> DataFrame:

@@ -2,23 +2,43 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickspark.sources.shared import input_file
+
 
 def scan_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """(path, size, modified_time, hash) of all files under a root; paths are relative to it."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    """(path, size, modified_time, hash) of all files under a root; paths are relative to it.
+
+    Tasks hash files a piece at a time, so files may be of any size."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length", "modificationTime")
     base = F.regexp_replace(F.lit(root.rstrip("/") + "/"), "^file:/+", "/")
     full = F.regexp_replace("path", "^file:/+", "/")
+
+    @F.pandas_udf("string")
+    def hashed(paths: pd.Series) -> pd.Series:
+        return paths.map(_hash)
+
     return files.select(
         F.substring(full, F.length(base) + 1, F.length(full)).alias("path"),
         F.col("length").alias("size"),
         F.unix_seconds("modificationTime").alias("modified_time"),
-        F.sha2("content", 256).alias("hash"),
+        hashed("path").alias("hash"),
     )
 
 
+def _hash(path: str) -> str:
+    h = hashlib.sha256()
+    with input_file(path) as f:
+        while piece := f.read(1 << 20):
+            h.update(piece)
+    return h.hexdigest()
+
+
 def list_dir(manifest: DataFrame, parent: str = "") -> DataFrame:
     """(name, is_dir, size) of what stands directly in a directory, by name; directories have size 0."""
     prefix = f"{parent.strip('/')}/" if parent.strip("/") else ""

@@ -15,10 +15,13 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def new_folder(spark: SparkSession, name: str = "table") -> str:
-    """A path of its own in the shared folder; a temporary one only where none is configured."""
+    """A path of its own in the shared folder; a temporary one only where none is configured, and only on one machine."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return f"{context.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
@@ -29,6 +32,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def input_file(path: str):
+    """A file opened in a task, by the path that Spark's listings show: local, HDFS, S3 and GCS."""
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(path.replace("s3a:", "s3:", 1) if path.startswith("s3a:") else path)
+    return system.open_input_file(name)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Is there anything at a path, in whatever file system it is?"""
     jvm = spark.sparkContext._jvm

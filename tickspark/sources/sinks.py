@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickspark.functions.paths import date_parts
+from tickspark.sources.shared import input_file
+
+FILE_BYTES = 128 << 20
 
 
 def write_day(df: DataFrame, path: str, day: Column, mode: str = "overwrite") -> None:
@@ -20,8 +23,11 @@ def write_day(df: DataFrame, path: str, day: Column, mode: str = "overwrite") ->
 
 
 def write_per_symbol(df: DataFrame, path: str, order: str = "timestamp") -> None:
-    """One directory a date and symbol, rows in order of time; a symbol's rows meet in one task."""
-    df.repartition("date", "symbol").sortWithinPartitions("date", "symbol", order).write.mode("overwrite").partitionBy("date", "symbol").parquet(path)
+    """One directory a date and symbol, rows in order of time; a symbol's rows of a day meet in one task.
+
+    Only the dates and symbols that df has are replaced."""
+    rows = df.repartition("date", "symbol").sortWithinPartitions("date", "symbol", order)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "symbol").parquet(path)
 
 
 def write_chunked(df: DataFrame, path: str, rows_each: int | None = None) -> None:
@@ -30,6 +36,11 @@ def write_chunked(df: DataFrame, path: str, rows_each: int | None = None) -> Non
     (writer.option("maxRecordsPerFile", rows_each) if rows_each else writer).parquet(path)
 
 
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, ...) of the Parquet files under a path; contents are read only where they are asked for."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+
+
 def json_lines(df: DataFrame) -> DataFrame:
     """Rows as JSON text."""
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
@@ -41,9 +52,11 @@ def append_jsonl_day(df: DataFrame, path: str, day: Column | None = None) -> Non
     df.select(F.to_json(F.struct(*df.columns)).alias("value"), when.alias("date")).write.mode("append").partitionBy("date").text(path)
 
 
-def compact_parquet(spark: SparkSession, source: str, target: str, order: str | None = None, descending: bool = False, files: int = 1) -> None:
-    """Rewrites a directory as few files, in global order of a column if one is named."""
+def compact_parquet(spark: SparkSession, source: str, target: str, order: str | None = None, descending: bool = False, files: int | None = None) -> None:
+    """Rewrites a directory as few files, in global order of a column if one is named; by default of FILE_BYTES each."""
     df = spark.read.parquet(source)
+    if files is None:
+        files = max(1, -(-(_listed(spark, source).agg(F.sum("length")).first()[0] or 0) // FILE_BYTES))
     if order:
         column = F.col(order).desc() if descending else F.col(order).asc()
         df = df.repartitionByRange(files, column).sortWithinPartitions(column)
@@ -55,20 +68,20 @@ def compact_parquet(spark: SparkSession, source: str, target: str, order: str |
 def check_schema_drift(spark: SparkSession, path: str, expected: T.StructType) -> DataFrame:
     """(file, position, field, expected, actual, status) where a file's schema is not the expected one.
 
-    Executors read the footers only; a file that can't be read gives one row ``unreadable``."""
+    Executors read the footers only; a file that can't be read gives one row ``unreadable``, and so does one
+    in a file system that ``input_file`` doesn't know."""
     want = [(f.name, f.dataType.simpleString()) for f in expected]
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
-
         import pyarrow.parquet as pq
         from pyspark.sql.pandas.types import from_arrow_type
 
         for batch in batches:
             rows = []
-            for file, content in zip(batch["path"], batch["content"], strict=True):
+            for file in batch["path"]:
                 try:
-                    have = [(f.name, from_arrow_type(f.type).simpleString()) for f in pq.read_schema(io.BytesIO(content))]
+                    with input_file(file) as f:
+                        have = [(f.name, from_arrow_type(f.type).simpleString()) for f in pq.read_schema(f)]
                 except Exception:  # noqa: BLE001  whatever is wrong with the file is its status
                     rows.append((file, None, None, None, None, "unreadable"))
                     continue
@@ -79,5 +92,4 @@ def check_schema_drift(spark: SparkSession, path: str, expected: T.StructType) -
                         rows.append((file, i, a[0] or b[0], a[1], b[1], status))
             yield pd.DataFrame(rows, columns=["file", "position", "field", "expected", "actual", "status"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInPandas(look, "file string, position int, field string, expected string, actual string, status string")
+    return _listed(spark, path).select("path").mapInPandas(look, "file string, position int, field string, expected string, actual string, status string")
