@@ -23,9 +23,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 def stored(df: DataFrame) -> DataFrame:
     """The rows of df in a table of its own in the shared folder."""
+    return _stored(df)[0]
+
+
+def _stored(df: DataFrame) -> tuple[DataFrame, str]:
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _deleted(spark: SparkSession, paths: list[str]) -> None:
+    """Removes tables that nothing is computed from any more."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -34,28 +45,37 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _are_stars(pair: DataFrame) -> bool:
+    """Every u has one v, and no v is a u."""
+    ends = pair.select(F.col("u").alias("x"), F.lit(1).alias("as_u"), F.lit(0).alias("as_v")).union(pair.select("v", F.lit(0), F.lit(1)))
+    both = ends.groupBy("x").agg(F.sum("as_u").alias("as_u"), F.max("as_v").alias("as_v"))
+    return both.filter("as_u > 1 OR (as_u = 1 AND as_v = 1)").isEmpty()
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component): the smallest id reachable from each id that occurs in an edge.
 
-    Large-star and small-star in turn until the edges are stars around the smallest ids. Every
-    round is two partial aggregations and two joins. The minima are written before they are joined,
-    so that both sides of a join come straight from a shuffle and Spark's skew join can split hubs.
-    No edges give no rows, loops and repeated edges do no harm."""
-    pair = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    pair = checkpointed(pair)
-    before = None
-    while True:
+    Large-star and small-star in turn until the edges are stars. Every round is two partial
+    aggregations and two joins. The minima are written before they are joined, so that both sides of
+    a join come straight from a shuffle and Spark's skew join can split hubs. Tables of a round go
+    when the next has been written. No edges give no rows, loops and repeated edges do no harm."""
+    spark = edges.sparkSession
+    pair, path = _stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
+    while not _are_stars(pair):
+        used = [path]
+
+        def kept(df: DataFrame) -> DataFrame:
+            table, at = _stored(df)
+            used.append(at)  # noqa: B023  of this round
+            return table
+
         both = pair.select("u", "v").union(pair.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = checkpointed(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        large = checkpointed(large)
-        least = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
+        least = kept(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = kept(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
+        least = kept(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
-        pair = checkpointed(small)
-        now = tuple(pair.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            break
-        before = now
+        pair, path = _stored(small)
+        _deleted(spark, used)
     member = pair.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return member.union(pair.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 

@@ -249,7 +249,7 @@ def _found(docs: DataFrame, words_each: int, percent: int, id_col: str, text_col
     links = checkpointed(_dealt(sets, percent))
     found = connected_components(links)
     if rest := _outside(sets, found, percent):
-        found = connected_components(links.union(rest))
+        found = connected_components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(rest))
     found = found.withColumnsRenamed({"id": "node"})
     linked = whole.select("set_key", "rep", "node").join(found, "node", "left").select("set_key", "rep", F.coalesce("component", "node").alias("component"), F.lit(True).alias("first"))
     if numbered:  # the class' smallest id, and which of its sets stands for it
