@@ -1,3 +1,6 @@
+import re
+
+import zstandard
 from pyspark.sql import functions as F
 
 from tickspark.llm import language_id as L
@@ -28,6 +31,42 @@ def test_edges(spark, make_docs):
     assert {0, 1, 5, 6} <= {r.doc_id for r in kept.collect()} and not {2, 3, 4} & {r.doc_id for r in kept.collect()}
 
 
+def test_sizes_are_those_of_plain_compression(spark):
+    """Every text compressed anew with each dictionary, by a compressor made for it alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = L.fit_language_model(docs)
+    assert len(model.names) == 4
+    texts = [r.text for r in docs.limit(60).collect()] + ["short", "word " * 20_000]
+    for text in texts:
+        letters = " ".join(re.findall(r"[^\W\d_]+", (text or "").lower())).encode()
+        sizes = {}
+        for name, content in zip(model.names, model.dictionaries, strict=True):
+            words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            sizes[name] = 0
+            for at in range(0, len(letters), 4096):
+                params = zstandard.ZstdCompressionParameters.from_level(5, dict_size=len(content), source_size=4096, write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+                sizes[name] += len(zstandard.ZstdCompressor(dict_data=words, compression_params=params).compress(letters[at : at + 4096]))
+        got = L.classify(model, text)
+        if not letters:
+            assert got[0] == L.UND
+            continue
+        best, second = sorted(sizes.values())[:2]
+        assert sizes[got[0]] == best and abs(got[2] - (second - best) / second) < 1e-9 and got[3] == (got[2] < 0.01)
+
+
+def test_copies_under_any_id_are_one_sample(spark, make_docs):
+    texts = ["the and of with this"] * 50 + ["le la les des une"]
+    docs = make_docs(texts).withColumn("lang", F.when(F.col("doc_id") == 50, "fr").otherwise("en"))
+    a, b = L.fit_language_model(docs), L.fit_language_model(docs.withColumn("doc_id", F.col("doc_id") * 7 + 1))
+    assert a == b and len(a.dictionaries[0]) < 50
+
+
+def test_repeated_rows_and_long_texts(spark, make_docs, as_table):
+    docs = make_docs(["the and of with this " * 200_000, "la les des une " * 5, None]).withColumn("lang_pred", F.lit("x")).withColumn("rejected", F.lit(1))
+    rows = Q.op1_language_id(spark, as_table(docs.union(docs))).collect()
+    assert len(rows) == 6 and len({(r.doc_id, r.lang_pred, r.score) for r in rows}) == 3
+
+
 def test_no_training_rows(spark, make_docs):
     docs = make_docs(["abc def", None])
     model = L.fit_language_model(docs, F.lit(False))

@@ -6,8 +6,9 @@ gives the fewest bytes wins, and a narrow margin between the best two rejects th
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; ties in size go to
 the language with more training rows, then to the smaller name; without any training row all texts
-are ``und``. Repeated rows each get their own (equal) row. Columns other than the id and the text
-are ignored, so clashing names do no harm.
+are ``und``. A very long text is encoded whole, block by block. Repeated rows each get their own
+(equal) row; an empty table gives no rows. Columns other than the id and the text are ignored, so
+clashing names do no harm.
 """
 
 from __future__ import annotations
@@ -46,7 +47,6 @@ def fit_language_model(
     docs: DataFrame,
     train: Column | None = None,
     *,
-    id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
     sample_docs: int = 512,
@@ -58,8 +58,8 @@ def fit_language_model(
     """Dictionaries from about ``sample_docs`` labelled rows of each language.
 
     The bound on what is learned: ``sample_docs`` rows a language, ``piece_chars`` characters of
-    each (from a place chosen by hash), ``dict_bytes`` bytes in the end. Rows are chosen by a hash
-    of id and text, so the sample is the same on every run.
+    each (from a place chosen by hash), ``dict_bytes`` bytes in the end. Texts are chosen by their
+    own hash, whatever their ids, and copies count once, so the sample is the same on every run.
     """
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     if train is not None:
@@ -69,11 +69,12 @@ def fit_language_model(
         return LanguageModel((), (), level, min_margin=min_margin)
     scale = 1 << 30
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(scale, -(-scale * sample_docs // n)))])
-    h = F.xxhash64(F.col(id_col), F.col(text_col))
+    h = F.xxhash64(F.col(text_col))
     start = F.lit(1) + F.pmod(h, F.greatest(F.lit(1), F.length(text_col) - F.lit(piece_chars))).cast("int")
     picked = (
         rows.filter(F.pmod(F.shiftrightunsigned(h, 7), F.lit(scale)) < share[F.col(lang_col)])
         .select(F.col(lang_col).alias("lang"), h.alias("h"), F.substring(F.col(text_col), start, F.lit(piece_chars)).alias("piece"))
+        .distinct()
         .collect()
     )
     filled: dict[str, bytearray] = {k: bytearray() for k in counts}
