@@ -1,4 +1,8 @@
-"""Cleaning and packing of ``documents``: each stage works on all that the one before it kept."""
+"""Cleaning and packing of ``documents``: each stage works on all that the one before it kept.
+
+An empty table passes through every stage as an empty table. Columns beside those of ``documents`` are
+kept by all stages but the last, whatever their names. Texts of any length are treated whole.
+"""
 
 from __future__ import annotations
 
@@ -11,29 +15,45 @@ from tickspark.llm.repeats import stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is unclear go (operator 1)."""
+    """Documents whose language is unclear go (operator 1).
+
+    Null texts and texts without a letter go. Repeated rows stay or go together; rows without an id are
+    judged like others. A margin at the bound is clear."""
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     return language_id.drop_unclear(docs, language_id.fit_language_model(docs, ~held_out))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays, the one of the smallest id (operator 4; five words, 0.8)."""
+    """One document of each class stays, the one of the smallest id (operator 4; five words, 0.8).
+
+    Texts without words and rows without an id are in no class and stay. Of repeated rows one stays; of
+    different texts under one id each stays that is in no class with another, and one of those in a class."""
     return minhash.drop_near_duplicates(docs, words_each=5, percent=80)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 35 words and more that occur more than once are cut out (operator 10)."""
+    """Passages of 35 words and more that occur more than once are cut out (operator 10).
+
+    All copies are cut. A text that loses nothing stays as it is; one that does has its other words joined by
+    one space, and may become empty. Null texts stay null; rows without an id lose nothing. Repeated
+    rows count as one document, different texts under one id as several."""
     left = substring_dedup.without_repeated_passages(docs, 35)
     return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in the text (operator 6)."""
+    """Secrets are masked in the text (operator 6).
+
+    Overlapping secrets share a mask. Null texts stay null, empty ones empty; rows are judged one by one, with
+    or without an id."""
     return secrets.redact_secrets(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token ids with their places in sequences of 1024 (operator 2)."""
+    """Pieces of token ids with their places in sequences of 1024 (operator 2).
+
+    A null or empty text is one piece of just the end id. Repeated rows are packed once each, rows without an
+    id under a null id. Of sequences that fit equally well the one that came to its fill last is taken."""
     return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
