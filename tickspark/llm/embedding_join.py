@@ -35,7 +35,8 @@ from tickspark.llm.graph import checkpointed, connected_components
 AXES = 16
 SKETCH = 256  # dimensions in which principal axes are looked for
 BLOCK, BLOCK_BYTES = 8192, 1 << 25
-LEAF = 256
+LEAF = 64
+_TOGETHER = 16  # leaves
 FAN_OUT = 8
 _SLACK = 1e-9
 
@@ -182,13 +183,14 @@ def close_leaves(a: Run, b: Run, epsilon: float, same: bool) -> np.ndarray:
         lo, hi = np.maximum(a.lo[i:k].min(0), b.lo[j:m].min(0)), np.minimum(a.hi[i:k].max(0), b.hi[j:m].max(0))
         if (np.maximum(0, lo - hi) ** 2).sum() > epsilon * epsilon + _SLACK:
             continue
-        if k - i == m - j == 1:
-            out[i, j] = not same or j >= i
+        if max(k - i, m - j) <= _TOGETHER:  # the last halvings at once
+            gap = np.maximum(0, np.maximum(a.lo[i:k, None], b.lo[None, j:m]) - np.minimum(a.hi[i:k, None], b.hi[None, j:m]))
+            out[i:k, j:m] = (gap * gap).sum(2) <= epsilon * epsilon + _SLACK
         elif k - i >= m - j:
             waiting += [(i, (i + k) // 2, j, m), ((i + k) // 2, k, j, m)]
         else:
             waiting += [(i, k, j, (j + m) // 2), (i, k, (j + m) // 2, m)]
-    return out
+    return np.triu(out) if same else out
 
 
 class _Classes:
