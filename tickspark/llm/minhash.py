@@ -199,6 +199,7 @@ def _outside(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame | Non
     labels = large.select("node", "class", "n").join(found.select(F.col("id").alias("node"), "component"), "node", "left").select("node", "class", "n", label)
     many = labels.groupBy("class", "label").agg(F.count(F.lit(1)).alias("c"))
     most = many.groupBy("class").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    most = stored(most)
     # Linked sets differ in size by a factor of 100 / percent at most, so they lie in one step or in neighbours.
     step = F.floor(F.log("n") / F.lit(float(np.log(100 / percent)) + 1e-9)).cast("int") if percent < 100 else F.col("n").cast("int")
     rows = labels.join(most, "class").select("node", "class", "n", step.alias("step"), (F.col("label") != F.col("most")).alias("out"))
@@ -243,6 +244,7 @@ def _found(docs: DataFrame, words_each: int, percent: int, id_col: str, text_col
 
     size = whole.select("node", "n").join(classes, "node").groupBy("class").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
     size = size.select("class", F.greatest(F.ceil(F.col("docs") / SMALL_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    size = stored(size)  # of known size: joined by broadcast where it is small, and split by the skew join where it is not
     members = whole.select("node", "rep", "set_key").join(classes.join(size, "class"), "node").select("rep", "node", "class", "blocks", F.col("set_key").alias("_key"))
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("_text")).join(members, "rep")
     sets = stored(texts.select("node", "_text", "class", "blocks", "_key").mapInArrow(lambda b: _sets(b, words_each), "node long, class long, blocks int, n long, set array<long>"))
