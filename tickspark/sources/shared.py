@@ -14,15 +14,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def new_folder(spark: SparkSession, name: str = "table") -> str:
-    """A path of its own in the shared folder; a temporary one only where none is configured, and only on one machine."""
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; a temporary one only where it is unset, and only on one machine."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return f"{context.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    return context.getCheckpointDir()
+
+
+def new_folder(spark: SparkSession, name: str = "table") -> str:
+    """A path of its own in the shared folder."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame) -> DataFrame:
