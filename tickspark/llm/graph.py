@@ -1,33 +1,16 @@
-"""Connected components on Spark, and the shared folder where tables that cut lineage lie."""
+"""Connected components on Spark, and tables and checkpoints that cut lineage in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names. Where that is unset, one of its own, and only on one machine."""
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return context.getCheckpointDir()
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """The rows of df in a table of its own in the shared folder."""
-    return _stored(df)[0]
+from tickspark.sources.shared import checkpoint_folder, new_folder, stored  # noqa: F401  stored: for the operators
 
 
 def _stored(df: DataFrame) -> tuple[DataFrame, str]:
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
@@ -41,7 +24,7 @@ def _deleted(spark: SparkSession, paths: list[str]) -> None:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows of df in the session's shared checkpoint folder; lost executors lose none of them."""
-    shared_folder(df.sparkSession)
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

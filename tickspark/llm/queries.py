@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm import audio, bpe_codec, embedding_join, language_id, minhash, packing, secrets, substring_dedup, suffix_dedup, token_counts
+from tickspark.functions.variants import once
+from tickspark.llm import audio, bpe_codec, embedding_join, language_id, licenses, merkle, minhash, packing, periodic_runs, secrets, substring_dedup, suffix_dedup, token_counts
 
 
 def tokenizer_path(name: str) -> str:
@@ -86,6 +87,57 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", _total("removed").alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _crc(column: str):
+    return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents as the contract has them: of every tenth hash the words from one on repeat with a period."""
+    h = _crc("doc_id")
+    words = F.filter(F.split("text", "[ \\x09-\\x0D]+"), lambda w: w != "")
+    rows = once(docs.select("doc_id", "text"), ["doc_id", "text"], g=F.floor(h / 10), words=F.when(h % 10 == 0, words))
+    n = F.size("words")
+    rows = once(rows.withColumn("n", n), ["doc_id", "text", "words", "n"], a=F.when(n > 0, F.col("g") % n).cast("int"), share=(F.col("g") % 8 + 3).cast("int"))
+    rows = once(rows, ["doc_id", "text", "words", "n", "a"], p=F.floor((F.col("n") - F.col("a")) / F.col("share")).cast("int") + 1)
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    moved = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("words", place(i))), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), moved).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(planted_runs(_documents(spark, sf_dir)), min_words=6, min_periods=4)
+    best = F.element_at(F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"].alias("start"), r["period"].alias("period")))), 1)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")])), "\n")
+    rows = once(found, ["doc_id", "runs", "collapsed"], best=F.when(F.size("runs") > 0, best), lines=F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""))
+    length = -F.col("best.n")
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), length.alias("length"), F.col("best.period").alias("period"),
+        F.floor(length * 1000 / F.col("best.period")).alias("exponent_milli"), F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    one_more = F.when((_crc("doc_id") % 7 == 0) & F.col("n_chars").isNotNull(), merkle.leaf_of([c if c != "n_chars" else F.col(c).cast("decimal(20,0)") + 1 for c in merkle.COLUMNS]))
+    leaves = docs.select("doc_id", "lang", merkle.leaf_of([*merkle.COLUMNS]).alias("leaf"), one_more.alias("tampered"))
+    proved = merkle.proofs(leaves)
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("steps"))
+    rows = once(proved, ["doc_id", "leaf", "subroot", "root"], proof_sha256=F.sha2(merkle.siblings(F.col("steps")), 256), folded_root=folded)
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_documents(spark, sf_dir))
+    base = F.filter("places", lambda p: p["base"])
+    labels = lambda places: F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
+    words = F.transform("base", lambda p: p["word"])
+    rows = once(found, ["doc_id", "n_words", "places"], base=base)
+    return rows.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min(words).alias("first_word"), F.array_max(words).alias("last_word"),
+        labels(F.col("base")).alias("base_labels"), labels(F.col("places")).alias("labels"), F.coalesce(F.array_max(F.transform("places", lambda p: p["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
@@ -98,6 +150,9 @@ def queries() -> dict:
         "op10_substring_dedup": op10_substring_dedup,
         "op6_secret_scan": op6_secret_scan,
         "op8_audio_features": op8_audio_features,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_license_scan": op13_license_scan,
     }
 
 
@@ -148,6 +203,35 @@ OP10_SQL = f"""WITH w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesc
   SELECT w.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id"""
 
 
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+
+def _leaf_sql(n_chars: str) -> str:
+    values = [n_chars if c == "n_chars" else c for c in merkle.COLUMNS]
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR), '-')" for v in values) + ")"
+
+
+def _tree_sql(name: str, keys: str, leaves: str) -> str:
+    parents = "list_transform(range(0, (len(l) + 1) // 2), lambda i: sha256(l[2 * i + 1] || coalesce(l[2 * i + 2], '')))"
+    return f"{name} AS ({leaves} UNION ALL SELECT {keys}lv + 1, {parents} FROM {name} WHERE len(l) > 1)"
+
+
+OP12_SQL = f"""WITH RECURSIVE v AS MATERIALIZED (SELECT doc_id, coalesce('=' || lang, '') AS g, {_leaf_sql("n_chars")} AS leaf,
+    CASE WHEN {_CRC} % 7 = 0 AND n_chars IS NOT NULL THEN {_leaf_sql("(n_chars + 1)")} END AS tampered FROM documents),
+  o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS i FROM v),
+  {_tree_sql("t", "g, ", "SELECT g, 0 AS lv, list(leaf ORDER BY i) AS l FROM o GROUP BY g")},
+  r AS MATERIALIZED (SELECT g, l[1] AS subroot, row_number() OVER (ORDER BY g) - 1 AS i FROM t WHERE len(l) = 1),
+  {_tree_sql("u", "", "SELECT 0 AS lv, list(subroot ORDER BY i) AS l FROM r")},
+  low AS (SELECT o.g, o.i, t.lv, CASE WHEN (o.i >> t.lv) % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(t.l[xor(o.i >> t.lv, 1) + 1], '') AS s FROM o JOIN t ON t.g = o.g WHERE len(t.l) > 1),
+  high AS (SELECT r.g, u.lv, CASE WHEN (r.i >> u.lv) % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(u.l[xor(r.i >> u.lv, 1) + 1], '') AS s FROM r, u WHERE len(u.l) > 1),
+  a AS (SELECT g, i, list(s ORDER BY lv) AS steps FROM low GROUP BY g, i), b AS (SELECT g, list(s ORDER BY lv) AS steps FROM high GROUP BY g),
+  p AS (SELECT o.doc_id, o.leaf, o.tampered, r.subroot, (SELECT l[1] FROM u WHERE len(l) = 1) AS root, list_concat(coalesce(a.steps, []), coalesce(b.steps, [])) AS steps
+    FROM o JOIN r ON r.g = o.g LEFT JOIN a ON a.g = o.g AND a.i = o.i LEFT JOIN b ON b.g = o.g),
+  f AS (SELECT *, list_reduce(list_concat([coalesce(tampered, leaf)], steps), lambda h, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || h ELSE h || s[2:] END)) AS folded_root FROM p)
+  SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM f"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL expresses on whole tables; tests hold the others against brute force."""
-    return {"op4_minhash_dedup": OP4_SQL, "op5_embedding_dedup": OP5_SQL, "op9_suffix_dedup": OP9_SQL, "op10_substring_dedup": OP10_SQL}
+    return {"op4_minhash_dedup": OP4_SQL, "op5_embedding_dedup": OP5_SQL, "op9_suffix_dedup": OP9_SQL, "op10_substring_dedup": OP10_SQL, "op12_merkle_manifest": OP12_SQL}
