@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickspark.llm.columns import held, name_of, restored
+
 UND = "und"
 RESULT = "lang_pred string, score double, margin double, rejected boolean"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -138,8 +140,5 @@ def identify_languages(docs: DataFrame, model: LanguageModel, *, id_col: str = "
 
 def drop_unclear(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
     """The rows whose language is clear, with all their columns."""
-    names = docs.columns
-    flag = "_unclear"
-    while flag in names:
-        flag += "_"
-    return docs.withColumn(flag, language_of(model, F.col(text_col))["rejected"]).filter(~F.col(flag)).select(*[F.col(f"`{n}`") for n in names])
+    rows = held(docs).withColumn("unclear", language_of(model, F.col(name_of(docs, text_col)))["rejected"])
+    return restored(rows.filter(~F.col("unclear")), docs)

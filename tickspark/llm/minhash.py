@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickspark.llm.columns import held, name_of, restored
 from tickspark.llm.graph import checkpointed, connected_components, spanning, stored
 from tickspark.llm.words import keys_of, words_of
 
@@ -263,25 +264,35 @@ def _found(docs: DataFrame, words_each: int, percent: int, id_col: str, text_col
     return joined.select(id_col, "n_shingles", "set_key", component.alias("component_id"), kept.alias("kept"))
 
 
+def _one_each(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """A row of each key, the same on every run: that of the least hash of its text, then of its other columns."""
+    hashable = [c for c, t in rows.dtypes if "map<" not in t and "variant" not in t]
+    first = F.min_by(F.struct(*[c for c in rows.columns if c not in keys]), F.struct(F.md5(text), F.xxhash64(*hashable)))
+    return rows.groupBy(*keys).agg(first.alias("first")).select(*keys, "first.*")
+
+
 def drop_near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each class of near-duplicates, with all its columns, and all rows without an id."""
-    names = [F.col(f"`{n}`") for n in docs.columns]
-    found = _found(docs, words_each, percent, id_col, text_col).filter(F.col(id_col).isNotNull())
+    """One row of each class of near-duplicates, with all its columns, and all rows without an id.
+
+    Where several rows of the kept id have the kept set, the row of the least text hash stays."""
+    rows, own, text = held(docs), name_of(docs, id_col), name_of(docs, text_col)
+    found = _found(rows.select(F.col(own).alias("doc_id"), F.col(text).alias("text")), words_each, percent, "doc_id", "text").filter("doc_id is not null")
     key = F.coalesce("set_key", F.lit(b""))
     repeated = (F.min(key) != F.max(key)) | ((F.min(key) == F.lit(b"")) & (F.count(F.lit(1)) > 1))
-    ids = checkpointed(found.groupBy(id_col).agg(F.max("kept").alias("_kept"), repeated.alias("_several")))
-    alone = docs.join(ids.filter("_kept AND NOT _several").select(id_col), id_col, "left_semi").dropDuplicates([id_col])
-    kept = alone.select(*names).union(docs.filter(F.col(id_col).isNull()).select(*names))
-    several = ids.filter("_kept AND _several").select(id_col)
+    ids = checkpointed(found.groupBy(F.col("doc_id").alias(own)).agg(F.max("kept").alias("kept"), repeated.alias("several")))
+    names = rows.columns
+    alone = _one_each(rows.join(ids.filter("kept AND NOT several").select(own), own, "left_semi"), [own], text).select(*names)
+    kept = alone.union(rows.filter(F.col(own).isNull()))
+    several = ids.filter("kept AND several").select(own)
     if several.isEmpty():
-        return kept
+        return restored(kept, docs)
 
     @F.pandas_udf("binary")
     def key_of(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: set_key(shingles(t, words_each)) or b"")
 
     # An id with several sets, or with texts without words: its kept sets, and each text without words.
-    rows = docs.join(several, id_col, "left_semi").withColumn("_key", key_of(F.col(text_col)))
-    sets = found.filter("kept").select(id_col, key.alias("_key")).distinct()
-    rows = rows.join(sets, [id_col, "_key"], "left_semi").withColumn("_blank", F.when(F.col("_key") == F.lit(b""), F.col(text_col)))
-    return kept.union(rows.dropDuplicates([id_col, "_key", "_blank"]).select(*names))
+    more = rows.join(several, own, "left_semi").withColumn("key", key_of(F.col(text)))
+    sets = found.filter("kept").select(F.col("doc_id").alias(own), key.alias("key")).distinct()
+    more = more.join(sets, [own, "key"], "left_semi").withColumn("blank", F.when(F.col("key") == F.lit(b""), F.col(text)))
+    return restored(kept.union(_one_each(more, [own, "key", "blank"], text).select(*names)), docs)

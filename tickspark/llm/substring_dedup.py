@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickspark.llm import repeats as R
+from tickspark.llm.columns import held, name_of, restored
 from tickspark.llm.words import keys_of, words_of
 
 WINDOW, ANCHOR = 35, 12
@@ -203,14 +204,10 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, *, id_col: s
 
 def without_repeated_passages(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows with repeated passages cut out of their text and all columns kept; other texts stay as they are."""
-    names = docs.columns
-    mark = "_ranges"
-    while any(n.startswith(mark) for n in names):
-        mark += "_"
-    place = f"{mark}_place"
-    rows = R.with_base(docs, id_col=id_col, text_col=text_col, name=place)
-    texts = rows.select(F.col(id_col).cast("long").alias("doc"), F.col(place).alias("base"), F.col(text_col).alias("text")).filter("doc is not null")
-    rows = R.with_ranges(rows, R.repeated_ranges(texts, word_task(window)), id_col, place, mark)
+    own, text = name_of(docs, id_col), name_of(docs, text_col)
+    rows = R.with_base(held(docs), id_col=own, text_col=text, name="base")
+    texts = rows.select(F.col(own).cast("long").alias("doc"), "base", F.col(text).alias("text")).filter("doc is not null")
+    rows = R.with_ranges(rows, R.repeated_ranges(texts, word_task(window)), own, "base", "ranges")
 
     @F.pandas_udf("string")
     def cut(texts, ranges):
@@ -224,6 +221,5 @@ def without_repeated_passages(docs: DataFrame, window: int = WINDOW, *, id_col:
             out.append(b" ".join(w for p, q in zip(ends[::2], ends[1::2], strict=True) for w in words[p:q]).decode())
         return pd.Series(out)
 
-    whole = rows.filter(F.col(mark).isNull()).select(*[F.col(f"`{n}`") for n in names])
-    shorter = rows.filter(F.col(mark).isNotNull()).select(*[cut(F.col(f"`{n}`"), F.col(mark)).alias(n) if n == text_col else F.col(f"`{n}`") for n in names])
-    return whole.union(shorter)
+    whole, shorter = rows.filter("ranges is null"), rows.filter("ranges is not null")
+    return restored(whole, docs).union(restored(shorter, docs, {text: cut(F.col(text), F.col("ranges"))}))
