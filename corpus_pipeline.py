@@ -1,7 +1,7 @@
 """Cleaning and packing of ``documents``: each stage works on all that the one before it kept.
 
 An empty table passes through every stage as an empty table. Columns beside those of ``documents`` are
-kept by all stages but the last, whatever their names. Texts of any length are treated whole.
+kept by all stages but the last, whatever their names and their case. Texts of any length are treated whole.
 """
 
 from __future__ import annotations
@@ -14,6 +14,11 @@ from tickspark.llm.queries import tokenizer_path
 from tickspark.llm.repeats import stored
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """The documents with n_chars of their texts as they are now."""
+    return docs.select(*[F.length("text").cast("long").alias(n) if n == "n_chars" else F.col(f"`{n}`") for n in docs.columns])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is unclear go (operator 1).
 
@@ -27,7 +32,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each class stays, the one of the smallest id (operator 4; five words, 0.8).
 
     Texts without words and rows without an id are in no class and stay. Of repeated rows one stays; of
-    different texts under one id each stays that is in no class with another, and one of those in a class."""
+    different texts under one id each stays that is in no class with another, and one of those in a class; of texts
+    that differ in case or spaces only that of the least hash."""
     return minhash.drop_near_duplicates(docs, words_each=5, percent=80)
 
 
@@ -35,10 +41,9 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Passages of 35 words and more that occur more than once are cut out (operator 10).
 
     All copies are cut. A text that loses nothing stays as it is; one that does has its other words joined by
-    one space, and may become empty. Null texts stay null; rows without an id lose nothing. Repeated
+    one space, and may become empty. Null texts stay null; rows without an id lose nothing; ids are whole numbers. Repeated
     rows count as one document, different texts under one id as several."""
-    left = substring_dedup.without_repeated_passages(docs, 35)
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return _counted(substring_dedup.without_repeated_passages(docs, 35))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +51,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Overlapping secrets share a mask. Null texts stay null, empty ones empty; rows are judged one by one, with
     or without an id."""
-    return secrets.redact_secrets(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return _counted(secrets.redact_secrets(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
