@@ -108,13 +108,13 @@ def test_edges(spark):
 def test_distant_blocks_are_skipped(spark):
     pick = np.random.default_rng(0)
     far = np.eye(4)[[0] * 200 + [1] * 200] + pick.normal(size=(400, 4)) / 50
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(far.tolist())], "rep long, vector array<double>").withColumn("copies", F.lit(1).cast("long"))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(far.tolist())], "node long, vector array<double>").withColumn("copies", F.lit(1).cast("long"))
     eps = float(np.sqrt(0.2))
     basis = J.principal_axes(df, 4, 3)
-    ordered = df.select("rep", "copies", "vector").mapInArrow(lambda b: J._project(b, basis, eps), "rep long, copies long, vector array<double>, cells array<int>, y array<double>").orderBy("cells", "y").coalesce(1)
+    ordered = df.select("node", "copies", "vector").mapInArrow(lambda b: J._project(b, basis, eps), "node long, copies long, vector array<double>, cells array<int>, y array<double>").orderBy("cells", "y").coalesce(1)
     blocks = ordered.mapInArrow(lambda b: J._blocks(b, 20, False), J.BLOCKS)
     n = blocks.count()
-    assert J.close_blocks(blocks, eps, 3).count() < 0.6 * n * (n + 1) / 2
+    assert J.close_blocks(blocks, eps, 4).count() < 0.6 * n * (n + 1) / 2
 
 
 def test_distant_leaves_are_skipped(monkeypatch):
@@ -127,3 +127,28 @@ def test_distant_leaves_are_skipped(monkeypatch):
     assert rows.filter(rows.column("b").is_null()).column("n").to_pylist() == [99] * 400
     half = [J.Run(np.arange(k, k + 200), np.ones(200, np.int64), unit[k : k + 200], unit[k : k + 200]) for k in (0, 200)]
     assert J.join_runs(*half, 0.9)[1] == (0, 400) and J.join_runs(*half, 0.9)[0].num_rows == 0
+
+
+def test_one_id_with_several_vectors_and_int_ids(spark):
+    pick = np.random.default_rng(8)
+    base = pick.normal(size=(12, 6))
+    near = lambda k: (base[k] + pick.normal(size=6) * 0.05).tolist()
+    rows = [(1, [1.0, 0, 0, 0, 0, 0]), (1, base[0].tolist()), (2, near(0)), (3, base[1].tolist()), (3, near(1)), (4, near(1)), (0, base[2].tolist()), (9, near(2)), (9, base[3].tolist()), (9, base[3].tolist())]
+    pairs = sorted(set((i, tuple(v)) for i, v in rows))
+    n, comp = brute([list(v) for _, v in pairs])
+    least = {c: min(pairs[k][0] for k in range(len(pairs)) if comp[k] == c) for c in comp}
+    want = sorted((i, n[k], least[comp[k]], least[comp[k]] == i) for i, v in rows for k in [pairs.index((i, tuple(v)))])
+    for kind in ("int", "long", "short"):
+        df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], f"vec_id {kind}, embedding array<double>")
+        for block in (J.BLOCK, 3):
+            out = J.near_duplicate_vectors(df, block=block)
+            assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in out.collect()) == want
+        assert out.schema["vec_id"].dataType == df.schema["vec_id"].dataType
+
+
+def test_what_lies_off_the_axes_tells_apart():
+    unit = J._unit(np.array([[3.0, 0, 0.1], [3, 0, 4]]))
+    y = J._with_rest(unit[:, :1])
+    assert np.allclose(y[:, 1], np.sqrt(1 - unit[:, 0] ** 2))
+    a, b = (J.Run(np.array([k]), np.array([1]), unit[k : k + 1], y[k : k + 1]) for k in (0, 1))
+    assert not J.close_leaves(a, b, 0.4, False).any() and J.close_leaves(a, b, 1.0, False).all()

@@ -12,12 +12,17 @@ What is skipped depends on the vectors: clusters part, vectors spread evenly ove
 not (no two boxes are then apart, and every block meets every other). Of a block pair one block is
 shipped, in the table's own precision, to where the other is.
 
-Equal vectors are compared once and counted with their number. Vectors of a length that no more have than fit
-a block are joined in one task a length. Defined results: vectors that are null, empty, zero or
+A further coordinate of the boxes is the length of what lies off the axes: two vectors are at least as far apart
+as these lengths differ, and as their projections are.
+
+Equal vectors are compared once, under a number of their own, and counted with the ids they have. Vectors of a
+length that no more have than fit a block are joined in one task a length. Defined results: vectors that are null, empty, zero or
 hold a null or non-finite component link with nothing; vectors of different lengths never link; a
-repeated row (same id and vector) counts as one vector and gives a row each; a row without an id
+repeated row (same id and vector) counts as one vector and gives a row each; different vectors under one id are
+vectors of their own, each with its links and its class, and may link with one another; a row without an id
 links with nothing and is kept; no rows give no rows; other columns are ignored, whatever their
-names. Of a class the smallest id is kept. Long vectors have smaller blocks, of BLOCK_BYTES at most.
+names. Ids are whole numbers of any type. Of a class the rows of the smallest id are kept. Long vectors have smaller
+blocks, of BLOCK_BYTES at most.
 """
 
 from __future__ import annotations
@@ -97,12 +102,14 @@ def _project(batches: Iterator[pa.RecordBatch], axes: np.ndarray, epsilon: float
         if not batch.num_rows:
             continue
         y = _matrix(batch.column(2)) @ axes
-        ends = pa.array(np.arange(len(y) + 1, dtype=np.int32) * y.shape[1])
         cells = np.floor(y / epsilon).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), batch.column(2), pa.ListArray.from_arrays(ends, pa.array(cells.reshape(-1))), pa.ListArray.from_arrays(ends, pa.array(y.reshape(-1)))],
-            ["rep", "copies", "vector", "cells", "y"],
-        )
+        lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * v.shape[1]), pa.array(v.reshape(-1))) for v in (cells, _with_rest(y))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *lists], ["node", "copies", "vector", "cells", "y"])
+
+
+def _with_rest(y: np.ndarray) -> np.ndarray:
+    """Projections of unit vectors, and the length of what they leave of each."""
+    return np.concatenate([y, np.sqrt(np.maximum(0, 1 - (y * y).sum(1, keepdims=True)))], 1)
 
 
 BLOCKS = "block long, part long, ids array<long>, copies array<long>, vectors binary, y binary, lo array<double>, hi array<double>"
@@ -122,7 +129,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int, single: bool) -> Itera
         nonlocal number
         y = rows["y"].combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
         raw = rows["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float32 if single else np.float64)
-        row = [part << 32 | number, part, rows["rep"].to_pylist(), rows["copies"].to_pylist(), raw.tobytes(), y.tobytes(), y.min(0).tolist(), y.max(0).tolist()]
+        row = [part << 32 | number, part, rows["node"].to_pylist(), rows["copies"].to_pylist(), raw.tobytes(), y.tobytes(), y.min(0).tolist(), y.max(0).tolist()]
         number += 1
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
 
@@ -140,7 +147,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int, single: bool) -> Itera
 
 
 def close_blocks(blocks: DataFrame, epsilon: float, axes: int) -> DataFrame:
-    """(i, j), i <= j: pairs of blocks whose boxes are within epsilon, by descending nested intervals."""
+    """(i, j), i <= j: pairs of blocks whose boxes of so many coordinates are within epsilon, by descending nested intervals."""
     box = [F.col(c)[k].alias(f"{c}{k}") for c in ("lo", "hi") for k in range(axes)]
     levels = [blocks.select(F.col("block").alias("node"), F.col("part").alias("up"), *box)]
     merged = [*[F.min(f"lo{k}").alias(f"lo{k}") for k in range(axes)], *[F.max(f"hi{k}").alias(f"hi{k}") for k in range(axes)]]
@@ -278,7 +285,7 @@ def _together(rows: pa.Table, threshold: float, axes: int) -> pa.Table:
     y = sketch @ _leading(sketch.T @ sketch, sketch.sum(0), len(unit), min(axes, sketch.shape[1]))
     epsilon = max(float(np.sqrt(max(0.0, 2 - 2 * threshold))), 1e-6)
     order = np.lexsort([*y.T[::-1], *np.floor(y / epsilon).T[::-1]])
-    run = Run(rows["rep"].to_numpy()[order], rows["copies"].to_numpy()[order], unit[order], y[order])
+    run = Run(rows["node"].to_numpy()[order], rows["copies"].to_numpy()[order], unit[order], _with_rest(y)[order])
     return pa.Table.from_batches([join_runs(run, None, threshold)[0]])
 
 
@@ -288,10 +295,10 @@ def _links(vectors: DataFrame, dim: int, many: int, threshold: float, axes: int,
     block = max(1, min(block, BLOCK_BYTES // (8 * dim)))
     epsilon = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     basis = principal_axes(vectors, dim, axes)
-    ordered = vectors.select("rep", "copies", "vector").mapInArrow(lambda b: _project(b, basis, max(epsilon, 1e-6)), "rep long, copies long, vector array<double>, cells array<int>, y array<double>")
-    ordered = ordered.orderBy("cells", "y").coalesce(max(1, many // (4 * block)))
+    ordered = vectors.select("node", "copies", "vector").mapInArrow(lambda b: _project(b, basis, max(epsilon, 1e-6)), "node long, copies long, vector array<double>, cells array<int>, y array<double>")
+    ordered = ordered.orderBy("cells", "y").coalesce(max(1, many // block))
     blocks = checkpointed(ordered.mapInArrow(lambda b: _blocks(b, block, single), BLOCKS))
-    pairs = close_blocks(blocks, epsilon, axes)
+    pairs = close_blocks(blocks, epsilon, axes + 1)
     side = lambda k: blocks.select(F.col("block").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("ids", "copies", "vectors", "y")])
     loaded = pairs.join(side("i"), "i").join(side("j"), "j")
     loaded = loaded.select("i", "j", *[f"{c}_{k}" for k in "ij" for c in ("ids", "copies", "vectors", "y")])
@@ -299,23 +306,30 @@ def _links(vectors: DataFrame, dim: int, many: int, threshold: float, axes: int,
 
 
 def near_duplicate_vectors(table: DataFrame, threshold: float = 0.9, *, id_col: str = "vec_id", vector_col: str = "embedding", axes: int = AXES, block: int = BLOCK) -> DataFrame:
-    """(id, n_links, component_id, kept) of every row; ids are long."""
+    """(id, n_links, component_id, kept) of every row."""
     single = "float" in table.schema[vector_col].dataType.simpleString()
-    rows = table.select(F.col(id_col), F.when(is_valid(F.col(vector_col)) & F.col(id_col).isNotNull(), F.col(vector_col).cast("array<double>")).alias("vector"))
-    distinct = rows.filter("vector is not null").groupBy("vector").agg(F.min(id_col).alias("rep"), F.count_distinct(id_col).alias("copies"))
-    distinct = checkpointed(distinct.withColumn("dim", F.size("vector")))
+    own = F.col(f"`{id_col}`").cast("long")
+    rows = table.select(own.alias("id"), F.when(is_valid(F.col(f"`{vector_col}`")) & own.isNotNull(), F.col(f"`{vector_col}`").cast("array<double>")).alias("vector"))
+    distinct = rows.filter("vector is not null").groupBy("vector").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("copies"))
+    distinct = checkpointed(distinct.withColumns({"dim": F.size("vector"), "node": F.monotonically_increasing_id()}))
     # Lengths with more vectors than a block are few: no more than blocks.
     fits = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(BLOCK_BYTES / (8 * F.col("dim")))))
     large = sorted((r.dim, r.many) for r in distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("many")).filter(F.col("many") > fits).collect())
     small = distinct.filter(~F.col("dim").isin([d for d, _ in large])) if large else distinct
-    small = small.select("dim", "rep", "copies", "vector")
+    small = small.select("dim", "node", "copies", "vector")
     found = small.groupBy("dim").applyInArrow(lambda t: _together(t, threshold, axes), "a long, b long, n long")
     found = reduce(DataFrame.union, [_links(distinct.filter(F.col("dim") == d), d, n, threshold, axes, block, single) for d, n in large], found)
     links = checkpointed(found)
-    counts = links.filter("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
-    classes = connected_components(links.filter("b is not null")).withColumnsRenamed({"id": "rep"})
-    known = distinct.join(counts, "rep", "left").join(classes, "rep", "left")
-    known = known.select("vector", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "rep").alias("class"))
+    counts = links.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
+    classes = checkpointed(connected_components(links.filter("b is not null")).withColumnsRenamed({"id": "node"}))
+    # A class goes by the least of its vectors' ids.
+    least = classes.join(distinct.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("class"))
+    known = distinct.join(counts, "node", "left").join(classes.join(least, "component"), "node", "left")
+    known = known.select("vector", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("class", "rep").alias("class"))
     out = rows.join(known, "vector", "left")
-    component = F.coalesce("class", F.col(id_col))
-    return out.select(id_col, F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col(id_col), F.lit(True)).alias("kept"))
+    component = F.coalesce("class", "id")
+    kind = table.schema[id_col].dataType
+    return out.select(
+        F.col("id").cast(kind).alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
+        component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
+    )

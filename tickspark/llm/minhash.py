@@ -159,38 +159,59 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Confirmed links of one group: whole candidate classes, or blocks of a large one."""
-    a, b = [], []
-    for _, part in rows.groupby("class", sort=False):
-        part = part.drop_duplicates("node").sort_values("node", kind="stable")
-        nodes, sets = part["node"].to_numpy(), [np.asarray(s, np.int64) for s in part["set"]]
-        if len(nodes) < 2:
-            continue
-        size = np.array([len(s) for s in sets], np.float64)
-        both = common(sets).astype(np.float64)
-        for i, j in spanning(100 * both >= percent * (size[:, None] + size - both)):
-            a.append(nodes[i])
-            b.append(nodes[j])
-    return pd.DataFrame({"a": pd.Series(a, dtype="int64"), "b": pd.Series(b, dtype="int64")})
+def _links(rows: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Confirmed links of one group that connect what its links connect."""
+    nodes = rows["node"].to_numpy()
+    first = np.unique(nodes, return_index=True)[1]  # by node, each once
+    if len(first) < 2:
+        return []
+    sets = rows["set"].combine_chunks()
+    ends, flat = sets.offsets.to_numpy(), sets.values.to_numpy()
+    nodes, sets = nodes[first].tolist(), [flat[ends[i] : ends[i + 1]] for i in first]
+    size = np.array([len(s) for s in sets], np.float64)
+    both = common(sets).astype(np.float64)
+    return [(nodes[i], nodes[j]) for i, j in spanning(100 * both >= percent * (size[:, None] + size - both))]
+
+
+def _streamed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links of rows (group, node, set) that stand group by group; one group is held at a time."""
+    waiting: list[pa.RecordBatch] = []
+    found: list[tuple[int, int]] = []
+    for batch in batches:
+        groups = batch.column(0)
+        other = np.flatnonzero(groups.slice(1).to_numpy(zero_copy_only=False) != groups.slice(0, max(len(groups) - 1, 0)).to_numpy(zero_copy_only=False)) + 1
+        cuts = [0, *other.tolist(), batch.num_rows]
+        for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+            if waiting and a < z and groups[a] != waiting[0].column(0)[0]:
+                found += _links(pa.Table.from_batches(waiting), percent)
+                waiting = []
+            if a < z:
+                waiting.append(batch.slice(a, z - a))
+            if len(found) >= 4096:
+                yield _pairs(found)
+                found = []
+    if waiting:
+        found += _links(pa.Table.from_batches(waiting), percent)
+    yield _pairs(found)
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
 def _compared(sets: DataFrame, by: list[Column], percent: int) -> DataFrame:
-    """Links between the sets of each group."""
-    names = [f"_{k}" for k in range(len(by))]
-    rows = sets.select(*[c.alias(n) for c, n in zip(by, names, strict=True)], "node", "class", "set")
-    return rows.groupBy(*names).applyInPandas(lambda rows: _links(rows[["node", "class", "set"]], percent), "a long, b long")
+    """Links between the sets of each group; a task holds one group at a time, however many it works on."""
+    n = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group = F.concat_ws("/", *[c.cast("string") for c in by])
+    rows = sets.select(group.alias("group"), "node", "set").repartition(n, "group").sortWithinPartitions("group")
+    return rows.mapInArrow(lambda b: _streamed(b, percent), "a long, b long")
 
 
 def _dealt(sets: DataFrame, percent: int) -> DataFrame:
     """Links within small classes, and within blocks of large ones dealt DEALS times."""
-    together = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     deal = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.lit(DEALS - 1))))
-    dealt = sets.withColumn("deal", deal)
-    # Small classes share a group with others; a block of a large one has its own.
-    group = F.when(F.col("deal") < 0, F.pmod(F.xxhash64("class"), F.lit(together * 8))).otherwise(F.col("class"))
     block = F.when(F.col("deal") < 0, 0).otherwise(F.pmod(F.xxhash64("node", "deal"), F.col("blocks")))
-    return _compared(dealt, [group, F.col("deal"), block], percent)
+    return _compared(sets.withColumn("deal", deal), [F.col("class"), F.col("deal"), block], percent)
 
 
 def _outside(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame | None:
