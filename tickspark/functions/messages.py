@@ -19,7 +19,7 @@ LONG_NAMES = {
     "E": "event_time",
 }
 
-BAD_JSON, NOT_OBJECT, NO_SYMBOL, NO_TIME, INVALID = "bad_json", "not_object", "missing_symbol", "missing_time", "invalid"
+BAD_JSON, NOT_OBJECT, NO_SYMBOL, NO_TIME, INVALID, UNREADABLE = "bad_json", "not_object", "missing_symbol", "missing_time", "invalid", "unreadable"
 
 
 def unwrap_envelope(v: Column) -> Column:
@@ -69,31 +69,38 @@ def is_valid_mark_price(row: Column) -> Column:
     return ok[0] & ok[1]
 
 
-def checked_ticks(parsed: DataFrame) -> DataFrame:
-    """The declared columns of a mark-price tick for every line, with ``reason``: why a line gives no tick,
-    the first check that fails, null if none does. Every field, its kind and its text are read once."""
-    names = list(LONG_NAMES.values())
-    keep = [c for c in parsed.columns if c != "row"]
+def line_state(columns: list[str]) -> Column:
+    """Why a parsed line is no object: its file can't be read, it is no JSON, it is another value; null if it is one."""
     row = F.col("row")
     state = F.when(row.isNull(), BAD_JSON).when(~V.is_object(row), NOT_OBJECT)
-    rows = V.once(parsed, keep, _state=state, **{f"_{n}": field(row, n) for n in names})
+    return F.when(F.col("error").isNotNull(), UNREADABLE).otherwise(state) if "error" in columns else state
+
+
+def checked_ticks(parsed: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The declared columns of a mark-price tick for every line, or some of them, with ``reason``: why a line gives no
+    tick, the first check that fails, null if none does. Every field that these need, its kind and its text are read once."""
+    wanted = TICK_COLUMNS if columns is None else columns
+    checked = ("event_time", "symbol", "mark_price", "funding_rate")
+    names = [n for n in LONG_NAMES.values() if n in wanted or n in checked]
+    keep = [c for c in parsed.columns if c != "row"]
+    row = F.col("row")
+    rows = V.once(parsed, keep, _state=line_state(parsed.columns), **{f"_{n}": field(row, n) for n in names})
     keep = [*keep, "_state", *[f"_{n}" for n in names]]
     rows = V.once(rows, keep, **{f"_kind_{n}": V.schema_of(F.col(f"_{n}")) for n in names})
     keep += [f"_kind_{n}" for n in names]
     rows = V.once(rows, keep, **{f"_text_{n}": F.when(F.col(f"_kind_{n}") == "STRING", V.get(F.col(f"_{n}"), "$", "string")) for n in names})
     value, kind, text = (lambda n, k=k: F.col(f"{k}{n}") for k in ("_", "_kind_", "_text_"))
     given = lambda n: text(n).isNotNull() | V.is_number(value(n), kind(n))
+    integer = lambda n: V.as_integer(value(n), kind(n), text(n))
+    number = lambda n: F.coalesce(V.as_double(value(n), kind(n)), V.float_text(text(n)))
+    reads = {"event_type": text, "event_time": integer, "symbol": text, "next_funding_time": integer}
+    values = {n: reads.get(n, number)(n) for n in names if n in wanted or n in ("event_time", "symbol")}
     keep = [c for c in parsed.columns if c != "row"]
-    rows = V.once(
-        rows, [*keep, "_state"],
-        event_type=text("event_type"), event_time=V.as_integer(value("event_time"), kind("event_time"), text("event_time")), symbol=text("symbol"),
-        **{n: F.coalesce(V.as_double(value(n), kind(n)), V.float_text(text(n))) for n in ("mark_price", "index_price", "estimated_settle_price", "funding_rate")},
-        next_funding_time=V.as_integer(value("next_funding_time"), kind("next_funding_time"), text("next_funding_time")),
-        _valid=given("mark_price") & given("funding_rate"),
-    )
+    rows = V.once(rows, [*keep, "_state"], **values, _valid=given("mark_price") & given("funding_rate"))
     sec = second_of(F.col("event_time"))
+    derived = {"sec": sec, "timestamp": aligned_ms(sec)}
     reason = F.when(F.col("_state").isNotNull(), F.col("_state")).when(F.col("symbol").isNull(), NO_SYMBOL).when(F.col("event_time").isNull(), NO_TIME).when(~F.col("_valid"), INVALID)
-    return rows.select(*TICK_COLUMNS[:8], sec.alias("sec"), aligned_ms(sec).alias("timestamp"), *keep, reason.alias("reason"))
+    return rows.select(*[derived.get(c, F.col(c)).alias(c) for c in TICK_COLUMNS if c in wanted], *keep, reason.alias("reason"))
 
 
 TICK_COLUMNS = ["event_type", "event_time", "symbol", "mark_price", "index_price", "estimated_settle_price", "funding_rate", "next_funding_time", "sec", "timestamp"]

@@ -27,13 +27,13 @@ def fill_from_secondary(primary: DataFrame, secondary: DataFrame, keys: list[str
     return primary.unionByName(secondary.join(primary.select(*keys).distinct(), keys, "left_anti"))
 
 
-REASONS = ("bad_json", "not_object", "missing_symbol", "missing_time", "invalid")
+REASONS = ("bad_json", "not_object", "missing_symbol", "missing_time", "invalid", "unreadable")
 
 
 def ingest_quality(checked: DataFrame, keys: list[str], order: list[str], by: list[str]) -> DataFrame:
     """Per source: rows added, duplicate, and rejected for each reason.
 
-    A row is added if it is the first of its key: duplicates are counted, not listed. One pass over the
+    Rows of unreadable files count as one each. A row is added if it is the first of its key: duplicates are counted, not listed. One pass over the
     lines: they are counted by key, source and reason before they are shuffled."""
     counted = checked.groupBy(*keys, *by, "reason").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("first"))
     good = F.col("reason").isNull()

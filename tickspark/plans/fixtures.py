@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickspark.functions import messages as M
+from tickspark.sources.files import file_system
 from tickspark.sources.shared import configure
 
 DAY = "2024-01-02"
@@ -102,6 +105,25 @@ def manifests(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFr
     return local, cache, remote
 
 
+def write_coded(lines: DataFrame, path: str, codec: str = "plain", cut: int = 0) -> None:
+    """Lines as files of a codec that all have the same ending; ``cut`` leaves out the last bytes of each."""
+
+    def write(rows: Iterator) -> None:
+        import gzip
+
+        import zstandard
+        from pyspark import TaskContext
+
+        content = "".join(r[0] + "\n" for r in rows).encode()
+        coded = {"plain": bytes, "gzip": gzip.compress, "zstd": zstandard.compress}[codec](content)
+        system, root = file_system(path)
+        system.create_dir(root)
+        with system.open_output_stream(f"{root}/part-{TaskContext.get().partitionId():05}.jsonl") as out:
+            out.write(coded[: len(coded) - cut])
+
+    lines.foreachPartition(write)
+
+
 #: The same in SQL, as common table expressions.
 EVENTS = """ev AS (SELECT event_id, user_id, event_type AS symbol, event_id % 3 AS source, epoch_us(ts) // 1000 AS ms, epoch_us(ts) // 1000000 AS sec,
   CAST(floor(value * 100) AS BIGINT) AS cents, props FROM events)"""

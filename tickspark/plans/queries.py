@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickspark.functions import inference, paths, predicates, responses
@@ -19,7 +19,7 @@ from tickspark.plans import daily
 from tickspark.plans import fixtures as X
 from tickspark.sources import feeds, manifests, sinks
 from tickspark.sources.shared import new_folder, stored
-from tickspark.streaming import ingest
+from tickspark.streaming import ingest, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,12 +60,11 @@ def a1(spark, d):
     return from_lines(feeds.scan_jsonl_day(spark, base + "/", DAY, pattern=TEXT))
 
 
-def source_bases(spark: SparkSession, lines: DataFrame, compressed: bool = False) -> list[str]:
+def source_bases(spark: SparkSession, lines: DataFrame) -> list[str]:
     """(source, value) written to three bases, one day."""
     bases = [new_folder(spark, f"source{k}") for k in range(3)]
     for k, base in enumerate(bases):
-        codec = {"compression": "gzip"} if compressed and k else {}
-        lines.filter(F.col("source") == k).select("value").write.options(**codec).text(feeds.day_path(base, DAY))
+        lines.filter(F.col("source") == k).select("value").write.text(feeds.day_path(base, DAY))
     return bases
 
 
@@ -76,11 +75,17 @@ def a2(spark, d):
     return from_lines(feeds.scan_sources(spark, source_bases(spark, lines), DAY, TEXT), "source_priority").withColumn("source_priority", F.col("source_priority").cast("long"))
 
 
-@query("a3_scan_compressed", f"{EV} SELECT event_id, symbol, ms, source <> 0 AS compressed FROM ev")
+@query("a3_scan_compressed", f"{EV} SELECT event_id, symbol, ms, source AS source_priority, CAST(NULL AS VARCHAR) AS error FROM ev UNION ALL SELECT NULL, NULL, NULL, 3, 'unreadable' FROM (SELECT 1 FROM events LIMIT 1)")
 def a3(spark, d):
+    """Plain, gzip and zstd files, all named .jsonl; of a fourth source one file is cut off."""
     e = X.events(spark, d)
-    lines = e.select("source", F.to_json(F.struct("event_id", "symbol", "ms")).alias("value"))
-    return from_lines(feeds.scan_sources(spark, source_bases(spark, lines, True), DAY, TEXT), "file").select("event_id", "symbol", "ms", F.col("file").endswith(".gz").alias("compressed"))
+    bases = [new_folder(spark, f"source{k}") for k in range(4)]
+    for k, codec in enumerate(("plain", "gzip", "zstd", "gzip")):
+        lines = event_lines(e.filter(F.col("source") == k % 3))
+        X.write_coded(lines.coalesce(1) if k == 3 else lines, feeds.day_path(bases[k], DAY), codec, cut=20 if k == 3 else 0)
+    lines = feeds.scan_sources(spark, bases, DAY)
+    rows = from_lines(lines, "source_priority", "error")
+    return rows.select("event_id", "symbol", "ms", F.col("source_priority").cast("long").alias("source_priority"), F.when(F.col("error").isNotNull(), "unreadable").alias("error"))
 
 
 def tick_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -459,9 +464,9 @@ def e2(spark, d):
 
 @query("e3_ingest_quality", f"""{EV}, r AS (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'bad_json' WHEN event_id % 89 = 0 THEN 'not_object' WHEN event_id % 13 = 0 THEN 'missing_symbol' WHEN event_id % 17 = 0 THEN 'missing_time' WHEN event_id % 11 = 0 THEN 'invalid' END AS reason FROM ev WHERE NOT ({BLANK})),
   t AS (SELECT *, row_number() OVER (PARTITION BY reason, symbol, sec // 3600 ORDER BY source, event_id) AS n FROM r)
-  SELECT source, count(*) FILTER (reason IS NULL AND n = 1) AS added, count(*) FILTER (reason IS NULL AND n > 1) AS duplicate, {", ".join(f"count(*) FILTER (reason = '{r}') AS {r}" for r in ("bad_json", "not_object", "missing_symbol", "missing_time", "invalid"))} FROM t GROUP BY source""")
+  SELECT source, count(*) FILTER (reason IS NULL AND n = 1) AS added, count(*) FILTER (reason IS NULL AND n > 1) AS duplicate, {", ".join(f"count(*) FILTER (reason = '{r}') AS {r}" for r in merge.REASONS)} FROM t GROUP BY source""")
 def e3(spark, d):
-    checked = M.checked_ticks(feeds.parse_lines(tick_lines(spark, d)))
+    checked = M.checked_ticks(feeds.parse_lines(tick_lines(spark, d)), ["symbol", "sec"])
     return merge.ingest_quality(checked.withColumn("hour", F.floor(F.col("sec") / 3600)), ["symbol", "hour"], ["source", "event_id"], ["source"])
 
 
@@ -829,6 +834,62 @@ def i4(spark, d):
     return spark.read.schema("value string").text(out).select(F.from_json("value", "id long, cents long").alias("r")).select("r.*")
 
 
+TICK = "symbol string, sec long, source long, event_id long, ms long, cents long"
+
+
+def landed(spark: SparkSession, path: str, parts: list[DataFrame]) -> None:
+    """Rows as files that arrive one after the other."""
+    for part in parts:
+        part.select("symbol", "sec", "source", "event_id", "ms", "cents").coalesce(1).write.mode("append").json(path)
+
+
+def landing_ticks(spark: SparkSession, path: str) -> DataFrame:
+    return spark.readStream.schema(TICK).option("maxFilesPerTrigger", 1).json(path).withColumn("at", F.timestamp_millis("ms"))
+
+
+def heartbeat(ms: Column) -> list[Column]:
+    """A row without a symbol at a time after all others: it closes what is open."""
+    return [F.lit(None).cast("string").alias("symbol"), F.call_function("div", ms, F.lit(1000).cast("long")).alias("sec"), *[F.lit(0).cast("long").alias(c) for c in ("source", "event_id")], ms.alias("ms"), F.lit(0).cast("long").alias("cents")]
+
+
+def ends_of(rows: DataFrame) -> tuple[int, int]:
+    a, z = rows.agg(F.min("ms"), F.max("ms")).first()
+    return a or 0, (z or 0) + 1
+
+
+@query("i5_stream_first_wins", SQL["e2_dedup_first_by_symbol_second"])
+def i5(spark, d):
+    """Sources land in the wrong order within each third of the time; state waits until the next third."""
+    path, out = new_folder(spark, "landing"), new_folder(spark, "sink")
+    e = X.squeezed(X.events(spark, d))
+    a, z = ends_of(e)
+    third = -(-(z - a) // 3)
+    parts = [e.filter((F.col("source") == k) & F.col("ms").between(a + n * third, a + (n + 1) * third - 1)) for n in range(3) for k in (2, 1, 0)]
+    landed(spark, path, [*parts, spark.range(1).select(*heartbeat(F.lit(z + 4 * third)))])
+    first = stateful.stream_first_wins(landing_ticks(spark, path), ["symbol", "sec"], ["source", "event_id"], "at", f"{third} milliseconds")
+    ingest.write_stream(first.drop("at"), out, new_folder(spark, "progress")).awaitTermination()
+    return spark.read.schema(TICK).parquet(out)
+
+
+@query("i6_stream_fill", SQL["f7_fill_per_symbol"])
+def i6(spark, d):
+    """A day's ticks in six files, each two of them in the wrong order; the stream stops after the first three and goes on."""
+    path, out, progress = new_folder(spark, "landing"), new_folder(spark, "sink"), new_folder(spark, "progress")
+    e = X.events(spark, d).filter(F.col("sec").between(A, Z))
+    part = lambda n: e.filter(F.call_function("div", F.col("sec") - A, F.lit(fill.DAY // 6).cast("long")) == n)
+    stateful.with_rocksdb(spark)
+
+    def run() -> None:
+        rows = stateful.stream_fill(landing_ticks(spark, path), ["symbol"], ["source", "event_id"], "at", "9 hours")
+        ingest.write_stream(rows, out, progress).awaitTermination()
+
+    landed(spark, path, [part(n) for n in (1, 0, 3)])
+    run()
+    landed(spark, path, [*[part(n) for n in (2, 5, 4)], spark.range(1).select(*heartbeat(F.lit((Z + 2 * fill.DAY) * 1000)))])
+    run()
+    return spark.read.schema(f"{TICK}, is_filled boolean").parquet(out).select("symbol", "sec", "event_id", "cents", "is_filled")
+
+
 def daily_bases(spark: SparkSession, d: str) -> list[str]:
     return source_bases(spark, tick_lines(spark, d).select("source", F.col("line").alias("value")))
 

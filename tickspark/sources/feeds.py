@@ -1,6 +1,6 @@
 """Reading feeds: days of JSON lines from several sources, tables, landing directories.
 
-Lines keep where they come from. (source_priority, file, block, line) orders them as they stand in
+Lines keep where they come from. (source_priority, file, block, line_no) orders them as they stand in
 their files, whatever way Spark splits these; earlier lines win later on."""
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tickspark.functions import messages as M
 from tickspark.functions import variants as V
+from tickspark.sources.files import feed_files, opens
 from tickspark.sources.shared import exists
 
 ORDER = ["source_priority", "file", "block", "line_no"]
@@ -23,11 +24,16 @@ def day_path(base: str, day: date) -> str:
 
 
 def scan_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl", priority: int = 0) -> DataFrame:
-    """(line, source_priority, file, block, line_no) of the files directly in a directory.
-
-    A directory that is missing gives no rows. The codec follows the file ending (.gz, .zst)."""
+    """(line, source_priority, file, block, line_no, error) of the files directly in a directory.
+
+    A directory that is missing gives no rows. The first bytes of a file tell its codec. A file that can't be read
+    to its end gives no lines but one row with ``error`` and a null line; the others are read as if it were not there.
+    Under paths that only Spark can open the codec follows the file ending, and a broken file fails the query."""
+    if opens(path):
+        lines = feed_files(spark, path, pattern)
+        return lines.select("line", F.lit(priority).alias("source_priority"), "file", "block", "line_no", "error")
     if not exists(spark, path):
-        return spark.createDataFrame([], "line string, source_priority int, file string, block long, line_no long")
+        return spark.createDataFrame([], "line string, source_priority int, file string, block long, line_no long, error string")
     lines = spark.read.option("pathGlobFilter", pattern).text(path)
     return lines.select(
         F.col("value").alias("line"),
@@ -35,6 +41,7 @@ def scan_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl", priorit
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_no"),
+        F.lit(None).cast("string").alias("error"),
     )
 
 
@@ -48,8 +55,11 @@ def scan_sources(spark: SparkSession, bases: list[str], day: date, pattern: str
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Adds ``row`` (VARIANT, null for bad JSON) to lines that are not blank."""
-    return lines.withColumn("line", F.trim("line")).filter("line <> ''").withColumn("row", V.parse(F.col("line")))
+    """Adds ``row`` (VARIANT, null for bad JSON) to lines that are not blank; rows of unreadable files stay, without one."""
+    there = F.trim("line") != ""
+    if "error" in lines.columns:
+        there |= F.col("error").isNotNull()
+    return lines.withColumn("line", F.trim("line")).filter(there).withColumn("row", V.parse(F.col("line")))
 
 
 def object_rows(parsed: DataFrame) -> DataFrame:

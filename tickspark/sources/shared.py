@@ -38,10 +38,10 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def input_file(path: str):
-    """A file opened in a task, by the path that Spark's listings show: local, HDFS, S3 and GCS."""
-    from pyarrow import fs
+    """A file opened in a task, by the path that Spark's listings show."""
+    from tickspark.sources.files import file_system
 
-    system, name = fs.FileSystem.from_uri(path.replace("s3a:", "s3:", 1) if path.startswith("s3a:") else path)
+    system, name = file_system(path)
     return system.open_input_file(name)
 
 
