@@ -1,5 +1,6 @@
 """Messages, parsing, merging and filling: literal cases and edges."""
 
+import random
 from datetime import date
 
 import pytest
@@ -115,7 +116,7 @@ def test_fill_is_idempotent_and_keyed(spark):
 def test_rows_of_every_day_stay(spark, sf):
     rows = Q.e2_rows(spark, sf).filter(~F.col("sec").between(Q.A, Q.Z))
     beside = rows.filter(F.col("sec").between(Q.A - 86_400, Q.Z + 86_400)).count()
-    got = Q.QUERIES["f15_keep_out_of_day_all_days"](spark, sf)
+    got = Q.QUERIES["f8_keep_out_of_day"](spark, sf)
     kept = got.filter(~F.col("sec").between(Q.A, Q.Z))
     assert kept.count() == rows.count() > beside and kept.filter("is_filled").isEmpty()
     assert got.count() - rows.count() == 86_400 * rows.select("symbol").distinct().count()
@@ -224,3 +225,26 @@ def test_lines_keep_their_order_across_splits(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert got == sorted(got)
+
+
+def test_fill_days_by_brute_force(spark):
+    rng = random.Random(4)
+    d0 = 19_000
+    seconds = {"a": [d0 * 86_400 + 5, d0 * 86_400 + 90_000, (d0 + 3) * 86_400], "b": [(d0 + 2) * 86_400 + 86_399], "c": [(d0 - 1) * 86_400, (d0 + 9) * 86_400], "d": sorted({d0 * 86_400 + rng.randrange(4 * 86_400) for _ in range(40)})}
+    rows = [(k, s, i) for k, at in seconds.items() for i, s in enumerate(at)]
+    df = spark.createDataFrame(rows, "symbol string, sec long, v int").repartition(3)
+    day = lambda n: date.fromordinal(date(1970, 1, 1).toordinal() + n)
+    got = fill.fill_days(df, day(d0), day(d0 + 3), ["symbol"])
+    assert got.columns == ["symbol", "sec", "v", "is_filled"]
+    by = {}
+    for r in got.collect():
+        by.setdefault(r.symbol, {})[r.sec] = (r.v, r.is_filled)
+    assert sorted(by) == ["a", "b", "d"] and got.count() == 3 * 4 * 86_400
+    for k, have in by.items():
+        known = {s: i for i, s in enumerate(seconds[k])}
+        serving = 0
+        for s in range(d0 * 86_400, (d0 + 4) * 86_400):
+            serving = known.get(s, serving)
+            assert have[s] == (serving, s not in known)
+    no_key = fill.fill_days(df.filter("symbol = 'a'").drop("symbol"), day(d0), day(d0 + 3), [])
+    assert no_key.count() == 4 * 86_400

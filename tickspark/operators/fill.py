@@ -60,6 +60,36 @@ def fill_day(df: DataFrame, day: date, keys: list[str], clip: bool = False, sec:
     return reduce(DataFrame.unionByName, parts)
 
 
+def fill_days(df: DataFrame, first: date, last: date, keys: list[str], sec: str = "sec") -> DataFrame:
+    """Rows for every second of every day from first to last, for each key that has a row in them, with ``is_filled``.
+
+    A missing second copies the row before it, on whatever day that is; seconds before a key's first row copy
+    that. Rows of other days are left out. One row a key and second.
+
+    A window holds the rows of one key and day. What is carried from day to day goes through one row a key and day:
+    it serves the seconds before a day's first row and the days that have none, and is dealt by day before it becomes seconds."""
+    a, z = day_start(first), day_start(last) + DAY - 1
+    at = F.col(sec).cast("long")
+    rows = df.filter(F.col(sec).between(a, z)).withColumn("_day", F.floor(at / DAY).cast("long"))
+    of_day = Window.partitionBy(*keys, "_day").orderBy(sec)
+    until = F.coalesce(F.lead(at).over(of_day), (F.col("_day") + 1) * DAY) - 1
+    own = rows.withColumn("_until", until).withColumn("_sec", F.explode(F.sequence(at, "_until"))).withColumn("is_filled", F.col("_sec") != at)
+
+    row = F.struct(*df.columns)
+    ends = rows.groupBy(*keys, "_day").agg(F.min(at).alias("_opens"), F.min_by(row, sec).alias("_head"), F.max_by(row, sec).alias("_tail"))
+    days = Window.partitionBy(*keys or [F.lit(0)]).orderBy("_day")
+    before, after = F.lag("_tail").over(days), F.lead("_day").over(days)
+    ends = ends.withColumns({"_before": F.coalesce(before, "_head"), "_since": F.coalesce(F.lag("_day").over(days) + 1, F.lit(a // DAY)), "_next": after})
+    # The days since the last one with rows, up to this one's first row; after the last one all that are left.
+    lead_in = ends.select(F.col("_before").alias("_row"), F.explode(F.sequence("_since", "_day")).alias("_on"), "_opens")
+    rest = ends.filter(F.col("_next").isNull() & (F.col("_day") < z // DAY))
+    rest = rest.select(F.col("_tail").alias("_row"), F.explode(F.sequence(F.col("_day") + 1, F.lit(z // DAY))).alias("_on"), F.lit(z + 1).cast("long").alias("_opens"))
+    spans = lead_in.union(rest).withColumn("_upto", F.least("_opens", (F.col("_on") + 1) * DAY) - 1).filter(F.col("_upto") >= F.col("_on") * DAY)
+    spans = spans.select("_row.*", "_on", "_upto").repartition(*keys, "_on")
+    carried = spans.select(*df.columns, F.explode(F.sequence(F.col("_on") * DAY, "_upto")).alias("_sec"), F.lit(True).alias("is_filled"))
+    return reduce(DataFrame.unionByName, [p.withColumn(sec, F.col("_sec")).select(*df.columns, "is_filled") for p in (own, carried)])
+
+
 def rewrite_filled_generic(filled: DataFrame) -> DataFrame:
     """On filled rows ``E`` is the second's ms, and ``T`` too where the row has one; observed rows keep ``T``."""
     ms = F.col("sec") * 1000

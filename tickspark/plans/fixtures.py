@@ -105,7 +105,7 @@ def manifests(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFr
     return local, cache, remote
 
 
-def write_coded(lines: DataFrame, path: str, codec: str = "plain", cut: int = 0) -> None:
+def write_coded(lines: DataFrame, path: str, codec: str = "plain", cut: int = 0, name: str = "part") -> None:
     """Lines as files of a codec that all have the same ending; ``cut`` leaves out the last bytes of each."""
 
     def write(rows: Iterator) -> None:
@@ -118,7 +118,7 @@ def write_coded(lines: DataFrame, path: str, codec: str = "plain", cut: int = 0)
         coded = {"plain": bytes, "gzip": gzip.compress, "zstd": zstandard.compress}[codec](content)
         system, root = file_system(path)
         system.create_dir(root)
-        with system.open_output_stream(f"{root}/part-{TaskContext.get().partitionId():05}.jsonl") as out:
+        with system.open_output_stream(f"{root}/{name}-{TaskContext.get().partitionId():05}.jsonl") as out:
             out.write(coded[: len(coded) - cut])
 
     lines.foreachPartition(write)

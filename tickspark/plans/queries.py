@@ -15,7 +15,7 @@ from tickspark.functions import messages as M
 from tickspark.functions import variants as V
 from tickspark.functions.predicates import Condition
 from tickspark.operators import fill, keyed, merge, requestlog, sync
-from tickspark.plans import daily
+from tickspark.plans import daily, late
 from tickspark.plans import fixtures as X
 from tickspark.sources import feeds, manifests, sinks
 from tickspark.sources.shared import new_folder, stored
@@ -573,21 +573,13 @@ def all_days(spark: SparkSession, d: str) -> DataFrame:
     return e2_rows(spark, d).select("symbol", "sec", "event_id", F.col("ms").alias("E"), F.when(F.col("event_id") % 2 == 0, F.col("ms") + 7).alias("T"))
 
 
-def three_days(spark: SparkSession, d: str) -> DataFrame:
-    """Those of the day and of the days beside it."""
-    return all_days(spark, d).filter(F.col("sec").between(A - fill.DAY, Z + fill.DAY))
-
-
-THREE = f"""{EV}, w AS (SELECT symbol, sec, event_id, ms, CASE WHEN event_id % 2 = 0 THEN ms + 7 END AS T FROM (SELECT * FROM ev {FIRST}) WHERE sec BETWEEN {A - fill.DAY} AND {Z + fill.DAY}),
+WHOLE = f"""{EV}, w AS (SELECT symbol, sec, event_id, ms, CASE WHEN event_id % 2 = 0 THEN ms + 7 END AS T FROM (SELECT * FROM ev {FIRST})),
   t AS (SELECT * FROM w WHERE sec BETWEEN {A} AND {Z}), g AS (SELECT symbol, unnest(range({A}, {Z + 1})) AS sec FROM (SELECT DISTINCT symbol FROM w)),
   ends AS (SELECT symbol, arg_min(event_id, sec) AS eid, arg_min(ms, sec) AS em, min_by(CASE WHEN T IS NULL THEN -1 ELSE T END, sec) AS et FROM w GROUP BY symbol),
   j AS (SELECT g.symbol, g.sec, coalesce(t.event_id, eid) AS event_id, coalesce(t.ms, em) AS ms, CASE WHEN t.event_id IS NULL THEN nullif(et, -1) ELSE t.T END AS T, t.sec IS DISTINCT FROM g.sec AS is_filled
     FROM g ASOF LEFT JOIN t ON g.symbol = t.symbol AND g.sec >= t.sec JOIN ends ON ends.symbol = g.symbol
     UNION ALL SELECT symbol, sec, event_id, ms, T, false FROM w WHERE sec NOT BETWEEN {A} AND {Z})"""
 
-WHOLE = THREE.replace(f" WHERE sec BETWEEN {A - fill.DAY} AND {Z + fill.DAY})", ")")  # rows of every day
-
-
 def generic(rows: DataFrame) -> DataFrame:
     return fill.rewrite_filled_generic(fill.fill_day(rows, DAY, ["symbol"])).select("symbol", "sec", "event_id", "E", "T", "is_filled")
 
@@ -601,14 +593,14 @@ def kept_out_of_day(rows: DataFrame) -> DataFrame:
     return fill.fill_day(rows, DAY, ["symbol"]).select("symbol", "sec", "event_id", "is_filled")
 
 
-@query("f5_rewrite_filled_generic", f"{THREE} SELECT symbol, sec, event_id, sec * 1000 AS E, CASE WHEN is_filled AND T IS NOT NULL THEN sec * 1000 ELSE T END AS T, is_filled FROM j")
+@query("f5_rewrite_filled_generic", f"{WHOLE} SELECT symbol, sec, event_id, sec * 1000 AS E, CASE WHEN is_filled AND T IS NOT NULL THEN sec * 1000 ELSE T END AS T, is_filled FROM j")
 def f5(spark, d):
-    return generic(three_days(spark, d))
+    return generic(all_days(spark, d))
 
 
-@query("f6_rewrite_filled_mark_price", f"{THREE} SELECT symbol, sec, ms AS event_time, sec * 1000 AS timestamp FROM j")
+@query("f6_rewrite_filled_mark_price", f"{WHOLE} SELECT symbol, sec, ms AS event_time, sec * 1000 AS timestamp FROM j")
 def f6(spark, d):
-    return mark_price(three_days(spark, d))
+    return mark_price(all_days(spark, d))
 
 
 @query("f7_fill_per_symbol", f"{FILLED} SELECT symbol, sec, event_id, cents, is_filled FROM j")
@@ -616,31 +608,33 @@ def f7(spark, d):
     return fill.fill_day(day_ticks(spark, d), DAY, ["symbol"])
 
 
-@query("f8_keep_out_of_day", f"{THREE} SELECT symbol, sec, event_id, is_filled FROM j")
+@query("f8_keep_out_of_day", f"{WHOLE} SELECT symbol, sec, event_id, is_filled FROM j")
 def f8(spark, d):
-    return kept_out_of_day(three_days(spark, d))
-
-
-# f5, f6 and f8 over the whole table: the SQL of those three reads three days
-
-
-def of_whole(name: str) -> str:
-    return SQL[name].replace(THREE, WHOLE)
+    return kept_out_of_day(all_days(spark, d))
 
 
-@query("f13_rewrite_filled_generic_all_days", of_whole("f5_rewrite_filled_generic"))
-def f13(spark, d):
-    return generic(all_days(spark, d))
+# Earlier names of the same queries, from when f5, f6 and f8 read three days.
+for _was, _now in (("f13_rewrite_filled_generic_all_days", "f5_rewrite_filled_generic"), ("f14_rewrite_filled_mark_price_all_days", "f6_rewrite_filled_mark_price"), ("f15_keep_out_of_day_all_days", "f8_keep_out_of_day")):
+    query(_was, SQL[_now])(QUERIES[_now])
 
 
-@query("f14_rewrite_filled_mark_price_all_days", of_whole("f6_rewrite_filled_mark_price"))
-def f14(spark, d):
-    return mark_price(all_days(spark, d))
+EVERY_DAY = f"""{EV}, t AS (SELECT symbol, sec, event_id, cents FROM ev {FIRST}), ends AS (SELECT min(sec) // 86400 * 86400 AS a, (max(sec) // 86400 + 1) * 86400 AS z FROM t),
+  s AS (SELECT symbol, event_id, cents, sec, CASE WHEN lag(sec) OVER w IS NULL THEN a ELSE sec END AS p, coalesce(lead(sec) OVER w, z) AS q FROM t, ends WINDOW w AS (PARTITION BY symbol ORDER BY sec)),
+  d AS (SELECT *, unnest(range(p // 86400, (q - 1) // 86400 + 1)) AS day FROM s), c AS (SELECT *, greatest(p, day * 86400) AS x, least(q, (day + 1) * 86400) AS y FROM d)
+  SELECT symbol, day, CAST(sum(y - x) AS BIGINT) AS seconds, count(*) FILTER (sec // 86400 = day AND sec >= x) AS observed, CAST(sum(event_id * (y - x)) AS BIGINT) AS ids,
+    CAST(sum((cents % 1000) * ((x + y - 1) * (y - x) // 2 - day * 86400 * (y - x))) AS BIGINT) AS weighted FROM c GROUP BY symbol, day"""
 
 
-@query("f15_keep_out_of_day_all_days", of_whole("f8_keep_out_of_day"))
-def f15(spark, d):
-    return kept_out_of_day(all_days(spark, d))
+@query("f16_fill_every_day", EVERY_DAY)
+def f16(spark, d):
+    """Every second of every day of the table, summed up a symbol and day."""
+    rows = e2_rows(spark, d).select("symbol", "sec", "event_id", "cents")
+    ends = rows.agg(F.min("sec"), F.max("sec")).first()
+    first, last = (date.fromordinal(date(1970, 1, 1).toordinal() + (s or 0) // fill.DAY) for s in ends)
+    filled = fill.fill_days(rows, first, last, ["symbol"])
+    day = F.call_function("div", F.col("sec"), F.lit(fill.DAY).cast("long"))
+    weighted = F.sum(F.col("cents") % 1000 * (F.col("sec") - day * fill.DAY))
+    return filled.groupBy("symbol", day.alias("day")).agg(F.count(F.lit(1)).alias("seconds"), F.count_if(~F.col("is_filled")).cast("long").alias("observed"), F.sum("event_id").alias("ids"), weighted.alias("weighted"))
 
 
 @query("f9_sort_by_time", f"{EV} SELECT symbol, sec, event_id FROM ev {FIRST}")
@@ -905,12 +899,34 @@ def j1(spark, d):
     return out.select("symbol", "timestamp", "event_time", "mark_price", "is_filled")
 
 
-@query("j2_daily_merge_log", f"SELECT '{X.DAY}' AS date, unnest(['mark-price', 'index-price']) AS data_type, unnest(['success', 'failed']) AS status FROM (SELECT 1 FROM events LIMIT 1)")
+QUALITY_SQL = f"""{EV}, r AS (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'bad_json' WHEN event_id % 89 = 0 THEN 'not_object' WHEN event_id % 13 = 0 THEN 'missing_symbol' WHEN event_id % 17 = 0 THEN 'missing_time' WHEN event_id % 11 = 0 THEN 'invalid' END AS reason FROM ev WHERE NOT ({BLANK})),
+  t AS (SELECT *, row_number() OVER (PARTITION BY reason, symbol, sec ORDER BY source, event_id) AS n FROM r)"""
+
+
+@query("j2_daily_merge_log", f"""{QUALITY_SQL} SELECT '{X.DAY}' AS date, 'mark-price' AS data_type, 'success' AS status, CAST(source AS INTEGER) AS source, count(*) FILTER (reason IS NULL AND n = 1) AS added, count(*) FILTER (reason IS NULL AND n > 1) AS duplicate,
+    {", ".join(f"count(*) FILTER (reason = '{r}') AS {r}" for r in merge.REASONS)} FROM t GROUP BY source
+  UNION ALL SELECT '{X.DAY}', 'index-price', 'failed', {", ".join(["NULL"] * (3 + len(merge.REASONS)))} FROM (SELECT 1 FROM events LIMIT 1)""")
 def j2(spark, d):
     runs = new_folder(spark, "runs")
     daily.run_logged(spark, daily_bases(spark, d), daily.MARK_PRICE, new_folder(spark, "day"), runs, DAY, TEXT)
     daily.run_logged(spark, [new_folder(spark, "nothing")], "index-price", new_folder(spark, "day"), runs, DAY, TEXT)
-    return stored(spark.read.parquet(runs).select(F.col("date").cast("string").alias("date"), "data_type", "status"))
+    rows = stored(spark.read.parquet(runs)).select(F.col("date").cast("string").alias("date"), "data_type", "status", F.explode_outer("quality").alias("q"))
+    return rows.select("date", "data_type", "status", "q.*")
+
+
+@query("j3_late_files", SQL["j1_daily_merge"])
+def j3(spark, d):
+    """The first source's older half comes after the day has been merged, and wins."""
+    lines = X.events(spark, d).select("event_id", "source", X.mark_price_line().alias("line"))
+    half = lines.agg(F.expr("percentile(event_id, 0.5)")).first()[0] or 0
+    bases, out, state = [new_folder(spark, f"source{k}") for k in range(3)], new_folder(spark, "day"), late.new_state(spark)
+    is_late = (F.col("source") == 0) & (F.col("event_id") < half)
+    for k, base in enumerate(bases):
+        X.write_coded(lines.filter((F.col("source") == k) & ~is_late).select("line"), feeds.day_path(base, DAY), name="b")
+    late.merge_late_files(spark, bases, DAY, out, state)
+    X.write_coded(lines.filter(is_late).select("line"), feeds.day_path(bases[0], DAY), "gzip", name="a")
+    late.merge_late_files(spark, bases, DAY, out, state)
+    return spark.read.parquet(out).select("symbol", "timestamp", "event_time", "mark_price", "is_filled")
 
 
 def queries() -> dict[str, Query]:

@@ -23,14 +23,14 @@ def day_path(base: str, day: date) -> str:
     return f"{base.rstrip('/')}/{day:%Y/%m/%d}"
 
 
-def scan_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl", priority: int = 0) -> DataFrame:
+def scan_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl", priority: int = 0, names: list[str] | None = None) -> DataFrame:
     """(line, source_priority, file, block, line_no, error) of the files directly in a directory.
 
     A directory that is missing gives no rows. The first bytes of a file tell its codec. A file that can't be read
     to its end gives no lines but one row with ``error`` and a null line; the others are read as if it were not there.
-    Under paths that only Spark can open the codec follows the file ending, and a broken file fails the query."""
+    With ``names`` the other files are not opened. Under paths that only Spark can open all are read, the codec follows the file ending, and a broken file fails the query."""
     if opens(path):
-        lines = feed_files(spark, path, pattern)
+        lines = feed_files(spark, path, pattern, names=names)
         return lines.select("line", F.lit(priority).alias("source_priority"), "file", "block", "line_no", "error")
     if not exists(spark, path):
         return spark.createDataFrame([], "line string, source_priority int, file string, block long, line_no long, error string")

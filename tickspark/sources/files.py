@@ -1,6 +1,6 @@
 """Text files of any codec as a data source: the first bytes of a file tell, not its name.
 
-``spark.read.format("feed_files")`` with options ``path`` and ``glob`` gives a row for every line of the files directly in
+``spark.read.format("feed_files")`` with options ``path`` and ``glob`` (or ``names``) gives a row for every line of the files directly in
 a directory. A file is read a piece at a time in a task of its own; one that is not compressed is cut into ranges
 of RANGE bytes, each a task. A compressed file that does not decompress to its end gives no line but one row
 with ``error``, and so does a file that can't be opened."""
@@ -8,10 +8,11 @@ with ``error``, and so does a file that can't be opened."""
 from __future__ import annotations
 
 import fnmatch
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "line string, file string, block long, line_no long, error string"
@@ -99,6 +100,7 @@ def _lines(pieces: Iterator[bytes]) -> Iterator[tuple[int, bytes]]:
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path, self.glob, self.range = options["path"], options.get("glob", "*"), int(options.get("rangebytes", RANGE))
+        self.names = set(json.loads(options["names"])) if "names" in options else None
 
     def partitions(self) -> list[FileRange]:
         from pyarrow import fs
@@ -107,11 +109,14 @@ class _Reader(DataSourceReader):
         scheme = self.path[: self.path.index(":") + 1] if ":" in self.path.split("/")[0] else ""
         out = []
         for info in system.get_file_info(fs.FileSelector(root, allow_not_found=True)):
-            if info.type == fs.FileType.File and fnmatch.fnmatch(info.base_name, self.glob) and not info.base_name.startswith(("_", ".")):
+            if info.type == fs.FileType.File and self._is_asked_for(info.base_name):
                 name = f"{self.path.rstrip('/')}/{info.base_name}" if scheme else info.path
                 out += [FileRange(name, a, info.size) for a in range(0, max(info.size, 1), self.range)]
         return out or [FileRange(None)]
 
+    def _is_asked_for(self, name: str) -> bool:
+        return fnmatch.fnmatch(name, self.glob) and not name.startswith(("_", ".")) and (self.names is None or name in self.names)
+
     def read(self, partition: FileRange):
         import pyarrow as pa
 
@@ -167,7 +172,7 @@ def opens(path: str) -> bool:
 
 
 class FeedFiles(DataSource):
-    """Options: ``path``, a directory; ``glob``, names of its files; ``rangebytes``, where files without a codec are cut."""
+    """Options: ``path``, a directory; ``glob``, names of its files; ``names``, a JSON list of those to read and no others; ``rangebytes``, where files without a codec are cut."""
 
     @classmethod
     def name(cls) -> str:
@@ -180,7 +185,21 @@ class FeedFiles(DataSource):
         return _Reader(self.options)
 
 
-def feed_files(spark: SparkSession, path: str, glob: str = "*", range_bytes: int = RANGE):
-    """(line, file, block, line_no, error) of the files directly in a directory; a missing one gives no rows."""
+def feed_files(spark: SparkSession, path: str, glob: str = "*", range_bytes: int | None = None, names: list[str] | None = None) -> DataFrame:
+    """(line, file, block, line_no, error) of the files directly in a directory, or of some of them; a missing one gives no rows.
+
+    Files without a codec are cut as Spark cuts its own, by ``spark.sql.files.maxPartitionBytes``."""
     spark.dataSource.register(FeedFiles)
-    return spark.read.format("feed_files").option("glob", glob).option("rangebytes", str(range_bytes)).load(path)
+    range_bytes = range_bytes or spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    reader = spark.read.format("feed_files").option("glob", glob).option("rangebytes", str(range_bytes))
+    return (reader if names is None else reader.option("names", json.dumps(names))).load(path)
+
+
+def listed_files(path: str, glob: str) -> list[tuple[str, int, int]]:
+    """(name, size, modified ns) of the files directly in a directory that a feed would read."""
+    from pyarrow import fs
+
+    system, root = file_system(path)
+    asked = _Reader({"path": path, "glob": glob})._is_asked_for
+    found = system.get_file_info(fs.FileSelector(root, allow_not_found=True))
+    return sorted((i.base_name, i.size, i.mtime_ns or 0) for i in found if i.type == fs.FileType.File and asked(i.base_name))
