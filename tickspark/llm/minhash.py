@@ -300,10 +300,13 @@ def drop_near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80
     found = _found(rows.select(F.col(own).alias("doc_id"), F.col(text).alias("text")), words_each, percent, "doc_id", "text").filter("doc_id is not null")
     key = F.coalesce("set_key", F.lit(b""))
     repeated = (F.min(key) != F.max(key)) | ((F.min(key) == F.lit(b"")) & (F.count(F.lit(1)) > 1))
-    ids = checkpointed(found.groupBy(F.col("doc_id").alias(own)).agg(F.max("kept").alias("kept"), repeated.alias("several")))
+    ids = checkpointed(found.groupBy(F.col("doc_id").alias(own)).agg(F.max("kept").alias("kept"), repeated.alias("several"), F.count(F.lit(1)).alias("n")))
     names = rows.columns
-    alone = _one_each(rows.join(ids.filter("kept AND NOT several").select(own), own, "left_semi"), [own], text).select(*names)
-    kept = alone.union(rows.filter(F.col(own).isNull()))
+    of = lambda which: rows.join(ids.filter(which).select(own), own, "left_semi").select(*names)
+    # Only ids of several rows are brought together.
+    kept = of("kept AND n = 1").union(rows.filter(F.col(own).isNull()))
+    if not (again := ids.filter("kept AND NOT several AND n > 1")).isEmpty():
+        kept = kept.union(_one_each(rows.join(again.select(own), own, "left_semi"), [own], text).select(*names))
     several = ids.filter("kept AND several").select(own)
     if several.isEmpty():
         return restored(kept, docs)
