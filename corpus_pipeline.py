@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickspark.llm import language_id, minhash, packing, secrets, substring_dedup
+from tickspark.llm.memory import bound_batches
 from tickspark.llm.queries import tokenizer_path
 from tickspark.llm.repeats import stored
 
@@ -24,6 +25,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Null texts and texts without a letter go. Repeated rows stay or go together; rows without an id are
     judged like others. A margin at the bound is clear."""
+    bound_batches(spark)
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     return language_id.drop_unclear(docs, language_id.fit_language_model(docs, ~held_out))
 
@@ -34,6 +36,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Texts without words and rows without an id are in no class and stay. Of repeated rows one stays; of
     different texts under one id each stays that is in no class with another, and one of those in a class; of texts
     that differ in case or spaces only that of the least hash."""
+    bound_batches(spark)
     return minhash.drop_near_duplicates(docs, words_each=5, percent=80)
 
 
@@ -43,6 +46,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     All copies are cut. A text that loses nothing stays as it is; one that does has its other words joined by
     one space, and may become empty. Null texts stay null; rows without an id lose nothing; ids are whole numbers. Repeated
     rows count as one document, different texts under one id as several."""
+    bound_batches(spark)
     return _counted(substring_dedup.without_repeated_passages(docs, 35))
 
 
@@ -59,6 +63,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null or empty text is one piece of just the end id. Repeated rows are packed once each, rows without an
     id under a null id. Of sequences that fit equally well the one that came to its fill last is taken."""
+    bound_batches(spark)
     return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
