@@ -14,12 +14,12 @@ from tickspark.functions import inference, paths, predicates, responses
 from tickspark.functions import messages as M
 from tickspark.functions import variants as V
 from tickspark.functions.predicates import Condition
-from tickspark.operators import fill, keyed, merge, requestlog, sync
+from tickspark.operators import fill, keyed, ledger, merge, requestlog, sync
 from tickspark.plans import daily, late
 from tickspark.plans import fixtures as X
 from tickspark.sources import feeds, manifests, sinks
 from tickspark.sources.shared import new_folder, stored
-from tickspark.streaming import ingest, stateful
+from tickspark.streaming import flush, ingest, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -161,13 +161,14 @@ def b2(spark, d):
     return spark.read.parquet(path).select("symbol", "sec", "event_id", F.col("date").cast("string").alias("date"))
 
 
-@query("b3_write_chunked", f"{EV} SELECT event_id, cents, true AS within FROM ev")
+@query("b3_write_chunked", f"""{EV}, c AS (SELECT *, (row_number() OVER (PARTITION BY symbol ORDER BY sec, event_id) - 1) // 250 + 1 AS n FROM ev)
+  SELECT event_id, cents, symbol, printf('%06d', n) AS sequence, count(*) OVER (PARTITION BY symbol, n) AS in_file, 1 AS files FROM c""")
 def b3(spark, d):
     path = new_folder(spark)
-    sinks.write_chunked(X.events(spark, d).select("event_id", "cents"), path, 1000)
-    rows = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_name"))
-    sizes = rows.groupBy("file").agg((F.count(F.lit(1)) <= 1000).alias("within"))
-    return rows.join(sizes, "file").select("event_id", "cents", "within")
+    sinks.write_chunked(X.events(spark, d).select("event_id", "cents", "symbol", "sec"), path, 250, ["symbol"], ["sec", "event_id"])
+    rows = spark.read.schema("event_id long, cents long, sec long, symbol string, sequence string").parquet(path).withColumn("file", F.col("_metadata.file_path"))
+    files = rows.groupBy("symbol", "sequence", "file").agg(F.count(F.lit(1)).alias("n")).groupBy("symbol", "sequence").agg(F.max("n").alias("in_file"), F.count(F.lit(1)).alias("files"))
+    return rows.join(files, ["symbol", "sequence"]).select("event_id", "cents", "symbol", "sequence", "in_file", "files")
 
 
 @query("b4_append_jsonl_day", f"{EV} SELECT event_id, symbol, ms, CAST(CAST(make_timestamp(ms * 1000) AS DATE) AS VARCHAR) AS date FROM ev")
@@ -722,6 +723,39 @@ def h8(spark, d):
     return sync.plan_publish(files.select("path", "md5"), ledger, ledger.filter("i % 2 = 0"))
 
 
+LEDGER_SQL = f"""{EV}, t AS (SELECT md5(CAST(user_id % 50 AS VARCHAR)) AS md5, ms AS t, event_id AS seq,
+    CASE (event_id * 7 + ms) % 9 WHEN 0 THEN 'pending' WHEN 1 THEN 'uploading' WHEN 2 THEN 'completed' WHEN 3 THEN 'failed' WHEN 4 THEN 'pending' WHEN 5 THEN 'uploading' WHEN 6 THEN 'lost' END AS status FROM ev),
+  led AS (SELECT DISTINCT md5(CAST(user_id % 60 AS VARCHAR)) AS md5, CASE user_id % 60 % 4 WHEN 0 THEN 'pending' WHEN 1 THEN 'uploading' WHEN 2 THEN 'failed' ELSE 'completed' END AS status, 5 AS t FROM ev WHERE user_id % 3 <> 1),
+  evs AS (SELECT md5, count(*) AS n, list(CASE status WHEN 'pending' THEN 1 WHEN 'uploading' THEN 2 WHEN 'completed' THEN 3 WHEN 'failed' THEN 4 ELSE 0 END + 8 * t ORDER BY t, seq) AS steps FROM t GROUP BY 1),
+  k AS (SELECT md5, coalesce(n, 0) AS n, led.status AS was, led.t AS was_at, coalesce(steps, []) AS steps, CASE led.status WHEN 'pending' THEN 1 WHEN 'uploading' THEN 2 WHEN 'completed' THEN 3 WHEN 'failed' THEN 4 ELSE 0 END AS start FROM led FULL JOIN evs USING (md5)),
+  f AS (SELECT md5, n, was, was_at, list_reduce(list_prepend({{'s': CAST(start AS BIGINT), 'a': CAST(0 AS BIGINT), 't': CAST(-1 AS BIGINT)}}, list_transform(steps, lambda x: {{'s': CAST(x % 8 AS BIGINT), 'a': CAST(0 AS BIGINT), 't': CAST(x // 8 AS BIGINT)}})),
+    lambda a, x: CASE WHEN list_contains([1, 12, 23, 24, 31, 41], a.s * 10 + x.s) THEN {{'s': x.s, 'a': a.a + 1, 't': x.t}} ELSE a END) AS r FROM k)"""
+
+
+@query("h15_publish_ledger", f"""{LEDGER_SQL} SELECT md5, CASE r.s WHEN 1 THEN 'pending' WHEN 2 THEN 'uploading' WHEN 3 THEN 'completed' WHEN 4 THEN 'failed' END AS status,
+  CASE WHEN r.t >= 0 THEN r.t ELSE was_at END AS "at", r.a AS accepted, n - r.a AS rejected FROM f""")
+def h15(spark, d):
+    """Events as steps of uploads of 50 files, many of them illegal or of no known status, upon a ledger that has some of the files."""
+    e = X.events(spark, d)
+    kind = F.element_at(F.array(*map(F.lit, ["pending", "uploading", "completed", "failed", "pending", "uploading", "lost", None, None])), ((F.col("event_id") * 7 + F.col("ms")) % 9 + 1).cast("int"))
+    key = lambda n: F.md5((F.col("user_id") % n).cast("string"))
+    of = F.element_at(F.array(*map(F.lit, ["pending", "uploading", "failed", "completed"])), (F.col("user_id") % 60 % 4 + 1).cast("int"))
+    before = e.filter("user_id % 3 <> 1").select(key(60).alias("md5"), of.alias("status"), F.lit(5).cast("long").alias("at")).distinct()
+    return ledger.next_ledger(before, e.select(key(50).alias("md5"), F.col("ms").alias("at"), F.col("event_id").alias("seq"), kind.alias("status")))
+
+
+@query("h16_plan_again", f"WITH {X.FILES}, {UPLOAD} SELECT path, key, size, CASE WHEN action = 'upload' AND id % 11 = 0 THEN 'upload' ELSE 'skip' END AS action, CASE WHEN action = 'upload' AND id % 11 = 0 THEN reason ELSE 'unchanged' END AS reason FROM pu JOIN (SELECT id, path FROM f) USING (path)")
+def h16(spark, d):
+    """An upload plan carried out but for every 11th file, what it leaves recorded, and the plan after it."""
+    local, cache, remote = X.manifests(spark, d)
+    plan = stored(sync.plan_upload(local, cache, remote, "bk"))
+    failed = plan.filter("action = 'upload'").join(local.filter("id % 11 = 0").select("path"), "path", "left_semi")
+    after = ledger.next_cache(cache, local, plan, failed, F.lit(0).cast("long"))
+    sent = plan.filter("action = 'upload'").join(failed.select("path"), "path", "left_anti").select("key", "size", F.lit(0).cast("long").alias("last_modified"))
+    remote = remote.select("key", "size", "last_modified").join(sent.select("key"), "key", "left_anti").unionByName(sent)
+    return sync.plan_upload(local, after, remote, "bk")
+
+
 @query("e13_sync_stats", f"WITH {X.FILES}, {UPLOAD}, {DOWNLOAD} SELECT action, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes FROM (SELECT * FROM pu UNION ALL SELECT * FROM pw) GROUP BY 1")
 def e13(spark, d):
     return sync.sync_stats(h5(spark, d))
@@ -815,11 +849,43 @@ def i2(spark, d):
     return spark.read.schema("id long, cents long, date date").parquet(out).select("id", "cents", (F.abs(F.datediff(F.current_date(), "date")) <= 1).alias("arrived"))
 
 
+FLUSHED = "id long, cents long"
+
+
+def flushed(spark: SparkSession, d: str, batch_size: int) -> tuple[str, flush.Sink, flush.Sink]:
+    """Messages through a stream that flushes by number of rows into two sinks; it stops, goes on with more files, and is drained."""
+    state, progress, out = new_folder(spark, "flush"), new_folder(spark, "progress"), new_folder(spark, "sinks")
+    both = [flush.Sink("parquet", f"{out}/parquet"), flush.Sink("jsonl", f"{out}/jsonl", "jsonl")]
+    values = messages(spark, d)
+    path = new_folder(spark, "landing")
+    for part in (values.filter("event_id % 3 < 2"), values.filter("event_id % 3 = 2")):
+        part.select("value").repartition(6, "value").write.mode("append").text(path)
+        rows = ingest.stream_ingest(feeds.stream_landing(spark, path, 2), [Condition("id", "gt", 0), Condition("cents", "lt", 100)])
+        rows = ingest.typed_rows(rows, {"id": "long", "cents": "long"}).select("id", "cents")
+        flush.flush_stream(rows, both, state, progress, batch_size).awaitTermination()
+    flush.drain(spark, rows.schema, both, state)
+    return state, *both
+
+
+def sink_rows(spark: SparkSession, sink: flush.Sink, state: str) -> DataFrame:
+    return flush.read_sink(spark, spark.createDataFrame([], FLUSHED).schema, sink, state)
+
+
 @query("i3_batch_flush", STREAMED.format(more=", true AS within"))
 def i3(spark, d):
-    out, _ = ingested(spark, d, "parquet", rows_each_file=500)
-    rows = spark.read.schema("id long, cents long").parquet(out).withColumn("file", F.col("_metadata.file_name"))
-    return rows.join(rows.groupBy("file").agg((F.count(F.lit(1)) <= 500).alias("within")), "file").select("id", "cents", "within")
+    """Every flush but the last has 500 rows or more."""
+    state, parquet, _ = flushed(spark, d, 500)
+    rows = sink_rows(spark, parquet, state)
+    last = rows.agg(F.max("batch")).first()[0]
+    sizes = rows.groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+    return rows.join(sizes, "batch").select("id", "cents", ((F.col("n") >= 500) | (F.col("batch") == F.lit(last))).alias("within"))
+
+
+@query("i7_two_sinks", STREAMED.format(more=""))
+def i7(spark, d):
+    """Rows that both sinks have, as often as both have them."""
+    state, parquet, jsonl = flushed(spark, d, 700)
+    return sink_rows(spark, jsonl, state).drop("batch").intersectAll(sink_rows(spark, parquet, state).drop("batch"))
 
 
 @query("i4_stream_choose_sink", STREAMED.format(more=""))

@@ -50,3 +50,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is directly under a path; none where it is not there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in system.listStatus(p)) if system.exists(p) else []
+
+
+def deleted(spark: SparkSession, paths: list[str]) -> None:
+    """Removes tables that nothing is computed from any more."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

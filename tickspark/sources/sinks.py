@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickspark.functions.paths import date_parts
+from tickspark.operators.numbering import numbered
 from tickspark.sources.shared import input_file
 
 FILE_BYTES = 128 << 20
@@ -30,10 +31,21 @@ def write_per_symbol(df: DataFrame, path: str, order: str = "timestamp") -> None
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "symbol").parquet(path)
 
 
-def write_chunked(df: DataFrame, path: str, rows_each: int | None = None) -> None:
-    """Files of at most so many rows; without a number as Spark's tasks deal them."""
-    writer = df.write.mode("overwrite")
-    (writer.option("maxRecordsPerFile", rows_each) if rows_each else writer).parquet(path)
+def write_chunked(df: DataFrame, path: str, rows_each: int | None = None, keys: list[str] | None = None, order: list[str | Column] | None = None) -> None:
+    """Files of exactly so many rows, a key's last one of what is left; without a number, files as Spark's tasks deal them.
+
+    A file stands in a directory of its key and ``sequence``, from 000001; rows are in order, by default as they come.
+    Rows are numbered first (a key may span many tasks), then each file's rows meet in one task. Replaces all under path."""
+    if not rows_each:
+        df.write.mode("overwrite").parquet(path)
+        return
+    keys = keys or []
+    rows = numbered(df, keys, order or [F.lit(0)], "_number")
+    sequence = F.call_function("div", F.col("_number"), F.lit(rows_each).cast("long")) + 1
+    rows = rows.withColumn("sequence", F.format_string("%06d", sequence)).repartition(*keys, "sequence")
+    rows = rows.sortWithinPartitions(*keys, "sequence", "_number").drop("_number")
+    # A session's own limit of rows a file would cut chunks.
+    rows.write.mode("overwrite").option("maxRecordsPerFile", 0).partitionBy(*keys, "sequence").parquet(path)
 
 
 def _listed(spark: SparkSession, path: str) -> DataFrame:
