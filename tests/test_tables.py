@@ -163,7 +163,7 @@ def test_files(spark):
     for r in manifest.collect():
         with open(f"{path.removeprefix('file:')}/{r.path}", "rb") as f:
             assert r.hash == hashlib.sha256(f.read()).hexdigest()
-    assert len(names) == 3 and all("/" not in n for n in names)
+    assert len(names) == 3 and sorted(n.split("/")[0] for n in names) == [f"sequence={i:06}" for i in (1, 2, 3)]
     assert sinks.check_schema_drift(spark, path, df.schema).count() == 0
     listing = spark.createDataFrame([("d/x", 1), ("d/e/y", 2), ("z", 3), ("d/e/w", 4)], "path string, size long")
     assert [tuple(r) for r in manifests.list_dir(listing, "d").collect()] == [("e", True, 0), ("x", False, 1)]

@@ -17,7 +17,7 @@ from tickspark.functions.predicates import Condition
 from tickspark.operators import fill, keyed, ledger, merge, requestlog, sync
 from tickspark.plans import daily, late
 from tickspark.plans import fixtures as X
-from tickspark.sources import feeds, manifests, sinks
+from tickspark.sources import evolution, feeds, manifests, sinks
 from tickspark.sources.shared import new_folder, stored
 from tickspark.streaming import flush, ingest, stateful
 
@@ -197,6 +197,18 @@ def b6(spark, d):
     return sinks.check_schema_drift(spark, path, e.schema).select("field", "expected", "actual", "status").distinct()
 
 
+@query("b7_schema_evolution", f"""{EV} SELECT event_id, CASE WHEN event_id % 3 = 1 THEN cents + 0.5 ELSE cents END::DOUBLE AS cents,
+  CASE event_id % 3 WHEN 0 THEN CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END WHEN 2 THEN CAST(user_id AS VARCHAR) END AS mark, CASE WHEN event_id % 3 > 0 THEN symbol END AS symbol FROM ev""")
+def b7(spark, d):
+    """Files of three schemas that have drifted: a field that is whole, then a fraction; a flag, then a number; a new one."""
+    path, e = new_folder(spark), X.events(spark, d)
+    part = lambda k, *columns: evolution.append_checked(e.filter(f"event_id % 3 = {k}").select("event_id", *columns), path)
+    part(0, F.col("cents").cast("int").alias("cents"), (F.col("event_id") % 2 == 0).alias("mark"))
+    part(1, (F.col("cents") + 0.5).alias("cents"), "symbol")
+    part(2, F.col("cents").cast("long").alias("cents"), F.col("user_id").cast("long").alias("mark"), "symbol")
+    return evolution.read_evolved(spark, path)
+
+
 # messages and scalar functions
 
 
