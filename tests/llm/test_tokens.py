@@ -21,6 +21,51 @@ def random_texts(n):
     return ["".join(pick.choice("abrelvstdm'  \n\t12!?é½ ") for _ in range(pick.randint(1, 60))) for _ in range(n)]
 
 
+def texts_of_many_scripts(n):
+    pick = random.Random(5)
+    scripts = ["абвгдЖЩё", "αβγδΣΌς", "ابتثجدذ", "अआइकख", "日本語漢字ひらカナ", "한국어글", "ÄéßøİÅ", "กขคงจ", "½²Ⅷ٣", "e\u0301\u0308\u0327"]
+    marks = [" ", " ", "\n", "  ", " \n", "。", "，", "、", "！？", "'", "'s", "-", ". ", "\u00a0", "\u3000", "<|endoftext|>", "7"]
+    word = lambda: "".join(pick.choices(pick.choice(scripts), k=pick.randint(1, 9)))
+    return ["".join(word() + pick.choice(marks) for _ in range(pick.randint(1, 30))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_long_texts_of_any_script_are_cut_between_words(name, monkeypatch):
+    path = Q.tokenizer_path(name)
+    texts = texts_of_many_scripts(600)
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    e = bpe.Encoder(path)
+    monkeypatch.setattr(bpe, "PIECE_CHARS", 7)
+    assert sum(len(list(bpe._pieces(t))) for t in texts) > 3 * len(texts)
+    assert [x.tolist() for x in e.encode_each(texts)] == want
+    for script in ("слово ", "λόγος ", "كلمة ", "漢字。", "한국어\n"):
+        assert max(map(len, bpe._pieces(script * 100))) < 7 + 2 * len(script)
+
+
+@pytest.mark.parametrize("limit", ["_CACHE_BYTES", "_CACHE_WORDS"])
+def test_what_is_remembered_of_words_is_bounded(limit, monkeypatch):
+    path = Q.tokenizer_path("byte_bpe_50k.json")
+    texts = [" ".join(f"{i:x}" * 9 + "абв" for i in range(k, k + 40)) for k in range(0, 2000, 20)]
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(bpe, limit, 2000)
+    monkeypatch.setattr(bpe, "PIECE_CHARS", 500)
+    e, most = bpe.Encoder(path), 0
+    for text, ids in zip(texts, want, strict=True):
+        assert [x.tolist() for x in e.encode_each([text])] == [ids]
+        most = max(most, e._bytes.n if limit == "_CACHE_BYTES" else e._off.n)
+    assert 1000 < most < 2000 + 4000  # the limit and the words of one piece
+
+
+@pytest.mark.parametrize("limit", ["_CACHE_BYTES", "_CACHE_WORDS"])
+def test_words_of_one_key_count_as_well(limit, monkeypatch):
+    monkeypatch.setattr(bpe, "word_keys", lambda data, start, length: np.full(len(start), 1 << 63, np.uint64))
+    monkeypatch.setattr(bpe, limit, 300)
+    e = bpe.Encoder(Q.tokenizer_path("byte_bpe_50k.json"))
+    for i in range(200):
+        e.encode_each([f"collision{i % 7} collisions{i % 5}"])
+        assert e._off.n <= 310 and e._bytes.n <= 350 * (1 if limit == "_CACHE_BYTES" else 99)
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_same_ids_as_the_library(name, monkeypatch):
     path = Q.tokenizer_path(name)

@@ -20,10 +20,12 @@ import numpy as np
 from tickspark.llm.transducer import ChunkedMachine, Table, Transducer, compile_transducer
 
 PIECE_CHARS = 1 << 20
-_CACHE_WORDS = 1_000_000
+_CACHE_WORDS, _CACHE_BYTES = 1_000_000, 64 << 20
 _LONG = 64  # bytes; longer words are merged one by one
 _EXACT = 7  # bytes; up to here a word's key is the word itself, beyond it a hash whose hits are compared
-_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+#: Where a word always ends: before one white space between letters of any script, before the full stops and commas of
+#: scripts without spaces (no special token has those).
+_CUT = re.compile(r"(?<=[^\W\d_])(?=[ \n][^\W\d_])|(?<=[\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fcc\uac00-\ud7a3])(?=[、。，！？；：])")
 #: Symbols of the pre-tokenizer: end of text, special token, space, other white space, letter, number,
 #: apostrophe, other, and the letters of 's 't 'm 'd, 're, 've, 'll.
 END, SPECIAL, SPACE, WHITE, LETTER, NUMBER, QUOTE, OTHER, ONE, R, V, ELL, E = range(13)
@@ -270,14 +272,13 @@ class Encoder:
 
     def _unseen(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Rows of words outside the lexicon; each distinct word is merged once while it is remembered."""
+        if self._off.n - self._base > _CACHE_WORDS or self._bytes.n > _CACHE_BYTES:
+            self._forget()
         key = word_keys(data, start, length)
         distinct, first, back = np.unique(key, return_index=True, return_inverse=True)
         at = np.minimum(np.searchsorted(self._known, distinct), max(len(self._known) - 1, 0))
         old = self._known[at] == distinct if len(self._known) else np.zeros(len(distinct), bool)
         if not old.all():
-            if self._off.n - self._base > _CACHE_WORDS:
-                self._forget()
-                old[:] = False
             new = first[~old]
             rows = self._append(data, start[new], length[new])
             into = np.searchsorted(self._known, distinct[~old])

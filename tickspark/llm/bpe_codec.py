@@ -6,7 +6,7 @@ sequences. Every Python process maps it into memory. Words that it lacks are mer
 lexicon changes the time taken and never the result.
 
 Defined results: a null text is the empty text, with no ids; very long texts are encoded whole, in
-pieces cut between two words; repeated rows give equal rows; an empty table gives no rows; other
+pieces cut between two words of any script; repeated rows give equal rows; an empty table gives no rows; other
 columns are ignored, whatever their names; of words equally frequent the hash decides which are listed.
 """
 

@@ -9,7 +9,7 @@ outside it are merged exactly, each distinct one once. Byte-pair merges of a wor
 word, so counts compose over words, not over parts of one; what composes by prefix scan is where words begin.
 
 Defined results: a null text is the empty text with 0 tokens; very long texts are counted whole, in
-pieces cut between two words; repeated rows give equal rows; an empty table gives no rows; other
+pieces cut between two words of any script; repeated rows give equal rows; an empty table gives no rows; other
 columns are ignored, whatever their names.
 """
 
