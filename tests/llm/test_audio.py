@@ -116,6 +116,11 @@ def test_windows_are_stored_as_tensors(spark, make_docs, tmp_path):
         assert len(back) == rows[i].n_windows and np.array_equal(back.reshape(-1, A.MELS)[: len(mel)], mel)
         step = A.WINDOW_FRAMES * A.HOP * 1000 * A.DOWN / A.UP / A.RATE
         assert np.allclose(stored.column("start_ms"), np.arange(len(back)) * step) and np.allclose(stored.column("end_ms"), np.arange(1, len(back) + 1) * step)
+        h = hashlib.sha256(back.tobytes())
+        h.update(stored.column("start_ms").to_numpy().tobytes() + stored.column("end_ms").to_numpy().tobytes())
+        assert rows[i].windows_sha256 == h.hexdigest()
+    lean = A.audio_features(A.store_audio(make_docs(texts)), keep_windows=False).collect()
+    assert [(r.windows, r.windows_sha256) for r in sorted(lean)] == [(None, rows[i].windows_sha256) for i in range(2)]
     both = A.feature_digest(spark.read.parquet(str(tmp_path / "features"))).select("feature").collect()
     assert len({r.feature for r in both}) == 2
 

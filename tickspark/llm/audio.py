@@ -5,7 +5,7 @@ padded to a positive multiple of 64). ``audio_features`` reads stored files back
 polyphase resampling, overlapped log-mel filterbanks and hysteresis on frame energy, the windows and
 the active segments. The windows of a file are stored as Arrow, one IPC stream a file in a binary
 column: time spans beside a column of fixed-shape tensors (WINDOW_FRAMES x MELS floats), which
-``read_windows`` gives back. Work is done a bounded number of samples at a time; what a
+``read_windows`` gives back; ``windows_sha256`` is of what it gives back, tensors and then spans. Work is done a bounded number of samples at a time; what a
 file's features take grows with the file.
 
 Defined results: a null or empty text is the empty text (64 zero samples); a very long one is one file, with as
@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +40,7 @@ _FRAMES_AT_ONCE = 4096
 
 FEATURES = (
     "payload_bytes long, payload_sha256 string, tail_crc32 long, n_frames long, "
-    "n_windows long, windows binary, "
+    "n_windows long, windows_sha256 string, windows binary, "
     "segments array<struct<start_ms:double,end_ms:double>>"
 )
 
@@ -180,10 +179,19 @@ def read_windows(data: bytes) -> pa.RecordBatch:
         return reader.read_next_batch()
 
 
-def _features(batches: Iterator[pa.RecordBatch], id_col: str, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+def _digest(stored: bytes) -> str:
+    """Hash of windows as they are read back: the tensors, then where they start and end."""
+    batch = read_windows(stored)
+    h = hashlib.sha256(batch.column("logmel").to_numpy_ndarray())
+    for span in ("start_ms", "end_ms"):
+        h.update(batch.column(span).to_numpy())
+    return h.hexdigest()
+
+
+def _features(batches: Iterator[pa.RecordBatch], id_col: str, id_type: pa.DataType, keep_windows: bool) -> Iterator[pa.RecordBatch]:
     ms = HOP * 1000.0 * DOWN / UP / RATE
-    names = [id_col, "payload_bytes", "payload_sha256", "tail_crc32", "n_frames", "n_windows", "windows", "segments"]
-    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.struct([("start_ms", pa.float64()), ("end_ms", pa.float64())]))]
+    names = [id_col, "payload_bytes", "payload_sha256", "tail_crc32", "n_frames", "n_windows", "windows_sha256", "windows", "segments"]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.struct([("start_ms", pa.float64()), ("end_ms", pa.float64())]))]
     for whole in batches:
         for at in range(0, whole.num_rows, 64):
             batch = whole.slice(at, 64)
@@ -200,35 +208,24 @@ def _features(batches: Iterator[pa.RecordBatch], id_col: str, id_type: pa.DataTy
                 start = np.arange(n) * WINDOW_FRAMES * ms
                 windows = write_windows(start, start + WINDOW_FRAMES * ms, padded.reshape(n, WINDOW_FRAMES, MELS))
                 segments = [{"start_ms": a * ms, "end_ms": b * ms} for a, b in active_segments(energy)]
-                rows.append([len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-BLOCK:]), len(mel), n, windows, segments])
+                rows.append([len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-BLOCK:]), len(mel), n, _digest(windows), windows if keep_windows else None, segments])
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(id_type), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names)
 
 
-def audio_features(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
-    """One row per file: digests of the samples read back, stored log-mel windows with time spans, segments."""
+def audio_features(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "media", keep_windows: bool = True) -> DataFrame:
+    """One row per file: digests of the samples read back, stored log-mel windows with time spans and their hash, segments.
+
+    Without ``keep_windows`` they are null: stored, read back and hashed in the task, and not sent on."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = media.schema[id_col].dataType
     arrow = to_arrow_type(kind)
-    return media.select(id_col, media_col).mapInArrow(lambda b: _features(b, id_col, arrow), f"`{id_col}` {kind.simpleString()}, {FEATURES}")
+    return media.select(id_col, media_col).mapInArrow(lambda b: _features(b, id_col, arrow, keep_windows), f"`{id_col}` {kind.simpleString()}, {FEATURES}")
 
 
 def feature_digest(features: DataFrame) -> DataFrame:
     """Adds ``feature``: frames, windows, segments, active ms, and hashes of the stored tensors with their spans and of the segments."""
-
-    @F.pandas_udf("string")
-    def tensors(windows: pd.Series) -> pd.Series:
-        def digest(data: bytes | None) -> str | None:
-            if data is None:
-                return None
-            batch = read_windows(data)
-            h = hashlib.sha256(batch.column("logmel").to_numpy_ndarray().tobytes())
-            for span in ("start_ms", "end_ms"):
-                h.update(batch.column(span).to_numpy().tobytes())
-            return h.hexdigest()[:16]
-
-        return windows.map(digest)
-
     active = F.aggregate("segments", F.lit(0.0), lambda s, x: s + x["end_ms"] - x["start_ms"])
-    parts = [F.col("n_frames").cast("string"), F.col("n_windows").cast("string"), F.size("segments").cast("string"), F.format_string("%.1f", active), tensors("windows"), F.lower(F.hex(F.xxhash64("segments")))]
-    return features.withColumn("feature", F.when(F.col("windows").isNotNull(), F.concat_ws(":", *parts)))
+    tensors, segments = F.substring("windows_sha256", 1, 16), F.lower(F.hex(F.xxhash64("segments")))
+    parts = [F.col("n_frames").cast("string"), F.col("n_windows").cast("string"), F.size("segments").cast("string"), F.format_string("%.1f", active), tensors, segments]
+    return features.withColumn("feature", F.when(F.col("windows_sha256").isNotNull(), F.concat_ws(":", *parts)))

@@ -68,7 +68,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = audio.store_audio(_documents(spark, sf_dir))
     media = stored.select(F.struct("doc_id", "n_bytes", F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256")).alias("doc"), "media")
-    return audio.feature_digest(audio.audio_features(media, id_col="doc")).select(
+    return audio.feature_digest(audio.audio_features(media, id_col="doc", keep_windows=False)).select(
         "doc.doc_id", "doc.n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "doc.media_bytes", "doc.media_sha256", "feature",
     )
 
