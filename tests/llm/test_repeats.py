@@ -232,6 +232,24 @@ def test_fm_solver_against_counting(seed):
         assert g == {j for i in range(len(p) - 5) if count[tuple(p[i : i + 6])] > 1 for j in range(i, i + 6)}
 
 
+@pytest.mark.parametrize("words, most", [(False, 24), (True, 12)])
+def test_windows_of_hot_anchors_travel_in_runs(spark, make_docs, monkeypatch, words, most):
+    """A passage at whose edges every document goes on in its own way: no pass makes a row for each window of a hot anchor."""
+    pick = random.Random(12)
+    common, n = "".join(pick.choices("abcdef", k=260)), 150
+    texts = ["".join(pick.choices("ghij", k=150)) + common[i % 3 :] + "".join(pick.choices("klmn", k=150)) for i in range(n)] + mosaic(20, "abcd", 4)
+    texts = [" ".join(t) for t in texts] if words else texts
+    made, real = [], R._meeting_of
+    monkeypatch.setattr(R, "_meeting_of", lambda found, hot_rows: made.append(found.count()) or real(found, hot_rows))
+    task = (W.word_task if words else S.byte_task)(hot_rows=40)
+    covered = [set() for _ in texts]
+    for r in R.repeated_ranges(R.texts_of(make_docs(texts, parts=3), id_col="doc_id", text_col="text"), task).collect():
+        covered[r.doc].update(range(r.begin, r.end))
+    want = brute_words(texts, 35) if words else brute_bytes(texts, 100)
+    assert [len(c) for c in covered] == [w[1] for w in want]
+    assert len(made) > 1 and max(made[1:]) < most * n, made
+
+
 def test_bytes_on_table(spark):
     d = "/root/testdata/sf0.01"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").collect()}

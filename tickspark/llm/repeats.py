@@ -15,10 +15,12 @@ removed has been compared symbol by symbol.
 
 An anchor with many regions (the edge of a passage that very many documents hold) is hot. A task that
 finds more than ``hot_here`` regions of one sends them aside at once and leaves a mark for the others;
-an anchor with more than ``hot_rows`` rows is hot too. Regions of hot anchors go through steps 1 to 3 a
-second time as single windows under their own hash, which spreads them: equal ones are settled in the
-buffer, unlike ones never meet. The two numbers decide which of the two ways a region goes, not
-what is compared.
+an anchor with more than ``hot_rows`` rows is hot too. The windows of hot anchors go through steps 1 to
+3 again under longer anchors, which tell more of them apart: a row holds several windows still, and
+of equal regions of a buffer one travels. Windows of anchors that are hot once more go a last time, each
+under its own hash, which spreads them: unlike ones never meet. In each pass a window lies in one row at
+most, so the rows of a hot anchor grow as its regions do. The two numbers decide which way a region
+goes, not what is compared.
 
 Memory in a task is bounded by a segment of text, a buffer of runs and a shard of regions (and by the
 longest text), however large a group is: a group that fills a shard is solved in parts, one region of
@@ -29,7 +31,7 @@ rows of one id with one text are one document.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -72,6 +74,11 @@ class Task:
     hot_here: int = 64
     shard: int = 1 << 20  # bytes
 
+    @property
+    def finer(self) -> list[int]:
+        """Lengths of the anchors under which windows of hot anchors go again; the last one is the window itself."""
+        return sorted({self.window - (self.window - self.anchor) // 4, self.window})
+
 
 @lru_cache(maxsize=1)
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +141,14 @@ def runs(symbols: np.ndarray, ends: np.ndarray, window: int, anchor: int) -> tup
     return key[where], region, where, first, stop
 
 
-def _segments(texts: list[np.ndarray], window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _parts(windows: Iterable[tuple[int, np.ndarray, int, int]], window: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(number of the text, place in it, symbols) that hold the windows (number of the text, its symbols, first window, end)."""
+    for i, text, p, q in windows:
+        for at in range(p, q, SEGMENT):
+            yield i, at, text[at : min(at + SEGMENT, q) + window - 1]
+
+
+def _segments(parts: Iterable[tuple[int, int, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(symbols, ends, number of the text, its place in the text) of about SEGMENT symbols each."""
     some: list[tuple[int, int, np.ndarray]] = []
     size = 0
@@ -142,16 +156,12 @@ def _segments(texts: list[np.ndarray], window: int) -> Iterator[tuple[np.ndarray
     def flush():
         return np.concatenate([x[2] for x in some]), np.cumsum([len(x[2]) for x in some]), np.array([x[0] for x in some]), np.array([x[1] for x in some])
 
-    for i, text in enumerate(texts):
-        for at in range(0, max(1, len(text) - window + 1), SEGMENT):
-            part = text[at : at + SEGMENT + window - 1]
-            if len(part) < window:
-                continue
-            some.append((i, at, part))
-            size += len(part)
-            if size >= SEGMENT:
-                yield flush()
-                some, size = [], 0
+    for part in parts:
+        some.append(part)
+        size += len(part[2])
+        if size >= SEGMENT:
+            yield flush()
+            some, size = [], 0
     if some:
         yield flush()
 
@@ -269,37 +279,44 @@ def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return batch.column(0).to_numpy(), batch.column(1).to_numpy(), [t.as_py() or "" for t in batch.column(2)]
 
 
+def _add_runs(found: _Buffer, parts: Iterable[tuple[int, int, np.ndarray]], anchor: int, doc: np.ndarray, base: np.ndarray, texts: list[str]) -> Iterator[pa.RecordBatch]:
+    window = found.task.window
+    for symbols, ends, number, offset in _segments(parts):
+        h, f, x, a, b = runs(symbols, ends, window, anchor)
+        if not len(h):
+            continue
+        of = np.searchsorted(ends, a, "right")
+        begin = a + offset[of] - np.concatenate([[0], ends[:-1]])[of]
+        text = number[of]
+        yield from found.add(texts, h, f, text, doc[text], base[text] + begin, info(RUN, x - a, b - a + window))
+
+
 def _find(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
-    found = _Buffer(task, True)
+    found, window = _Buffer(task, True), task.window
     for whole in batches:
         for start in range(0, whole.num_rows, 512):
             doc, base, texts = _columns(whole.slice(start, 512))
-            for symbols, ends, number, offset in _segments([task.content(t).keys for t in texts], task.window):
-                h, f, x, a, b = runs(symbols, ends, task.window, task.anchor)
-                if not len(h):
-                    continue
-                of = np.searchsorted(ends, a, "right")
-                begin = a + offset[of] - np.concatenate([[0], ends[:-1]])[of]
-                text = number[of]
-                yield from found.add(texts, h, f, text, doc[text], base[text] + begin, info(RUN, x - a, b - a + task.window))
+            keys = (task.content(t).keys for t in texts)
+            yield from _add_runs(found, _parts(((i, k, 0, len(k) - window + 1) for i, k in enumerate(keys)), window), task.anchor, doc, base, texts)
     yield from found.flush()
 
 
-def _windows(batches: Iterator[pa.RecordBatch], task: Task) -> Iterator[pa.RecordBatch]:
-    """The windows of (doc, base, text, hot regions), each a run of its own."""
-    found, window = _Buffer(task, False), task.window
+def _windows(batches: Iterator[pa.RecordBatch], task: Task, anchor: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The runs of the windows in (doc, base, text, hot regions) under longer anchors, or each window by itself."""
+    found, window = _Buffer(task, anchor is not None), task.window
     for whole in batches:
         for start in range(0, whole.num_rows, 64):
             batch = whole.slice(start, 64)
             doc, base, texts = _columns(batch)
-            for i, regions in enumerate(batch.column(3)):
-                begin, packed = (regions.values.field(c).to_numpy() for c in ("begin", "info"))
-                keys = task.content(texts[i]).keys
-                _, a, b = merge_ranges(np.zeros(len(begin), np.int64), begin - base[i], begin - base[i] + (packed >> 16) - window + 1)
-                for p, q in ((p, min(p + SEGMENT, q)) for p, q in zip(a.tolist(), b.tolist(), strict=True) for p in range(p, q, SEGMENT)):
-                    at = np.arange(q - p)
-                    h = mix(span_hashes(prefix_hashes(keys[p : q + window - 1]), at, window) ^ _U(0x5851F42D4C957F2D))
-                    yield from found.add(texts, h, np.zeros(len(h), _U), np.full(len(h), i), np.full(len(h), doc[i]), base[i] + p + at, np.full(len(h), info(RUN, 0, window)))
+
+            def hot(batch=batch, base=base, texts=texts):
+                for i, regions in enumerate(batch.column(3)):
+                    begin, packed = (regions.values.field(c).to_numpy() for c in ("begin", "info"))
+                    keys = task.content(texts[i]).keys
+                    _, a, b = merge_ranges(np.zeros(len(begin), np.int64), begin - base[i], begin - base[i] + (packed >> 16) - window + 1)
+                    yield from ((i, keys, p, q) for p, q in zip(a.tolist(), b.tolist(), strict=True))
+
+            yield from _add_runs(found, _parts(hot(), window), anchor or window, doc, base, texts)
     yield from found.flush()
 
 
@@ -509,16 +526,26 @@ def _meeting_of(found: DataFrame, hot_rows: int | None) -> DataFrame:
     return found.repartition(n, "h").sortWithinPartitions(*ORDER).mapInArrow(lambda b: _meet(b, hot_rows), FOUND)
 
 
+def _windows_of(texts: DataFrame, hot: DataFrame, task: Task, anchor: int | None) -> DataFrame:
+    return _asked(texts, hot).mapInArrow(lambda b: _windows(b, task, anchor), FOUND)
+
+
 def repeated_ranges(texts: DataFrame, task: Task) -> DataFrame:
     """(doc, begin, end) for texts as ``texts_of`` gives them: ranges of places that repeated windows cover; they may overlap.
 
-    All joins with the texts in it, and that of ``with_ranges``, are by document and share one shuffle of the texts."""
+    All joins with the texts in it, and that of ``with_ranges``, are by document and share one shuffle of the texts; where
+    anchors are hot, the pass under longer ones is stored before its rows are used and shuffles the texts once more."""
     met = stored(_meeting_of(texts.mapInArrow(lambda b: _find(b, task), FOUND), task.hot_rows))
     ranges = _resolved(texts, met, task)
-    hot = _of(met, HOT)
-    if not hot.isEmpty():
-        windows = _asked(texts, hot).mapInArrow(lambda b: _windows(b, task), FOUND)
-        ranges = ranges.union(_resolved(texts, _meeting_of(windows, None), task))
+    for anchor in task.finer:
+        hot = _of(met, HOT)
+        if hot.isEmpty():
+            break
+        if anchor < task.window:
+            met = stored(_meeting_of(_windows_of(texts, hot, task, anchor), task.hot_rows))
+        else:
+            met = _meeting_of(_windows_of(texts, hot, task, None), None)
+        ranges = ranges.union(_resolved(texts, met, task))
     return ranges
 
 
