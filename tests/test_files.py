@@ -1,14 +1,17 @@
 """Feed files of any codec: what their bytes say, not their names; files that are broken."""
 
 import gzip
+import io
 
+import duckdb
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
 from tickspark.functions import messages as M
 from tickspark.operators import merge
-from tickspark.sources import feeds
+from tickspark.plans import queries as Q
+from tickspark.sources import feeds, files
 from tickspark.sources.files import feed_files
 from tickspark.sources.shared import configure
 
@@ -76,3 +79,49 @@ def test_only_fields_asked_for_are_read(spark):
     plan = M.checked_ticks(feeds.parse_lines(lines), ["symbol", "sec"]).select("reason")._jdf.queryExecution().toString()
     assert "index_price" not in plan and "next_funding_time" not in plan
     assert M.checked_ticks(feeds.parse_lines(lines)).columns[: len(M.TICK_COLUMNS)] == M.TICK_COLUMNS
+
+
+def test_files_without_a_byte_have_no_line(spark, tmp_path):
+    for name, content in {"a": zstandard.compress(b""), "b": gzip.compress(b""), "c": zstandard.compress(b"x\n") + zstandard.compress(b""), "d": b""}.items():
+        (tmp_path / f"{name}.jsonl").write_bytes(content)
+    assert [(r.file[-7], r.line, r.error) for r in feed_files(spark, str(tmp_path)).collect()] == [("c", "x", None)]
+
+
+@pytest.mark.parametrize("end", [b"\n", b"\nlast"])
+def test_pieces_that_decompress_to_nothing_make_no_line(monkeypatch, end):
+    text = b"\n".join(b"%d" % i for i in range(999)) + end
+    coded = zstandard.ZstdCompressor(write_checksum=True).compress(text)  # the checksum is a piece of its own if the one before ends at it
+    for piece in (1, 7, len(coded) - 4, len(coded) - 1, len(coded)):
+        monkeypatch.setattr(files, "_PIECE", piece)
+        assert [line for _, line in files._lines(files._pieces(io.BytesIO(coded), "zstd"))] == text.splitlines()
+
+
+ODD_EVENTS = {
+    "same": "SELECT * FROM e",
+    "none": "SELECT * FROM e WHERE false",
+    "one": "SELECT * FROM e WHERE event_id = 1",
+    "no id of the first source": "SELECT * FROM e WHERE event_id % 3 <> 0",
+    "negative ids": "SELECT * REPLACE (event_id - 500 AS event_id) FROM e",
+    "null ids": "SELECT * REPLACE (nullif(event_id, event_id // 10 * 10) AS event_id) FROM e",
+    "null ids only": "SELECT * REPLACE (CAST(NULL AS BIGINT) AS event_id) FROM e",
+}
+
+
+@pytest.mark.parametrize("split", ["128m", "4k"])
+@pytest.mark.parametrize("events", ODD_EVENTS.values(), ids=ODD_EVENTS)
+def test_a3_over_odd_events(spark, sf, tmp_path, events, split):
+    """With splits of 4 kB most tasks have no rows, and write files without a line."""
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW e AS SELECT * FROM '{sf}/events.parquet'")
+    con.execute(f"COPY ({events}) TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    want = con.execute(Q.SQL["a3_scan_compressed"]).fetchall()
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, split)
+        got = [tuple(r) for r in Q.QUERIES["a3_scan_compressed"](spark, str(tmp_path)).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(got, key=str) == sorted(want, key=str)

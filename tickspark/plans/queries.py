@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,14 +78,19 @@ def a2(spark, d):
 
 @query("a3_scan_compressed", f"{EV} SELECT event_id, symbol, ms, source AS source_priority, CAST(NULL AS VARCHAR) AS error FROM ev UNION ALL SELECT NULL, NULL, NULL, 3, 'unreadable' FROM (SELECT 1 FROM events LIMIT 1)")
 def a3(spark, d):
-    """Plain, gzip and zstd files, all named .jsonl; of a fourth source one file is cut off."""
+    """Plain, gzip and zstd files, all named .jsonl; of one more source the only file is cut off. Ids that are negative or null have sources of their own."""
     e = X.events(spark, d)
-    bases = [new_folder(spark, f"source{k}") for k in range(4)]
-    for k, codec in enumerate(("plain", "gzip", "zstd", "gzip")):
-        lines = event_lines(e.filter(F.col("source") == k % 3))
-        X.write_coded(lines.coalesce(1) if k == 3 else lines, feeds.day_path(bases[k], DAY), codec, cut=20 if k == 3 else 0)
-    lines = feeds.scan_sources(spark, bases, DAY)
-    rows = from_lines(lines, "source_priority", "error")
+    found = sorted((r.source for r in e.select("source").distinct().collect()), key=lambda k: (k is None, k))
+
+    def scanned(k: int | None, priority: int | None, codec: str, cut: int = 0) -> DataFrame:
+        base = new_folder(spark, f"source{priority}")
+        lines = event_lines(e.filter(F.col("source").eqNullSafe(k)))
+        X.write_coded(lines.coalesce(1) if cut else lines, feeds.day_path(base, DAY), codec, cut=cut)
+        return feeds.scan_jsonl_day(spark, base, DAY, priority)
+
+    whole = [scanned(k, k, ("plain", "gzip", "zstd")[(k or 0) % 3]) for k in found]
+    broken = scanned(found[0] if found else 0, 3, "gzip", cut=20)
+    rows = from_lines(reduce(DataFrame.unionByName, [*whole, broken]), "source_priority", "error")
     return rows.select("event_id", "symbol", "ms", F.col("source_priority").cast("long").alias("source_priority"), F.when(F.col("error").isNotNull(), "unreadable").alias("error"))
 
 

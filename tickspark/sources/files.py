@@ -92,9 +92,9 @@ def _lines(pieces: Iterator[bytes]) -> Iterator[tuple[int, bytes]]:
         for line in lines[1:-1]:
             yield at, line
             at += len(line) + 1
-        waiting = [lines[-1]] if lines[-1] else []
-    if waiting:
-        yield at, b"".join(waiting)
+        waiting = [lines[-1]]
+    if last := b"".join(waiting):  # nothing waits after a line end, nor in a file whose last pieces decompress to nothing
+        yield at, last
 
 
 class _Reader(DataSourceReader):
